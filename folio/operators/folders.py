@@ -59,13 +59,13 @@ def folder_tree(files: DataFrame, sep: str = DEFAULT_SEP, path_col: str = "path"
 def listing_key(path_col: str = "path", sep: str = DEFAULT_SEP, root_depth: int = 2) -> Column:
     """S2 sort key: a folder's files first, then its sub-folders, each by name.
 
-    Each part below the root becomes ``kind + name + U+0000`` (kind 0 = file,
+    Each part below the root becomes ``kind + name + U+0001`` (kind 0 = file,
     1 = folder); comparing the concatenation compares the parts in turn.
     """
     p = parts(path_col, sep)
     rel = F.slice(p, root_depth + 1, F.size(p))
     last = F.size(rel) - 1
-    comp = F.transform(rel, lambda name, i: F.concat(F.when(i == last, F.lit("0")).otherwise(F.lit("1")), name, F.lit("\u0000")))
+    comp = F.transform(rel, lambda name, i: F.concat(F.when(i == last, F.lit("0")).otherwise(F.lit("1")), name, F.lit("\u0001")))
     return F.array_join(comp, "")
 
 

@@ -4,7 +4,9 @@
 task.  ``ordinal`` instead range-partitions on (g, o): each task numbers its
 own slice of every group, the slice sizes (one row per task and group) become
 offsets, and offset + local number is the global number.  A group that holds a
-third of all rows is spread over a third of the tasks.
+third of all rows is spread over a third of the tasks.  The sliced rows are
+checkpointed to the shared checkpoint folder once, so the slice sizes and the
+rows they number are the same data even if a task is re-run.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.session import checkpoint_dir
+
 
 def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: str = "n", base: int = 0) -> DataFrame:
     """Add ``name`` = position of the row inside its group under ``order_cols`` (+ base).
@@ -22,7 +26,9 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: s
     g = list(group_cols)
     keys = g + list(order_cols)
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.repartitionByRange(n_parts, *keys).withColumn("_slice", F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    # the slice id is stored (reliable checkpoint), so every later use reads the same value
+    sliced = df.repartitionByRange(n_parts, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint()
     local_w = Window.partitionBy("_slice", *g).orderBy(*order_cols)
     local = sliced.withColumn("_local", F.row_number().over(local_w))
     sizes = local.groupBy("_slice", *g).agg(F.count(F.lit(1)).alias("_size"))

@@ -302,3 +302,10 @@ def pixel_regions(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
     v = F.col("vec_id")
     return e.select(v.alias("image_id"), (v % 4).alias("x"), (v % 3).alias("y"), (1 + v % 4).alias("w"), (1 + v % 5).alias("h"))
+
+
+def planes(spark: SparkSession, d: str) -> DataFrame:
+    """F7 as colour planes: images 3k, 3k+1, 3k+2 are the B, G, R planes of image k."""
+    p = pixels(spark, d)
+    ch = F.when(F.col("image_id") % 3 == 0, F.lit("b")).when(F.col("image_id") % 3 == 1, F.lit("g")).otherwise(F.lit("r"))
+    return p.select((F.floor(F.col("image_id") / 3)).cast("long").alias("image_id"), ch.alias("channel"), "y", "x", "v")
