@@ -60,3 +60,23 @@ ROUNDS: list[int] = []
 
 def _log_rounds(n: int) -> None:
     ROUNDS.append(n)
+
+
+def union_find(n: int, a, b):
+    """Component labels of nodes 0..n-1 joined by edges (a[i], b[i]): each node gets the
+    smallest node of its component.  Vectorised min-label propagation with pointer
+    jumping (numpy), used inside one group (a page, an image) at a time."""
+    import numpy as np
+
+    lab = np.arange(n, dtype=np.int64)
+    a = np.asarray(a, dtype=np.int64)
+    b = np.asarray(b, dtype=np.int64)
+    while True:
+        m = np.minimum(lab[a], lab[b])
+        new = lab.copy()
+        np.minimum.at(new, a, m)
+        np.minimum.at(new, b, m)
+        new = new[new]
+        if np.array_equal(new, lab):
+            return lab
+        lab = new

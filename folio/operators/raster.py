@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folio.operators.components import connected_components
 from folio.operators.numbering import ordinal
 
 IMG = "image_id"
@@ -103,23 +103,55 @@ def dilate(pixels: DataFrame, size: int = 9, iterations: int = 4) -> DataFrame:
 def regions(mask: DataFrame, min_v: int = 1) -> DataFrame:
     """K6: 8-connected foreground regions (v >= ``min_v``) with their boxes.
 
-    Returns ``(image_id, x, y, w, h, area)``: area counts pixels; the box is in pixels.
+    Returns ``(image_id, x, y, w, h, area)``: area counts pixels; the box is in
+    pixels.  The foreground is shuffled once by image and each image is
+    labelled by a vectorised union-find (``applyInPandas``); an image is
+    bounded by its resolution.
     """
-    fg = mask.where(F.col("v") >= min_v).select(IMG, "y", "x")
-    steps = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1))]))
-    nb = fg.select(IMG, "y", "x", steps.alias("_s")).select(
-        IMG, "y", "x", (F.col("y") + F.col("_s.dy")).alias("ny"), (F.col("x") + F.col("_s.dx")).alias("nx")
+    fg = mask.where(F.col("v") >= min_v).select(IMG, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"))
+    id_type = mask.schema[IMG].dataType
+    schema = T.StructType(
+        [T.StructField(IMG, id_type)]
+        + [T.StructField(c, T.IntegerType()) for c in ("x", "y", "w", "h")]
+        + [T.StructField("area", T.LongType())]
     )
-    e = nb.join(fg.select(IMG, F.col("y").alias("ny"), F.col("x").alias("nx")), [IMG, "ny", "nx"]).select(
-        IMG, F.struct("y", "x").alias("src"), F.struct(F.col("ny").alias("y"), F.col("nx").alias("x")).alias("dst")
-    )
-    labels = connected_components(e, [IMG])
-    px = fg.select(IMG, F.struct("y", "x").alias("node"), "y", "x")
-    lab = px.join(labels, [IMG, "node"], "left").withColumn("label", F.coalesce("label", "node"))
-    g = lab.groupBy(IMG, "label").agg(
-        F.min("x").alias("x"), F.min("y").alias("y"), F.max("x").alias("_x1"), F.max("y").alias("_y1"), F.count(F.lit(1)).alias("area")
-    )
-    return g.select(IMG, "x", "y", (F.col("_x1") - F.col("x") + 1).alias("w"), (F.col("_y1") - F.col("y") + 1).alias("h"), "area")
+    return fg.groupBy(IMG).applyInPandas(_regions_of_image, schema)
+
+
+def _regions_of_image(pdf):
+    import numpy as np
+    import pandas as pd
+
+    from folio.operators.components import union_find
+
+    y = pdf["y"].to_numpy()
+    x = pdf["x"].to_numpy()
+    span = int(x.max()) + 3
+    key = (y + 1) * span + (x + 1)
+    order = np.argsort(key, kind="mergesort")
+    skey = key[order]
+    a_list, b_list = [], []
+    for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1)):
+        nk = key + dy * span + dx
+        pos = np.searchsorted(skey, nk)
+        pos = np.minimum(pos, len(skey) - 1)
+        hit = skey[pos] == nk
+        a_list.append(np.nonzero(hit)[0])
+        b_list.append(order[pos[hit]])
+    lab = union_find(len(pdf), np.concatenate(a_list), np.concatenate(b_list))
+    g = pd.DataFrame({"lab": lab, "y": y, "x": x}).groupby("lab")
+    out = pd.DataFrame(
+        {
+            "x": g["x"].min(),
+            "y": g["y"].min(),
+            "w": g["x"].max() - g["x"].min() + 1,
+            "h": g["y"].max() - g["y"].min() + 1,
+            "area": g["x"].size(),
+        }
+    ).reset_index(drop=True)
+    out[["x", "y", "w", "h"]] = out[["x", "y", "w", "h"]].astype("int32")
+    out.insert(0, IMG, pdf[IMG].iloc[0])
+    return out
 
 
 def filter_regions(df: DataFrame, min_area: float = 10000, max_h_ratio: float = 0.3, img_h: str | Column = "img_h") -> DataFrame:

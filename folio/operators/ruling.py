@@ -12,9 +12,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folio.operators.components import connected_components
 from folio.operators.layout import page_text
+from folio.session import checkpoint_dir
 
 PAGE_KEYS = ("doc_id", "page")
 BAND = 64.0  # points; band height used to key range joins
@@ -140,7 +141,9 @@ def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings
     k = list(keys)
     e = clean_edges(edges, pages, s, keys)
     pts = edge_intersections(e, s.intersection_x_tolerance, s.intersection_y_tolerance, keys)
-    pts = pts.select(*k, "x", "y", "v_lo", "h_lo").repartition(*k).cache()
+    checkpoint_dir(edges.sparkSession)
+    # intersections and nearest neighbours are read many times below: store them once
+    pts = pts.select(*k, "x", "y", "v_lo", "h_lo").repartition(*k).checkpoint()
     vp = pts.select(*k, "x", "y", "v_lo").distinct()  # point on a vertical rule (x, v_lo)
     hp = pts.select(*k, "x", "y", "h_lo").distinct()  # point on a horizontal rule (y, h_lo)
 
@@ -168,7 +171,7 @@ def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings
     nc = hp.withColumn("x2", F.lead("x").over(Window.partitionBy(*k, "y", "h_lo").orderBy("x")))
     near_b = nb.where(F.col("y2").isNotNull()).groupBy(*k, "x", "y").agg(F.min("y2").alias("y2"))
     near_c = nc.where(F.col("x2").isNotNull()).groupBy(*k, "x", "y").agg(F.min("x2").alias("x2"))
-    near = near_b.join(near_c, [*k, "x", "y"], "full")
+    near = near_b.join(near_c, [*k, "x", "y"], "full").checkpoint()
     both = near.where(F.col("y2").isNotNull() & F.col("x2").isNotNull())
     at_c = near.select(*k, F.col("x").alias("x2"), "y", F.col("y2").alias("_c_y2"))
     at_b = near.select(*k, "x", F.col("y").alias("y2"), F.col("x2").alias("_b_x2"))
@@ -196,33 +199,49 @@ def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings
     later = closes(downs.join(rights, [*k, "x", "y"]))
     best = later.withColumn("_r", F.row_number().over(Window.partitionBy(*k, "x", "y").orderBy("y2", "x2"))).where(F.col("_r") == 1)
     cells = first.unionByName(best.drop("_r"))
-    return cells.select(*k, F.col("x").alias("x0"), F.col("y").alias("top"), F.col("x2").alias("x1"), F.col("y2").alias("bottom"))
+    cells = cells.select(*k, F.col("x").alias("x0"), F.col("y").alias("top"), F.col("x2").alias("x1"), F.col("y2").alias("bottom"))
+    return cells.checkpoint()
 
 
 def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     """H2: cells sharing a corner belong to one table; tables numbered top-left first per page.
 
-    Connected components over the bipartite graph cell -- corner (4 edges per
-    cell), so the graph is linear in the cells.  A node is ``(kind, y, x)``:
-    cells are kind 0 at their top-left, corners kind 1, hence a component's
-    label is its top-left cell.
+    A page is the unit: the cells are shuffled once by page, and each page's
+    cells are grouped by a vectorised union-find over shared corners
+    (``applyInPandas``).  A page holds a bounded number of cells, so no group
+    is large; the iterative DataFrame form (``connected_components``) gives
+    the same tables and is kept for graphs that are not bounded by a page.
     """
     k = list(keys)
-    node = lambda kind, y, x: F.struct(F.lit(kind).alias("kind"), F.col(y).alias("y"), F.col(x).alias("x"))
-    corner = F.explode(
-        F.array(
-            F.struct(F.col("top").alias("cy"), F.col("x0").alias("cx")),
-            F.struct(F.col("top").alias("cy"), F.col("x1").alias("cx")),
-            F.struct(F.col("bottom").alias("cy"), F.col("x0").alias("cx")),
-            F.struct(F.col("bottom").alias("cy"), F.col("x1").alias("cx")),
-        )
+    out_schema = T.StructType(
+        [f for f in cells.schema.fields if f.name in k]
+        + [T.StructField(c, T.DoubleType()) for c in ("x0", "top", "x1", "bottom")]
+        + [T.StructField("table_no", T.IntegerType())]
+    )
+    c = cells.select(*k, *[F.col(x).cast("double") for x in ("x0", "top", "x1", "bottom")])
+    return c.groupBy(*k).applyInPandas(_tables_of_page, out_schema).checkpoint()
+
+
+def _tables_of_page(pdf):
+    import numpy as np
+    import pandas as pd
+
+    from folio.operators.components import union_find
+
+    pdf = pdf.sort_values(["top", "x0", "x1", "bottom"], kind="mergesort").reset_index(drop=True)
+    n = len(pdf)
+    corners = pd.concat(
+        [
+            pd.DataFrame({"cell": np.arange(n), "cx": pdf[cx].to_numpy(), "cy": pdf[cy].to_numpy()})
+            for cx, cy in (("x0", "top"), ("x1", "top"), ("x0", "bottom"), ("x1", "bottom"))
+        ]
     )
-    ce = cells.select(*k, "x0", "top", corner.alias("_c")).select(*k, node(0, "top", "x0").alias("src"), node(1, "_c.cy", "_c.cx").alias("dst"))
-    labels = connected_components(ce, k).where(F.col("node.kind") == 0)
-    lab = labels.select(*k, F.col("node.y").alias("top"), F.col("node.x").alias("x0"), "label")
-    order = Window.partitionBy(*k).orderBy(F.col("label.y"), F.col("label.x"))
-    tables = lab.select(*k, "label").distinct().withColumn("table_no", (F.dense_rank().over(order) - 1).cast("int"))
-    return cells.join(lab, [*k, "top", "x0"]).join(tables, [*k, "label"]).drop("label")
+    pt = corners.groupby(["cx", "cy"], sort=False).ngroup().to_numpy()
+    # bipartite graph: cells 0..n-1, corner points n..; edges cell -- corner
+    lab = union_find(n + int(pt.max()) + 1 if n else 0, corners["cell"].to_numpy(), pt + n)[:n]
+    # the smallest cell index of a component is its top-left cell (rows are sorted)
+    rank = pd.Series(lab).rank(method="dense").astype("int32") - 1
+    return pdf.assign(table_no=rank.to_numpy())
 
 
 def table_boxes(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:

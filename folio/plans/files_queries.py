@@ -134,3 +134,13 @@ select image_id, box_no, 3, x0, bottom from nb""",
 )
 def q_flatten_boxes(spark, d):
     return O.flatten_boxes(fx.predictions(spark, d))
+
+
+# ---------------------------------------------------------------- sources (A1)
+
+@query("list_files")
+def q_list_files(spark, d):
+    """A1 over the input folder itself: every table file, contents not read."""
+    from folio.sources.files import list_files
+
+    return list_files(spark, d, suffix=".parquet").select("path", "length")
