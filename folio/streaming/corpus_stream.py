@@ -63,12 +63,11 @@ def stream_corpus(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
 
 
 def read_corpus(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The corpus as of the last finished batch: per title, the file of the latest arrival."""
+    """The corpus as of the last finished batch: per title, every page of the file that
+    arrived last.  A file's pages may span micro-batches, so arrival is decided per
+    file (its first batch, then listing order), never per page row."""
     docs = spark.read.parquet(f"{out_dir.rstrip('/')}/docs")
-    win = docs.groupBy("title").agg(F.max(F.struct("batch_id", "listing_no")).alias("_w"))
-    latest = docs.join(
-        win.select("title", F.col("_w.batch_id").alias("batch_id"), F.col("_w.listing_no").alias("listing_no")),
-        ["title", "batch_id", "listing_no"],
-        "left_semi",
-    )
+    per_file = docs.groupBy("title", "file_path").agg(F.min("batch_id").alias("arrival"), F.max("listing_no").alias("listing_no"))
+    win = per_file.groupBy("title").agg(F.max_by("file_path", F.struct("arrival", "listing_no")).alias("file_path"))
+    latest = docs.join(win, ["title", "file_path"], "left_semi")
     return latest.select("title", "page", "page_content", "first_division", "second_division", "file_name", "file_path")
