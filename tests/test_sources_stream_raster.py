@@ -112,3 +112,26 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["title", "page", "page_content", "first_division", "second_division", "file_name", "file_path"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_write_regions_crops(spark, tmp_path):
+    px = [(1, y, x, 10 * y + x) for y in range(6) for x in range(6)]
+    pixels = spark.createDataFrame(px, "image_id long, y int, x int, v int")
+    regs = spark.createDataFrame([(1, 0, 2, 1, 3, 2), (1, 1, 0, 4, 2, 2)], "image_id long, roi long, x long, y long, w long, h long")
+    crops = IO.region_crops(K.region_pixels(pixels, regs, region_cols=("roi",)))
+    IO.write_regions(crops, str(tmp_path / "rois"))
+    back = {r.name: (r.h, r.w, list(r.pixels)) for r in spark.read.parquet(str(tmp_path / "rois")).collect()}
+    assert back["ROI_0.jpg"] == (2, 3, [12, 13, 14, 22, 23, 24])  # image[y:y+h, x:x+w]
+    assert back["ROI_1.jpg"] == (2, 2, [40, 41, 50, 51])
+
+
+def test_flatten_line_boxes(spark):
+    from folio.functions import boxes as B
+
+    schema = "lines array<array<struct<box: array<struct<x: double, y: double>>, ch: string>>>"
+    pt = lambda x, y: {"x": float(x), "y": float(y)}
+    box = lambda i: [pt(i, 0), pt(i + 1, 0), pt(i + 1, 1), pt(i, 1)]
+    df = spark.createDataFrame([([[{"box": box(0), "ch": "a"}, {"box": box(1), "ch": "b"}], [{"box": box(5), "ch": "c"}]],), ([],)], schema)
+    got = [r.b for r in df.select(B.flatten_line_boxes("lines").alias("b")).collect()]
+    assert [len(b) for b in got] == [3, 0]
+    assert got[0][2][0].x == 5.0
