@@ -80,3 +80,23 @@ def union_find(n: int, a, b):
         if np.array_equal(new, lab):
             return lab
         lab = new
+
+
+def whole_groups(batches, keys):
+    """Re-cut a stream of pandas batches, sorted by ``keys``, so that no group is split:
+    the trailing group of a batch is carried into the next one."""
+    import pandas as pd
+
+    carry = None
+    for b in batches:
+        if carry is not None and len(carry):
+            b = pd.concat([carry, b], ignore_index=True)
+        if not len(b):
+            continue
+        last = b[keys].iloc[-1]
+        tail = (b[keys] == last).all(axis=1).to_numpy()
+        carry = b[tail]
+        if (~tail).any():
+            yield b[~tail].reset_index(drop=True)
+    if carry is not None and len(carry):
+        yield carry.reset_index(drop=True)

@@ -206,11 +206,12 @@ def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings
 def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     """H2: cells sharing a corner belong to one table; tables numbered top-left first per page.
 
-    A page is the unit: the cells are shuffled once by page, and each page's
-    cells are grouped by a vectorised union-find over shared corners
-    (``applyInPandas``).  A page holds a bounded number of cells, so no group
-    is large; the iterative DataFrame form (``connected_components``) gives
-    the same tables and is kept for graphs that are not bounded by a page.
+    A page is the unit: cells are shuffled once by page and sorted inside each
+    partition; each Arrow batch (many whole pages, never a split page) is
+    labelled by one vectorised union-find over the cell -- corner graph
+    (``mapInPandas``).  A page holds a bounded number of cells, so no group is
+    large.  The iterative DataFrame form (``connected_components``) gives the
+    same tables and is kept for graphs that are not bounded by a page.
     """
     k = list(keys)
     out_schema = T.StructType(
@@ -219,29 +220,31 @@ def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
         + [T.StructField("table_no", T.IntegerType())]
     )
     c = cells.select(*k, *[F.col(x).cast("double") for x in ("x0", "top", "x1", "bottom")])
-    return c.groupBy(*k).applyInPandas(_tables_of_page, out_schema).checkpoint()
+    c = c.repartition(*k).sortWithinPartitions(*k, "top", "x0", "x1", "bottom")
+    return c.mapInPandas(lambda it: _tables_of_pages(it, k), out_schema).checkpoint()
 
 
-def _tables_of_page(pdf):
+def _tables_of_pages(batches, k):
     import numpy as np
     import pandas as pd
 
-    from folio.operators.components import union_find
+    from folio.operators.components import union_find, whole_groups
 
-    pdf = pdf.sort_values(["top", "x0", "x1", "bottom"], kind="mergesort").reset_index(drop=True)
-    n = len(pdf)
-    corners = pd.concat(
-        [
-            pd.DataFrame({"cell": np.arange(n), "cx": pdf[cx].to_numpy(), "cy": pdf[cy].to_numpy()})
-            for cx, cy in (("x0", "top"), ("x1", "top"), ("x0", "bottom"), ("x1", "bottom"))
-        ]
-    )
-    pt = corners.groupby(["cx", "cy"], sort=False).ngroup().to_numpy()
-    # bipartite graph: cells 0..n-1, corner points n..; edges cell -- corner
-    lab = union_find(n + int(pt.max()) + 1 if n else 0, corners["cell"].to_numpy(), pt + n)[:n]
-    # the smallest cell index of a component is its top-left cell (rows are sorted)
-    rank = pd.Series(lab).rank(method="dense").astype("int32") - 1
-    return pdf.assign(table_no=rank.to_numpy())
+    for pdf in whole_groups(batches, k):
+        n = len(pdf)
+        corners = pd.concat(
+            [
+                pdf[k].assign(cell=np.arange(n), cx=pdf[cx].to_numpy(), cy=pdf[cy].to_numpy())
+                for cx, cy in (("x0", "top"), ("x1", "top"), ("x0", "bottom"), ("x1", "bottom"))
+            ],
+            ignore_index=True,
+        )
+        pt = corners.groupby([*k, "cx", "cy"], sort=False).ngroup().to_numpy()
+        # bipartite graph: cells 0..n-1, corner points n..; rows are sorted by page, top, x0,
+        # so a component's smallest cell index is its top-left cell
+        lab = union_find(n + int(pt.max()) + 1, corners["cell"].to_numpy(), pt + n)[:n]
+        rank = pd.Series(lab).groupby([pdf[c] for c in k]).rank(method="dense").astype("int32") - 1
+        yield pdf.assign(table_no=rank.to_numpy())
 
 
 def table_boxes(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
