@@ -51,17 +51,9 @@ def connected_components(edges: DataFrame, group_cols: list[str], max_rounds: in
         labels = jumped.drop("_old")
         if changed == 0:
             break
-    _log_rounds(rnd)
     return labels
 
 
-ROUNDS: list[int] = []
-
-
-def _log_rounds(n: int) -> None:
-    ROUNDS.append(n)
-
-
 def union_find(n: int, a, b):
     """Component labels of nodes 0..n-1 joined by edges (a[i], b[i]): each node gets the
     smallest node of its component.  Vectorised min-label propagation with pointer

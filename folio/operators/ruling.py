@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folio.operators.layout import page_text
-from folio.session import checkpoint_dir
+from folio.session import PAGE_LOCAL, checkpoint_dir, conf_override
 
 PAGE_KEYS = ("doc_id", "page")
 BAND = 64.0  # points; band height used to key range joins
@@ -128,6 +128,14 @@ def edge_intersections(edges: DataFrame, x_tol: float = 3, y_tol: float = 3, key
 
 
 def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:
+    """H1: edges -> cells ``(<keys>, x0, top, x1, bottom)`` (see ``_find_cells``).
+
+    Runs its eager, page-keyed jobs with page-local co-partitioning."""
+    with conf_override(edges.sparkSession, PAGE_LOCAL):
+        return _find_cells(edges, pages, s, keys)
+
+
+def _find_cells(edges: DataFrame, pages: DataFrame | None, s: GridSettings, keys) -> DataFrame:
     """H1: edges -> cells ``(<keys>, x0, top, x1, bottom)``.
 
     For each intersection A the cell is the smallest rectangle right-below A whose
@@ -179,28 +187,31 @@ def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings
         both.join(at_c, [*k, "x2", "y"]).join(at_b, [*k, "x", "y2"])
         .where((F.col("_c_y2") == F.col("y2")) & (F.col("_b_x2") == F.col("x2")))
         .select(*k, "x", "y", "x2", "y2")
+        .checkpoint()
     )
-    # round 2, exact: corners that have a B and a C but no cell yet try every connected B and C
+    # round 2, exact: corners that have a B and a C but no cell yet try every connected B
+    # and C.  Regular grids leave none, and then this plan is never built.
     rest = both.select(*k, "x", "y").join(first, [*k, "x", "y"], "left_anti")
-    downs = (
-        rest.join(vp, [*k, "x", "y"])
-        .join(vp.select(*k, "x", "v_lo", F.col("y").alias("y2")), [*k, "x", "v_lo"])
-        .where(F.col("y2") > F.col("y"))
-        .select(*k, "x", "y", "y2")
-        .distinct()
-    )
-    rights = (
-        rest.join(hp, [*k, "x", "y"])
-        .join(hp.select(*k, "y", "h_lo", F.col("x").alias("x2")), [*k, "y", "h_lo"])
-        .where(F.col("x2") > F.col("x"))
-        .select(*k, "x", "y", "x2")
-        .distinct()
-    )
-    later = closes(downs.join(rights, [*k, "x", "y"]))
-    best = later.withColumn("_r", F.row_number().over(Window.partitionBy(*k, "x", "y").orderBy("y2", "x2"))).where(F.col("_r") == 1)
-    cells = first.unionByName(best.drop("_r"))
-    cells = cells.select(*k, F.col("x").alias("x0"), F.col("y").alias("top"), F.col("x2").alias("x1"), F.col("y2").alias("bottom"))
-    return cells.checkpoint()
+    cells = first
+    if not rest.isEmpty():
+        downs = (
+            rest.join(vp, [*k, "x", "y"])
+            .join(vp.select(*k, "x", "v_lo", F.col("y").alias("y2")), [*k, "x", "v_lo"])
+            .where(F.col("y2") > F.col("y"))
+            .select(*k, "x", "y", "y2")
+            .distinct()
+        )
+        rights = (
+            rest.join(hp, [*k, "x", "y"])
+            .join(hp.select(*k, "y", "h_lo", F.col("x").alias("x2")), [*k, "y", "h_lo"])
+            .where(F.col("x2") > F.col("x"))
+            .select(*k, "x", "y", "x2")
+            .distinct()
+        )
+        later = closes(downs.join(rights, [*k, "x", "y"]))
+        best = later.withColumn("_r", F.row_number().over(Window.partitionBy(*k, "x", "y").orderBy("y2", "x2"))).where(F.col("_r") == 1)
+        cells = first.unionByName(best.drop("_r")).checkpoint()
+    return cells.select(*k, F.col("x").alias("x0"), F.col("y").alias("top"), F.col("x2").alias("x1"), F.col("y2").alias("bottom"))
 
 
 def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:

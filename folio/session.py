@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+@contextmanager
+def conf_override(spark: SparkSession, settings: dict):
+    """Apply SQL settings while the enclosed (eager) jobs run, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Joins keyed by (page, ...) may reuse a partitioning by page alone: a page is bounded,
+# so this never puts a hot key into one task.  Only used around page-keyed jobs.
+PAGE_LOCAL = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder, for tables written to cut lineage."""
     base = checkpoint_dir(spark).rstrip("/")
