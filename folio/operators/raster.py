@@ -1,9 +1,12 @@
 """Image operators as table operators over ``pixels(image_id, y, x, v)``.
 
-All arithmetic is integer.  Kernels read their neighbours through an
-equi-join on ``(image_id, y, x)`` of the reflected coordinates (border
-'reflect 101': -1 -> 1, n -> n-2), so no join pairs a pixel with more than
-its kernel.  Dilation is a moving maximum (RANGE window) along x, then y.
+All arithmetic is integer.  Kernels run on scan lines (one row per image
+line, an array of values): the x pass is a built-in ``transform`` over the
+reflected neighbours (border 'reflect 101': -1 -> 1, n -> n-2), the y pass
+sends each line to the few target lines it feeds and sums them with
+``aggregate``, so a pass shuffles each value about kernel-height times and
+never joins pixel rows.  Dilation is a moving maximum (RANGE window) along x,
+then y.
 """
 
 from __future__ import annotations
@@ -44,35 +47,77 @@ def to_gray(planes: DataFrame, channel: str = "channel") -> DataFrame:
     return g.where(F.col("_n") == 3).select(IMG, "y", "x", ((F.col("_s") + 500) / 1000).cast("long").cast("int").alias("v"))
 
 
-def _gather(pixels: DataFrame, offsets: list[tuple[int, int, int]], dims: DataFrame) -> DataFrame:
-    """Every target pixel with its kernel neighbours' values: (image, y, x, w, nv)."""
-    off = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(w).alias("w")) for dy, dx, w in offsets]))
-    t = pixels.select(IMG, "y", "x").join(dims, IMG).select(IMG, "y", "x", "_h", "_w", off.alias("_o"))
-    t = t.select(
-        IMG, "y", "x", F.col("_o.w").alias("w"),
-        reflect101(F.col("y") + F.col("_o.dy"), F.col("_h")).alias("sy"),
-        reflect101(F.col("x") + F.col("_o.dx"), F.col("_w")).alias("sx"),
+def to_lines(pixels: DataFrame) -> DataFrame:
+    """Scan lines ``(image_id, y, line ARRAY<BIGINT>, _h)``: one row per image line, values
+    in x order (images are dense), plus the image height."""
+    lines = pixels.groupBy(IMG, "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("_l"))
+    lines = lines.select(IMG, "y", F.transform("_l", lambda p: p["v"].cast("long")).alias("line"))
+    return lines.withColumn("_h", F.max("y").over(Window.partitionBy(IMG)) + 1)
+
+
+def from_lines(lines: DataFrame, col: str = "line") -> DataFrame:
+    return lines.select(IMG, "y", F.posexplode(col).alias("x", "v"))
+
+
+def _xpass(line: Column, weights: list[int]) -> Column:
+    """Weighted sum along a line at reflected neighbours: a built-in ``transform``."""
+    r = len(weights) // 2
+    n = F.size(line)
+
+    def at(x, k):
+        return F.element_at(line, reflect101(x + k, n) + 1)
+
+    def out(x):
+        terms = [at(x, i - r) * w for i, w in enumerate(weights) if w != 0]
+        total = terms[0]
+        for t in terms[1:]:
+            total = total + t
+        return total
+
+    return F.transform(F.sequence(F.lit(0), n - 1), out)
+
+
+def _ypass(lines: DataFrame, rows: list[tuple[int, list[int]]]) -> DataFrame:
+    """Combine lines across y: target line t sums, over kernel rows (dy, row weights), the
+    x-pass of line reflect(t + dy).  Each source line is sent only to the target lines it
+    feeds (at most three candidates per kernel row, checked against the reflection), so
+    the shuffle carries kernel-height copies of each line and no pixel-level join."""
+    entry = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), _xpass(F.col("line"), w).alias("part")) for dy, w in rows]))
+    c = lines.select(IMG, "y", "_h", entry.alias("_e")).select(IMG, "y", "_h", F.col("_e.dy").alias("dy"), F.col("_e.part").alias("part"))
+    cand = F.array_distinct(F.array(F.col("y") - F.col("dy"), -F.col("y") - F.col("dy"), 2 * (F.col("_h") - 1) - F.col("y") - F.col("dy")))
+    c = c.select(IMG, "y", "_h", "dy", "part", F.explode(cand).alias("t"))
+    c = c.where((F.col("t") >= 0) & (F.col("t") < F.col("_h")) & (reflect101(F.col("t") + F.col("dy"), F.col("_h")) == F.col("y")))
+    g = c.groupBy(IMG, F.col("t").alias("y"), "_h").agg(F.collect_list("part").alias("_parts"))
+    width = F.size(F.element_at("_parts", 1))
+    summed = F.transform(
+        F.sequence(F.lit(0), width - 1),
+        lambda x: F.aggregate("_parts", F.lit(0).cast("long"), lambda acc, p: acc + F.element_at(p, x + 1)),
     )
-    src = pixels.select(IMG, F.col("y").alias("sy"), F.col("x").alias("sx"), F.col("v").alias("nv"))
-    return t.join(src, [IMG, "sy", "sx"])
+    return g.select(IMG, "y", summed.alias("line"), "_h")
 
 
 def convolve(pixels: DataFrame, kernel: list[list[int]], clamp: bool = True) -> DataFrame:
     """K2: integer 2-D convolution (correlation), reflect-101 borders, saturated to 0..255."""
     r = len(kernel) // 2
-    offsets = [(dy - r, dx - r, kernel[dy][dx]) for dy in range(len(kernel)) for dx in range(len(kernel[0])) if kernel[dy][dx] != 0]
-    g = _gather(pixels, offsets, image_dims(pixels)).groupBy(IMG, "y", "x").agg(F.sum(F.col("w") * F.col("nv")).alias("v"))
+    out = _ypass(to_lines(pixels), [(dy - r, list(kernel[dy])) for dy in range(len(kernel))])
+    px = from_lines(out)
     v = F.greatest(F.lit(0), F.least(F.lit(255), F.col("v"))) if clamp else F.col("v")
-    return g.select(IMG, "y", "x", v.cast("int").alias("v"))
+    return px.select(IMG, "y", "x", v.cast("int").alias("v"))
 
 
 def weighted_sum(pixels: DataFrame, weights: list[int]) -> DataFrame:
-    """Separable integer weighted sum (x pass, then y pass): ``(image, y, x, v, s)``."""
+    """Separable integer weighted sum (x pass, then y pass) on scan lines: ``(image, y, x, v, s)``."""
     r = len(weights) // 2
-    dims = image_dims(pixels)
-    xs = _gather(pixels, [(0, i - r, w) for i, w in enumerate(weights)], dims).groupBy(IMG, "y", "x").agg(F.sum(F.col("w") * F.col("nv")).alias("v"))
-    ys = _gather(xs, [(i - r, 0, w) for i, w in enumerate(weights)], dims).groupBy(IMG, "y", "x").agg(F.sum(F.col("w") * F.col("nv")).alias("s"))
-    return ys.join(pixels.select(IMG, "y", "x", "v"), [IMG, "y", "x"])
+    lines = to_lines(pixels)
+    xs = lines.select(IMG, "y", "_h", "line", _xpass(F.col("line"), weights).alias("_xs"))
+    ys = _ypass(xs.select(IMG, "y", "_h", F.col("_xs").alias("line")), [(i - r, [w]) for i, w in enumerate(weights)])
+    both = ys.withColumnRenamed("line", "_s").join(lines.select(IMG, "y", "line"), [IMG, "y"])
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.size("line") - 1),
+        lambda i: F.struct(F.element_at("line", i + 1).alias("v"), F.element_at("_s", i + 1).alias("s")),
+    )
+    z = both.select(IMG, "y", F.posexplode(pairs).alias("x", "_z"))
+    return z.select(IMG, "y", F.col("x").cast("int").alias("x"), F.col("_z.v").cast("int").alias("v"), F.col("_z.s").alias("s"))
 
 
 def blur(pixels: DataFrame, size: int = 9) -> DataFrame:
