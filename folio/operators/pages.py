@@ -15,9 +15,18 @@ def select_page(df: DataFrame, n: int, page_col: str = "page") -> DataFrame:
     return df.where(F.col(page_col) == n)
 
 
-def number_pages(df: DataFrame, base: int = 1, page_col: str = "page", name: str = "page_number") -> DataFrame:
-    """Page numbers counted from ``base`` (0 for metadata, 1 for reports)."""
-    return df.withColumn(name, F.col(page_col) + F.lit(base))
+def number_pages(
+    df: DataFrame, base: int = 1, page_col: str | None = "page", name: str = "page_number", doc_col: str = "doc_id", order_cols: tuple[str, ...] = ()
+) -> DataFrame:
+    """Page numbers counted from ``base`` (0 for metadata, 1 for reports).
+
+    Without a page column, pages are numbered in ``order_cols`` order inside each
+    document (distributed numbering, see ``numbering.ordinal``)."""
+    if page_col is not None:
+        return df.withColumn(name, F.col(page_col) + F.lit(base))
+    from folio.operators.numbering import ordinal
+
+    return ordinal(df, [doc_col], list(order_cols), name=name, base=base)
 
 
 def empty_pages(pages: DataFrame, keys=PAGE_KEYS, squeeze: bool = True) -> DataFrame:

@@ -292,10 +292,42 @@ def table_grid(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     return slots.join(c.drop("_ncols"), [*t, "row_no", "col_no"], "left")
 
 
-def extract_tables(words: DataFrame, edges: DataFrame, pages: DataFrame | None = None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:
+def crop_edges(edges: DataFrame, box) -> DataFrame:
+    """B8 for rules: keep the rules that touch ``box`` and clip their span to it."""
+    bx0, bt, bx1, bb = (float(b) for b in box)
+    h = F.col("orient") == "h"
+    x0 = F.when(h, F.col("lo")).otherwise(F.col("pos"))
+    x1 = F.when(h, F.col("hi")).otherwise(F.col("pos"))
+    top = F.when(h, F.col("pos")).otherwise(F.col("lo"))
+    bottom = F.when(h, F.col("pos")).otherwise(F.col("hi"))
+    ow = F.least(x1, F.lit(bx1)) - F.greatest(x0, F.lit(bx0))
+    oh = F.least(bottom, F.lit(bb)) - F.greatest(top, F.lit(bt))
+    keep = (ow >= 0) & (oh >= 0) & ((ow + oh) > 0)
+    lo = F.when(h, F.greatest("lo", F.lit(bx0))).otherwise(F.greatest("lo", F.lit(bt)))
+    hi = F.when(h, F.least("hi", F.lit(bx1))).otherwise(F.least("hi", F.lit(bb)))
+    return edges.where(keep).withColumn("lo", lo).withColumn("hi", hi)
+
+
+def extract_tables(
+    words: DataFrame,
+    edges: DataFrame,
+    pages: DataFrame | None = None,
+    s: GridSettings = DEFAULT,
+    keys=PAGE_KEYS,
+    crop_box=None,
+) -> DataFrame:
     """H3: ``(<keys>, table_no, row_no, col_no, txt)``; a slot without a cell is null, a cell
-    without words is ''; the words of a cell become lines (E5) joined with newlines."""
+    without words is ''; the words of a cell become lines (E5) joined with newlines.
+
+    ``crop_box`` (the reference's ``crop=True`` uses the A4 box (3, 70, 590, 770)) crops
+    the page's rules and words before the tables are found, as the main parser does for
+    tables only."""
     k = list(keys)
+    if crop_box is not None:
+        from folio.operators.layout import crop
+
+        edges = crop_edges(edges, crop_box)
+        words = crop(words, crop_box)
     cells = group_cells(find_cells(edges, pages, s, keys), keys)
     grid = table_grid(cells, keys)
     ck = [*k, "table_no", "row_no", "col_no"]

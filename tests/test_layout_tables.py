@@ -95,3 +95,26 @@ def test_ordinal_matches_row_number_on_a_hot_group(spark):
         for n, r in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))):
             exp[r[2]] = n
     assert got == exp
+
+
+def test_extract_tables_with_crop(spark):
+    # a 2x2 grid at the top of the page (above the A4 crop box) and one inside it
+    e = grid_edges([10, 60, 110], [20, 40, 60]) + [
+        (1, 0, o, p + (100.0 if o == "h" else 0.0), lo + (100.0 if o == "v" else 0.0), hi + (100.0 if o == "v" else 0.0))
+        for (_, _, o, p, lo, hi) in grid_edges([10, 60, 110], [20, 40, 60])
+    ]
+    edges = spark.createDataFrame(e, "doc_id long, page int, orient string, pos double, lo double, hi double")
+    words = spark.createDataFrame([(1, 0, 0, "top", 20.0, 30.0, 22.0, 30.0), (1, 0, 1, "in", 20.0, 30.0, 122.0, 130.0)], WORDS)
+    whole = R.extract_tables(words, edges)
+    assert whole.select("table_no").distinct().count() == 2
+    cropped = R.extract_tables(words, edges, crop_box=(3, 70, 590, 770)).collect()
+    assert {r.table_no for r in cropped} == {0}
+    assert [r.txt for r in cropped if r.row_no == 0 and r.col_no == 0] == ["in"]
+
+
+def test_number_pages_without_page_column(spark):
+    from folio.operators.pages import number_pages
+
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z")], "doc_id long, key string")
+    got = {(r.doc_id, r.key): r.page_number for r in number_pages(df, base=1, page_col=None, order_cols=("key",)).collect()}
+    assert got == {(1, "a"): 1, (1, "b"): 2, (2, "z"): 1}
