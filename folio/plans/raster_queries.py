@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from folio.operators import raster as K
 from folio.plans.registry import query
