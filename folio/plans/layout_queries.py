@@ -422,3 +422,46 @@ group by b.doc_id, b.page""",
 def q_text_between_tables(spark, d):
     boxes = R.table_boxes(R.group_cells(R.find_cells(fx.edges(spark, d))))
     return L.text_between_tables(fx.words(spark, d), boxes, fx.pages(spark, d))
+
+
+# ---------------------------------------------------------------- tables on the cropped page (J2 crop, quirk 16)
+
+EDGES_CROP_SQL = """select doc_id, page, orient, pos,
+       case when orient = 'h' then greatest(lo, 3.0e0) else greatest(lo, 70.0e0) end as lo,
+       case when orient = 'h' then least(hi, 590.0e0) else least(hi, 770.0e0) end as hi
+from (select *, least(case when orient = 'h' then hi else pos end, 590.0e0) - greatest(case when orient = 'h' then lo else pos end, 3.0e0) as ow,
+                least(case when orient = 'h' then pos else hi end, 770.0e0) - greatest(case when orient = 'h' then pos else lo end, 70.0e0) as oh
+      from edges) e
+where ow >= 0 and oh >= 0 and ow + oh > 0"""
+
+WORDS_CROP_SQL = """select doc_id, page, word_no, word, greatest(x0, 3.0e0) as x0, least(x1, 590.0e0) as x1,
+       greatest(top, 70.0e0) as top, least(bottom, 770.0e0) as bottom
+from (""" + GRID_WORDS_SQL + """) w
+where least(x1, 590.0e0) - greatest(x0, 3.0e0) >= 0 and least(bottom, 770.0e0) - greatest(top, 70.0e0) >= 0
+  and (least(x1, 590.0e0) - greatest(x0, 3.0e0)) + (least(bottom, 770.0e0) - greatest(top, 70.0e0)) > 0"""
+
+
+def _cropped_ctes():
+    out = [("edges_c", EDGES_CROP_SQL)]
+    for name, sql in EXTRACT_CTES:
+        if name == "snapped":
+            sql = sql.replace("from edges) a) b", "from edges_c) a) b")
+        if name == "allw":
+            sql = WORDS_CROP_SQL
+        out.append((name, sql))
+    return out
+
+
+@query(
+    "extract_tables_cropped",
+    ("words", "grid_words", "edges"),
+    """select s.doc_id, s.page, s.table_no, s.row_no, s.col_no,
+       case when g.x0 is null then null else coalesce(t.text, '') end as txt
+from slots s
+left join grid g on s.doc_id = g.doc_id and s.page = g.page and s.table_no = g.table_no and s.row_no = g.row_no and s.col_no = g.col_no
+left join ct t on s.doc_id = t.doc_id and s.page = t.page and s.table_no = t.table_no and s.row_no = t.row_no and s.col_no = t.col_no""",
+    _cropped_ctes(),
+    recursive=True,
+)
+def q_extract_tables_cropped(spark, d):
+    return R.extract_tables(_all_words(spark, d), fx.edges(spark, d), crop_box=L.CROP_BOX)
