@@ -370,3 +370,17 @@ where c.page = (select page from (select page, row_number() over (order by page)
 def q_sample_page(spark, d):
     summary = A.corpus_summary(fx.files(spark, d), fx.pages(spark, d))
     return A.sample_page(_corpus(spark, d), summary, 5)
+
+
+ALL_TABLES_CTES = [
+    (n, "select doc_id, page, string_agg(md, chr(10) || chr(10) order by table_no) as md from md_tables group by doc_id, page")
+    if n == "last_md"
+    else (n, s)
+    for n, s in CORPUS_CTES
+]
+
+
+@query("build_corpus_all_tables", ("files", "pages", "ocr_lines", "cells"), "select * from corpus", ALL_TABLES_CTES)
+def q_build_corpus_all_tables(spark, d):
+    """G4 with ``tables_kept='all'``: every table of a page, not only the last, joined by a blank line."""
+    return A.build_corpus(fx.files(spark, d), fx.pages(spark, d), fx.ocr_lines(spark, d), fx.cells(spark, d), lang="en", tables_kept="all")
