@@ -204,7 +204,12 @@ def text_between_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, ke
         *k, F.col("_n").alias("band"), F.col("bottom").alias("lo"), F.col("height").alias("hi"), "width"
     )
     bands = above.unionByName(last)
-    j = words.join(bands.select(*k, "band", "lo", "hi", "width"), k).where(inside((F.lit(0.0), F.col("lo"), F.col("width"), F.col("hi"))))
+    # a word lies in at most one band: key the join by (page, 64-point bucket of y) so each
+    # word meets only the bands around it, not every band of its page
+    bucket = lambda c: F.floor(c / F.lit(64.0)).cast("long")
+    bk = bands.select(*k, "band", "lo", "hi", "width").withColumn("_b", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))))
+    wk = words.withColumn("_b", bucket(F.col("top")))
+    j = wk.join(bk, [*k, "_b"]).where(inside((F.lit(0.0), F.col("lo"), F.col("width"), F.col("hi"))))
     t = page_text(j.select(*k, "band", "word_no", "word", "x0", "x1", "top", "bottom"), keys=(*k, "band"))
     all_bands = bands.select(*k, "band").join(t, [*k, "band"], "left").withColumn("text", F.coalesce("text", F.lit("")))
     g = all_bands.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("band", "text"))).alias("_bs"))
