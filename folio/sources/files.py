@@ -115,7 +115,10 @@ PAGE_TEXT_SCHEMA = T.StructType([T.StructField("page", T.IntegerType()), T.Struc
 
 
 def form_feed_pages(path: str, content: bytes) -> Iterator[dict]:
-    """Example decoder: UTF-8 text whose pages are separated by form feeds."""
+    """Example decoder: UTF-8 text whose pages are separated by form feeds (the file's
+    final line terminator is not part of the last page)."""
     text = content.decode("utf-8")
+    if text.endswith("\n"):
+        text = text[:-1]
     for i, t in enumerate(text.split("\f")):
         yield {"page": i, "page_text": t}
