@@ -80,12 +80,15 @@ def decode(
     fn: Callable[[str, bytes], Iterable[dict]],
     schema: T.StructType,
     suffix: str | None = None,
+    materialize: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Run a per-file decoder over every file under ``root``.
 
     ``fn(path, content)`` yields dicts matching ``schema``.  Returns
     ``(rows, errors)``: rows carry ``path`` plus the schema's fields; errors are
-    ``(path, error)`` for files whose decoder raised.
+    ``(path, error)`` for files whose decoder raised.  With ``materialize`` the
+    decoded table is checkpointed once (to ``spark.checkpoint.dir``), so reading
+    both outputs does not run the decoders twice.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
@@ -106,6 +109,11 @@ def decode(
             yield pd.DataFrame(out, columns=["path", "error", *cols])
 
     decoded = src.mapInPandas(run, out_schema)
+    if materialize:
+        from folio.session import checkpoint_dir
+
+        checkpoint_dir(spark)
+        decoded = decoded.checkpoint()
     rows = decoded.where(F.col("error").isNull()).drop("error")
     errors = decoded.where(F.col("error").isNotNull()).select("path", "error")
     return rows, errors
