@@ -118,3 +118,19 @@ def test_number_pages_without_page_column(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "z")], "doc_id long, key string")
     got = {(r.doc_id, r.key): r.page_number for r in number_pages(df, base=1, page_col=None, order_cols=("key",)).collect()}
     assert got == {(1, "a"): 1, (1, "b"): 2, (2, "z"): 1}
+
+
+def test_crop_touching_and_within(spark):
+    box = (10.0, 10.0, 100.0, 100.0)
+    rows = [
+        (1, 0, 0, "inside", 20.0, 30.0, 20.0, 30.0),
+        (1, 0, 1, "straddle", 90.0, 120.0, 50.0, 60.0),  # clipped to x1 = 100
+        (1, 0, 2, "touch", 100.0, 110.0, 50.0, 60.0),  # touches the right edge: overlap 0 in x, > 0 in y
+        (1, 0, 3, "corner", 100.0, 110.0, 100.0, 110.0),  # touches only at a corner: dropped
+        (1, 0, 4, "outside", 200.0, 210.0, 50.0, 60.0),
+    ]
+    words = spark.createDataFrame(rows, WORDS)
+    got = {r.word: (r.x0, r.x1, r.top, r.bottom) for r in L.crop(words, box).collect()}
+    assert set(got) == {"inside", "straddle", "touch"}
+    assert got["straddle"] == (90.0, 100.0, 50.0, 60.0)
+    assert {r.word for r in L.within_bbox(words, box).collect()} == {"inside"}
