@@ -135,3 +135,18 @@ def test_flatten_line_boxes(spark):
     got = [r.b for r in df.select(B.flatten_line_boxes("lines").alias("b")).collect()]
     assert [len(b) for b in got] == [3, 0]
     assert got[0][2][0].x == 5.0
+
+
+def test_stream_restart_is_exactly_once(spark, tmp_path):
+    rows = [(".\\2024\\A\\doc.pdf", 0, 0, "one", None, None), (".\\2024\\A\\doc.pdf", 0, 1, "two", None, None)]
+    spark.createDataFrame(rows, S.DROP_SCHEMA).write.parquet(str(tmp_path / "in"))
+    args = (spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    S.stream_corpus(*args).awaitTermination()
+    first = sorted(map(tuple, S.read_corpus(spark, str(tmp_path / "out")).collect()))
+    S.stream_corpus(*args).awaitTermination()  # restart: the checkpoint says everything is done
+    again = sorted(map(tuple, S.read_corpus(spark, str(tmp_path / "out")).collect()))
+    assert first == again and len(first) == 2
+    spark.createDataFrame([(".\\2024\\B\\doc.pdf", 1, 0, "new", None, None)], S.DROP_SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
+    S.stream_corpus(*args).awaitTermination()  # only the new drop is processed; it replaces the title
+    last = sorted((r.page, r.page_content, r.second_division) for r in S.read_corpus(spark, str(tmp_path / "out")).collect())
+    assert last == [(0, "This page explains doc.\nnew", "B")]
