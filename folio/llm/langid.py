@@ -10,7 +10,7 @@ Calibration, on labelled documents the models were not fitted on: the
 temperature that turns cross-entropies into a score between 0 and 1, and the
 cross-entropy per language beyond which a text is rejected (``rejected``): the
 REJECT_QUANTILE of texts in that language, widened by REJECT_SLACK and, for
-short texts, by 2 / sqrt(characters).
+short texts, by 4 / sqrt(characters).
 
 Fitting uses a bounded sample: at most about FIT_DOCS documents a language for
 the counts and CALIBRATE_DOCS for the calibration, whole texts, drawn by hash.
@@ -30,7 +30,7 @@ ORDER = 5
 FIT_DOCS = 1500  # documents per language, about
 CALIBRATE_DOCS = 500
 REJECT_QUANTILE = 0.999
-REJECT_SLACK = 1.3
+REJECT_SLACK = 1.4
 TEMPERATURES = [2.0, 5.0, 10.0, 20.0, 40.0, 80.0]
 MEMORY_CHARS = 4_000_000  # characters of remembered words in a Python worker
 
@@ -285,7 +285,7 @@ def identify(docs: DataFrame, fitted) -> DataFrame:
                 "lang_pred": [langs[b] if s else "und" for b, s in zip(best, some, strict=True)],
                 "score": np.where(some, score, 0.0),
                 "cross_entropy": [float(x) if s else None for x, s in zip(low, some, strict=True)],
-                "rejected": ~some | (low > limits[best] + 2 / np.sqrt(np.maximum(chars, 1))),
+                "rejected": ~some | (low > limits[best] + 4 / np.sqrt(np.maximum(chars, 1))),
             }
 
     return map_rows(rows, run, SCHEMA)
