@@ -1,19 +1,67 @@
-"""The training-data pipeline over ``documents``: STAGES in order, each written as Parquet and reread."""
+"""The training-data pipeline over ``documents``: STAGES in order, each written as Parquet and reread.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``docs``.  Rows are kept or dropped by doc_id; rows
+without a doc_id can't be named by a decision on others and are kept, except
+by the stages that judge each row by itself.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folio.llm import bpe, decontaminate, jaccard_join, langid, toxicity
+from folio.llm.common import join_ids, table, written
+
+
+def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``docs`` less the rows with one of these doc_ids; the ids are written first, so they are counted and made once."""
+    gone = written(ids.filter("doc_id is not null").distinct(), name)
+    return join_ids(docs, gone, "doc_id", "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that language identification rejects go."""
+    judged = langid.identify(docs, langid.fit(docs))
+    return _without(docs, judged.filter("rejected").select("doc_id"), "rejected-language")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents predicted toxic go."""
+    judged = toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return _without(docs, judged.filter("predicted = 1").select("doc_id"), "rejected-toxic")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: one document of each group stays, the one whose id is the group's (its first row, if the id is repeated)."""
+    joined = jaccard_join.near_duplicates(docs)
+    kept = _without(docs, joined.filter("doc_id != class_id").select("doc_id"), "near-duplicates")
+    again = written(kept.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "repeated-ids")
+    n = again.count()
+    once = kept if not n else join_ids(kept, again, "doc_id", "left_anti", n).unionByName(join_ids(kept, again, "doc_id", "left_semi", n).dropDuplicates(["doc_id"]))
+    return once.select(docs.columns)
+
 
-from folio.llm import bpe
-from folio.llm.common import table, written
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: documents that hold a benchmark item go."""
+    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks.select("doc_id"), "contaminated")
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the digests of the ids and of the decoded text."""
     return bpe.encode_documents(docs)
 
 
-STAGES = [("bpe", encode)]
-ORACLE_SQL = None
+STAGES = [
+    ("language", language),
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("bpe", encoded),
+]
+ORACLE_SQL = None  # fitted models and tokenizers are not SQL; tests hold the rows against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
