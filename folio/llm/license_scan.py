@@ -84,7 +84,8 @@ def scan_licenses(docs: DataFrame, sentences: DataFrame, rules: DataFrame, max_g
     # a sentence of another length than the known ones is not normalised at all
     low, high = known.agg(F.coalesce(F.min(F.length("norm")), F.lit(0)), F.coalesce(F.max(F.length("norm")), F.lit(-1))).first()
     found = (
-        docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", SENTENCE_END)).alias("pos", "_s"))
+        docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .select("_row", "doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("pos", "_s"))
         .filter(F.length("_s") >= low)
         .withColumn("norm", normalised(F.col("_s")))
         .filter(F.length("norm").between(low, high))
