@@ -66,7 +66,6 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
     index = rule_index(rules)
     n, labels, depth = index.agg(F.count("*"), F.coalesce(F.max("labels"), F.lit(0)), F.coalesce(F.max("depth"), F.lit(0))).first()
     u = urls.select(F.monotonically_increasing_id().alias("_row"), "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    # distinct hosts and anchors are judged row by row; only the expressions are exploded
     parts = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.least(F.size(parts), F.lit(max(labels, 1)))),
@@ -78,18 +77,19 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
         F.sequence(F.lit(1), F.least(F.size(steps), F.lit(max(depth, 1)))),
         lambda k: F.when(k == 1, F.lit("")).otherwise(F.concat(F.array_join(F.slice(steps, 1, k - 1), "/"), F.lit("/"))),
     )
+    # at least one expression a row, so that the left join below keeps every row
     expressions = (
-        u.select("_row", "path", F.explode(suffixes).alias("_host"), anchors.alias("_anchors"))
-        .select("_row", "path", "_host", F.explode("_anchors").alias("_anchor"))
-        .select("_row", "path", _digest(F.col("_host"), F.col("_anchor")).alias("_digest"))
-        .withColumn("prefix", F.substring("_digest", 1, PREFIX_HEX))
+        u.withColumn("_host", F.explode(suffixes))
+        .withColumn("_anchor", F.explode(anchors))
+        .withColumn("_digest", _digest(F.col("_host"), F.col("_anchor")))
+        .select("_row", "page_id", "host", "path", "_digest", F.substring("_digest", 1, PREFIX_HEX).alias("prefix"))
     )
     if n <= BROADCAST_RULES:
-        joined = expressions.join(F.broadcast(index), "prefix")
+        joined = expressions.join(F.broadcast(index), "prefix", "left")
     else:
         salted = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = expressions.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int")).join(salted, ["prefix", "_salt"])
-    fits = joined.filter((F.col("_digest") == F.col("rule_digest")) & F.expr("startswith(path, rule_path)"))
+        joined = expressions.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int")).join(salted, ["prefix", "_salt"], "left")
+    fits = (F.col("_digest") == F.col("rule_digest")) & F.expr("startswith(path, rule_path)")
     precedence = F.struct(
         F.length(F.concat("rule_host", "rule_path")).alias("n"),
         F.length("rule_host").alias("h"),
@@ -97,13 +97,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
         F.concat("rule_host", "rule_path").alias("rule"),
         F.col("action").alias("action"),
     )
-    best = fits.groupBy("_row").agg(F.max(precedence).alias("_best"))
-    return u.join(best, "_row", "left").select(
-        "page_id",
-        "host",
-        "path",
-        F.col("_best.rule").alias("rule"),
-        F.coalesce("_best.action", F.lit(default)).alias("verdict"),
+    return (
+        joined.groupBy("_row", "page_id", "host", "path")
+        .agg(F.max(F.when(fits, precedence)).alias("_best"))
+        .select("page_id", "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.action", F.lit(default)).alias("verdict"))
     )
 
 
