@@ -61,7 +61,7 @@ def gram_hashes(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndar
     h = [np.zeros(len(flat), np.uint64)]
     for k in range(1, ORDER + 1):
         far = np.zeros(len(flat), np.uint64)
-        far[k - 1 :] = flat[: len(flat) - k + 1]  # the k-th character back; beyond the word's start it is not used
+        far[k - 1 :] = flat[: max(len(flat) - k + 1, 0)]  # the k-th character back; beyond the word's start it is not used
         x = (h[-1] + (far + np.uint64(k << 24)) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
         h.append(x ^ (x >> np.uint64(31)))
     return h, place, np.repeat(np.arange(len(words)), sizes)
