@@ -32,13 +32,18 @@ _def(
     "raw_pages",
     (),
     r"""select doc_id, page, substr(text, page * 1800 + 1, 1800) as raw
-from (select doc_id, text,
-             cast(unnest(range(0, 1 + cast(floor((length(text) - 1) / 1800) as int))) as int) as page
+from (select doc_id, text, cast(unnest(range(0, 1 + cast(floor((length(text) - 1) / 1800) as int))) as int) as page
       from documents)""",
 )
+_def(
+    "table_pages",
+    (),
+    r"""select l_orderkey % (select count(*) from documents) as doc_id, cast(floor((count(distinct l_orderkey) - 1) / 2) as int) as last_page
+from lineitem group by all""",
+)
 _def(
     "pages",
-    ("raw_pages",),
+    ("table_pages",),
     r"""select doc_id, page,
        case when doc_id % 13 = 0 then 500.0e0 else 595.0e0 end as width,
        case when doc_id % 13 = 0 then 700.0e0 else 841.0e0 end as height,
@@ -46,7 +51,10 @@ _def(
        case when (doc_id + page) % 7 = 0 then ''
             else replace(replace(replace(raw, 'th', concat('t-', chr(10), 'h')), ', ', ',  '),
                          '. ', '.    ') end as page_text
-from raw_pages""",
+from (select doc_id, page, coalesce(substr(text, page * 1800 + 1, 1800), '') as raw
+      from (select d.doc_id, d.text,
+                   cast(unnest(range(0, 1 + greatest(coalesce(cast(floor((length(d.text) - 1) / 1800) as int), -1), coalesce(t.last_page, -1)))) as int) as page
+            from documents d left join table_pages t on d.doc_id = t.doc_id) p) q""",
 )
 _def(
     "pages_warn",
@@ -127,20 +135,22 @@ cross join (values (0), (1), (2), (3)) v(col_no)""",
 _def(
     "grids",
     ("table_rows",),
-    r"""select doc_id, page, table_no, cast(60 + 350 * table_no as double) as y0, least(max(row_no), 11) + 1 as n_rows
-from table_rows group by doc_id, page, table_no""",
+    r"""select doc_id, page, table_no, n_rows,
+       cast(60 + coalesce(sum(greatest(350, 20 * n_rows + 50))
+            over (partition by doc_id, page order by table_no rows between unbounded preceding and 1 preceding), 0) as double) as y0
+from (select doc_id, page, table_no, max(row_no) + 1 as n_rows from table_rows group by doc_id, page, table_no) g""",
 )
 _def(
     "edges",
     ("grids",),
     r"""select doc_id, page, 'h' as orient, y0 + 20.0e0 * r as pos, 50.0e0 as lo, 229.0e0 as hi
-from grids cross join (values (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12)) v(r) where r <= n_rows
+from (select *, unnest(range(0, n_rows + 1)) as r from grids) a
 union all
 select doc_id, page, 'h' as orient, y0 + 20.0e0 * r + 0.5e0 * (r % 3) as pos, 231.0e0 as lo, 410.0e0 as hi
-from grids cross join (values (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12)) v(r) where r <= n_rows
+from (select *, unnest(range(0, n_rows + 1)) as r from grids) b
 union all
 select doc_id, page, 'v' as orient, 50.0e0 + 90.0e0 * c as pos, y0 as lo, y0 + 20.0e0 * n_rows + 1.0e0 as hi
-from grids cross join (values (0),(1),(2),(3),(4)) v(c)
+from (select *, unnest(range(0, 5)) as c from grids) c
 union all
 select doc_id, page, 'h' as orient, y0 + 9.0e0 as pos, 500.0e0 as lo, 502.0e0 as hi from grids""",
 )
@@ -154,7 +164,7 @@ _def(
        g.y0 + 20.0e0 * c.row_no + 4.0e0 as top,
        g.y0 + 20.0e0 * c.row_no + 16.0e0 as bottom
 from cells c join grids g on c.doc_id = g.doc_id and c.page = g.page and c.table_no = g.table_no
-where c.txt is not null and c.txt <> '' and c.row_no < g.n_rows""",
+where c.txt is not null and c.txt <> ''""",
 )
 _def(
     "raw_pixels",

@@ -57,30 +57,45 @@ def doc_lang(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "lang")
 
 
-def raw_pages(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    last = F.floor((F.length("text") - 1) / PAGE_CHARS).cast("int")
-    return docs.select("doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("page")).select(
+def _pages_up_to(docs: DataFrame, last: Column) -> DataFrame:
+    """One row per page 0..last (none if last is negative) with its slice of the text."""
+    return docs.where(last >= 0).select("doc_id", "text", F.explode(F.sequence(F.lit(0), last)).alias("page")).select(
         "doc_id",
         "page",
         F.col("text").substr(F.col("page") * PAGE_CHARS + 1, F.lit(PAGE_CHARS)).alias("raw"),
     )
 
 
+def _last_text_page() -> Column:
+    return F.floor((F.length("text") - 1) / PAGE_CHARS).cast("int")
+
+
+def raw_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages that hold text."""
+    return _pages_up_to(table(spark, d, "documents").select("doc_id", "text"), _last_text_page())
+
+
 def pages(spark: SparkSession, d: str) -> DataFrame:
-    """F2 ``pages(doc_id, page, width, height, raw, page_text)``."""
+    """F2 ``pages(doc_id, page, width, height, raw, page_text)``: the text pages, and the pages of a
+    document's tables behind them (without text)."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    n_docs = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
+    orders = table(spark, d, "lineitem").select("l_orderkey").distinct()
+    held = orders.groupBy((F.col("l_orderkey") % n_docs).alias("doc_id")).agg(F.floor((F.count(F.lit(1)) - 1) / 2).cast("int").alias("_tables_to"))
+    last = F.greatest(F.coalesce(_last_text_page(), F.lit(-1)), F.coalesce("_tables_to", F.lit(-1)))
     small = (F.col("doc_id") % 13) == 0
+    raw = F.coalesce("raw", F.lit(""))
     text = F.replace(
-        F.replace(F.replace("raw", F.lit("th"), F.lit("t-\nh")), F.lit(", "), F.lit(",  ")),
+        F.replace(F.replace(raw, F.lit("th"), F.lit("t-\nh")), F.lit(", "), F.lit(",  ")),
         F.lit(". "),
         F.lit(".    "),
     )
-    return raw_pages(spark, d).select(
+    return _pages_up_to(docs.join(held, "doc_id", "left"), last).select(
         "doc_id",
         "page",
         F.when(small, 500.0).otherwise(595.0).alias("width"),
         F.when(small, 700.0).otherwise(841.0).alias("height"),
-        "raw",
+        raw.alias("raw"),
         F.when((F.col("doc_id") + F.col("page")) % 7 == 0, F.lit("")).otherwise(text).alias("page_text"),
     )
 
@@ -141,70 +156,46 @@ def words(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def table_rows(spark: SparkSession, d: str) -> DataFrame:
-    """One table per order, one row per line item, two tables per page."""
+def tables(spark: SparkSession, d: str) -> DataFrame:
+    """One table per order, one row per line item, two tables per page, all from one pass over
+    the line items: ``(doc_id, page, table_no, y0, n_rows, rows)``.
+
+    ``n_rows`` counts the header; the second table of a page starts below the first one's end."""
     li = table(spark, d, "lineitem")
     n_docs = table(spark, d, "documents").select(F.count(F.lit(1))).scalar()
-    orders = li.select("l_orderkey").distinct().withColumn("doc_id", F.col("l_orderkey") % n_docs)
-    orders = orders.withColumn("doc_table", F.row_number().over(Window.partitionBy("doc_id").orderBy("l_orderkey")) - 1)
-    rw = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return li.join(orders, "l_orderkey").select(
+    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("qty"))
+    orders = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    orders = orders.withColumn("doc_id", F.col("l_orderkey") % n_docs).withColumn("n_rows", F.size("rows") + 1)
+    w = Window.partitionBy("doc_id").orderBy("l_orderkey")
+    nth = F.row_number().over(w) - 1
+    below = F.greatest(F.lit(350), 20 * F.lag("n_rows").over(w) + 50)
+    return orders.withColumn("_nth", nth).withColumn("_below", below).select(
         "doc_id",
-        F.floor(F.col("doc_table") / 2).cast("int").alias("page"),
-        (F.col("doc_table") % 2).cast("int").alias("table_no"),
-        F.row_number().over(rw).cast("int").alias("row_no"),
-        "l_linenumber",
-        "l_returnflag",
-        "l_linestatus",
-        F.col("l_quantity").cast("int").alias("qty"),
+        F.floor(F.col("_nth") / 2).cast("int").alias("page"),
+        (F.col("_nth") % 2).cast("int").alias("table_no"),
+        F.when(F.col("_nth") % 2 == 0, F.lit(60)).otherwise(60 + F.col("_below")).cast("double").alias("y0"),
+        "n_rows",
+        "rows",
     )
 
 
-def _cols4() -> Column:
-    return F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("col_no")
-
-
-def cells(spark: SparkSession, d: str) -> DataFrame:
-    """F5 ``cells(doc_id, page, table_no, row_no, col_no, txt)`` with header row 0."""
-    tr = table_rows(spark, d)
-    body = tr.select("*", _cols4()).select(
-        "doc_id",
-        "page",
-        "table_no",
-        "row_no",
-        "col_no",
-        F.when(
-            F.col("col_no") == 0,
-            F.when(F.col("row_no") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("L"), _s("l_linenumber"))),
-        )
-        .when(F.col("col_no") == 1, F.concat("l_returnflag", F.lit("\n"), "l_linestatus"))
-        .when(F.col("col_no") == 2, _s("qty"))
+def _slots(t: DataFrame) -> DataFrame:
+    """Every (row, column) of every table with its text; header row 0."""
+    r = F.get("rows", F.col("row_no") - 1)
+    head = F.when(F.col("col_no") == 1, F.lit("FLAG")).when(F.col("col_no") == 2, F.lit("QTY")).otherwise(F.lit(""))
+    body = (
+        F.when(F.col("col_no") == 0, F.when(F.col("row_no") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("L"), _s(r["l_linenumber"]))))
+        .when(F.col("col_no") == 1, F.concat(r["l_returnflag"], F.lit("\n"), r["l_linestatus"]))
+        .when(F.col("col_no") == 2, _s(r["qty"]))
         .otherwise(F.lit(""))
-        .alias("txt"),
     )
-    head = (
-        tr.select("doc_id", "page", "table_no")
-        .distinct()
-        .select("*", _cols4())
-        .select(
-            "doc_id",
-            "page",
-            "table_no",
-            F.lit(0).alias("row_no"),
-            "col_no",
-            F.when(F.col("col_no") == 1, F.lit("FLAG")).when(F.col("col_no") == 2, F.lit("QTY")).otherwise(F.lit("")).alias("txt"),
-        )
-    )
-    return body.unionByName(head)
+    slots = t.select("*", _upto(F.col("n_rows") - 1, "row_no")).select("*", _upto(F.lit(3), "col_no"))
+    return slots.withColumn("txt", F.when(F.col("row_no") == 0, head).otherwise(body))
 
 
-def grids(spark: SparkSession, d: str) -> DataFrame:
-    return (
-        table_rows(spark, d)
-        .groupBy("doc_id", "page", "table_no")
-        .agg((F.least(F.max("row_no"), F.lit(11)) + 1).alias("n_rows"))
-        .select("doc_id", "page", "table_no", (60 + 350 * F.col("table_no")).cast("double").alias("y0"), "n_rows")
-    )
+def cells(spark: SparkSession, d: str) -> DataFrame:
+    """F5 ``cells(doc_id, page, table_no, row_no, col_no, txt)`` with header row 0."""
+    return _slots(tables(spark, d)).select("doc_id", "page", "table_no", "row_no", "col_no", "txt")
 
 
 def _upto(n: Column, name: str) -> Column:
@@ -212,38 +203,25 @@ def _upto(n: Column, name: str) -> Column:
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
-    """F6 ruling ``edges(doc_id, page, orient, pos, lo, hi)`` of every fixture table."""
-    g = grids(spark, d)
-    r = F.col("r").cast("double")
-    h1 = g.select("*", _upto(F.col("n_rows"), "r")).select(
-        "doc_id", "page", F.lit("h").alias("orient"), (F.col("y0") + 20.0 * r).alias("pos"), F.lit(50.0).alias("lo"), F.lit(229.0).alias("hi")
-    )
-    h2 = g.select("*", _upto(F.col("n_rows"), "r")).select(
-        "doc_id",
-        "page",
-        F.lit("h").alias("orient"),
-        (F.col("y0") + 20.0 * r + 0.5 * (F.col("r") % 3)).alias("pos"),
-        F.lit(231.0).alias("lo"),
-        F.lit(410.0).alias("hi"),
-    )
-    v = g.select("*", _upto(F.lit(4), "c")).select(
-        "doc_id",
-        "page",
-        F.lit("v").alias("orient"),
-        (50.0 + 90.0 * F.col("c")).alias("pos"),
-        F.col("y0").alias("lo"),
-        (F.col("y0") + 20.0 * F.col("n_rows") + 1.0).alias("hi"),
-    )
-    stub = g.select("doc_id", "page", F.lit("h").alias("orient"), (F.col("y0") + 9.0).alias("pos"), F.lit(500.0).alias("lo"), F.lit(502.0).alias("hi"))
-    return h1.unionByName(h2).unionByName(v).unionByName(stub)
+    """F6 ruling ``edges(doc_id, page, orient, pos, lo, hi)`` of every fixture table.
+
+    A table's rules are one array, so the tables are derived once."""
+    y0, n = F.col("y0"), F.col("n_rows")
+
+    def rule(orient, pos, lo, hi):
+        return F.struct(F.lit(orient).alias("orient"), pos.cast("double").alias("pos"), lo.cast("double").alias("lo"), hi.cast("double").alias("hi"))
+
+    rows = F.sequence(F.lit(0), n)
+    left = F.transform(rows, lambda r: rule("h", y0 + 20.0 * r, F.lit(50.0), F.lit(229.0)))
+    right = F.transform(rows, lambda r: rule("h", y0 + 20.0 * r + 0.5 * (r % 3), F.lit(231.0), F.lit(410.0)))
+    upright = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda c: rule("v", 50.0 + 90.0 * c, y0, y0 + 20.0 * n + 1.0))
+    stub = F.array(rule("h", y0 + 9.0, F.lit(500.0), F.lit(502.0)))
+    return tables(spark, d).select("doc_id", "page", F.explode(F.concat(left, right, upright, stub)).alias("e")).select("doc_id", "page", "e.orient", "e.pos", "e.lo", "e.hi")
 
 
 def grid_words(spark: SparkSession, d: str) -> DataFrame:
     """Words placed inside the ruled cells; ``table_no/row_no/col_no`` are the expected answer."""
-    c = cells(spark, d)
-    g = grids(spark, d)
-    j = c.join(g, ["doc_id", "page", "table_no"]).where(F.col("txt").isNotNull() & (F.col("txt") != "") & (F.col("row_no") < F.col("n_rows")))
-    return j.select(
+    return _slots(tables(spark, d)).where(F.col("txt").isNotNull() & (F.col("txt") != "")).select(
         "doc_id",
         "page",
         "table_no",
