@@ -24,19 +24,6 @@ def min_y(box) -> Column:
     return F.array_min(F.transform(_c(box), lambda p: p["y"]))
 
 
-def max_x(box) -> Column:
-    return F.array_max(F.transform(_c(box), lambda p: p["x"]))
-
-
-def max_y(box) -> Column:
-    return F.array_max(F.transform(_c(box), lambda p: p["y"]))
-
-
 def flatten_line_boxes(lines) -> Column:
     """T9 'lines' format: ``ARRAY<ARRAY<STRUCT<box, ch>>>`` -> ``ARRAY<box>`` (empty stays empty)."""
     return F.transform(F.flatten(_c(lines)), lambda e: e["box"])
-
-
-def flatten_prediction_boxes(preds) -> Column:
-    """T9 'predictions' format: ``ARRAY<STRUCT<word, box>>`` -> ``ARRAY<box>``."""
-    return F.transform(_c(preds), lambda e: e["box"])

@@ -67,16 +67,6 @@ def row_markdown(cells_sorted: Column, escape: bool = False) -> Column:
     return F.concat(F.lit("|"), F.array_join(arr, "|", "None"), F.lit("|"))
 
 
-def stitch(*parts) -> Column:
-    """Join parts with newlines, a missing part counting as '' (separators kept)."""
-    out = []
-    for i, p in enumerate(parts):
-        if i:
-            out.append(F.lit("\n"))
-        out.append(F.coalesce(_c(p), F.lit("")))
-    return F.concat(*out)
-
-
 def title_line(name, lang, style: str = "v3") -> Column:
     """The first line of a page document; ``lang`` is a column or a literal."""
     n = F.coalesce(_c(name), F.lit("None"))

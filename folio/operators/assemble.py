@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 from folio.functions.paths import DEFAULT_SEP, has_suffix
 from folio.functions.text import title_line
 from folio.operators.folders import last_wins, with_levels
+from folio.operators.layout import CROP_BOX, box_fits, page_text
+from folio.operators.layout import crop as crop_words
 from folio.operators.markdown import markdown_tables
+from folio.operators.numbering import ordinal
 from folio.operators.ocr import page_texts
+from folio.operators.pages import empty_pages
+from folio.operators.ruling import GridSettings, extract_tables
+from folio.session import checkpoint_dir
 
 PAGE_KEYS = ["doc_id", "page"]
 META_V3 = ["page", "first_division", "second_division", "file_name", "file_path"]
@@ -82,6 +88,14 @@ def winning_files(files: DataFrame, pages: DataFrame, sep: str = DEFAULT_SEP) ->
     return last_wins(f.select(F.col("lv3").alias("title"), "doc_id", "listing_no"), "title", "listing_no")
 
 
+def _corpus(f: DataFrame, win: DataFrame, pages: DataFrame, ocr_lines: DataFrame, tables: DataFrame, lang, sep) -> DataFrame:
+    """Page documents of the winning files only; OCR lines are gathered for pages without text only."""
+    p = pages.join(win, "doc_id", "left_semi")
+    texts = page_texts(p, ocr_lines.join(empty_pages(p), PAGE_KEYS, "left_semi"))
+    docs = assemble_pages(f.join(win, "doc_id", "left_semi").select("doc_id", "path"), texts, tables, lang, "v3", sep)
+    return docs.select(F.col("file_name").alias("title"), "page", "page_content", "first_division", "second_division", "file_name", "file_path")
+
+
 def build_corpus(
     files: DataFrame,
     pages: DataFrame,
@@ -92,16 +106,64 @@ def build_corpus(
     tables_kept: str = "last",
     sep: str = DEFAULT_SEP,
 ) -> DataFrame:
-    """Listing -> levels -> cleaned text -> OCR fallback -> tables -> page documents
-    -> title -> last file per title wins.  One flat row per page of the corpus."""
+    """Listing -> levels -> last file per title wins -> cleaned text -> OCR fallback ->
+    tables -> page documents.  One flat row per page of the corpus.
+
+    The winners are chosen first, so the pages, lines and cells of the other files
+    are dropped before any work on them."""
+    f = files.where(has_suffix("path", suffix)).select("doc_id", "path", "listing_no")
+    win = winning_files(f, pages, sep).select("doc_id")
+    tables = markdown_tables(cells.join(win, "doc_id", "left_semi"), keep="last" if tables_kept == "last" else "joined")
+    return _corpus(f, win, pages, ocr_lines, tables, lang, sep)
+
+
+def build_corpus_from_layout(
+    files: DataFrame,
+    pages: DataFrame,
+    words: DataFrame,
+    edges: DataFrame,
+    ocr_lines: DataFrame,
+    crop: bool = False,
+    lang: str | Column = "en",
+    suffix: str | None = ".pdf",
+    tables_kept: str = "last",
+    s: GridSettings = GridSettings(),
+    sep: str = DEFAULT_SEP,
+) -> DataFrame:
+    """The whole job from decoded words and rules (H3 -> H8 -> G4): tables are found on the
+    winning files' pages, on the A4 crop box if ``crop`` is set (the text is not cropped)."""
     f = files.where(has_suffix("path", suffix)).select("doc_id", "path", "listing_no")
-    texts = page_texts(pages, ocr_lines)
+    # read by every branch below and by the jobs of the table search: store the list of ids once
+    checkpoint_dir(files.sparkSession)
+    win = winning_files(f, pages, sep).select("doc_id").checkpoint()
+    keep = lambda df: df.join(win, "doc_id", "left_semi")
+    cells = extract_tables(keep(words), keep(edges), keep(pages), s, crop_box=CROP_BOX if crop else None)
     tables = markdown_tables(cells, keep="last" if tables_kept == "last" else "joined")
-    docs = assemble_pages(f.select("doc_id", "path"), texts, tables, lang, "v3", sep)
-    win = winning_files(f, pages, sep)
-    return docs.join(win.select("doc_id"), "doc_id", "left_semi").select(
-        F.col("file_name").alias("title"), "page", "page_content", "first_division", "second_division", "file_name", "file_path"
-    )
+    return _corpus(f, win, pages, ocr_lines, tables, lang, sep)
+
+
+def layout_pages(
+    files: DataFrame,
+    pages: DataFrame,
+    words: DataFrame,
+    edges: DataFrame,
+    suffix: str | None = ".pdf",
+    sep: str = DEFAULT_SEP,
+) -> DataFrame:
+    """The older converter: page text from the words and the last table, both inside the A4 crop
+    box; a document with a page that the box does not fit is converted uncropped, whole
+    (B10).  Page documents in the 'levels' style, of every file."""
+    f = files.where(has_suffix("path", suffix)).select("doc_id", "path")
+    fits = pages.groupBy("doc_id").agg(F.min(box_fits(CROP_BOX)).alias("_crop"))
+    out = []
+    for cropped in (True, False):
+        ids = fits.where(F.col("_crop") == cropped).select("doc_id").join(f, "doc_id", "left_semi")
+        p, w, e = (df.join(ids, "doc_id", "left_semi") for df in (pages, words, edges))
+        tables = markdown_tables(extract_tables(w, e, p, crop_box=CROP_BOX if cropped else None), keep="last")
+        texts = page_text(crop_words(w, CROP_BOX) if cropped else w)
+        texts = p.select(*PAGE_KEYS).join(texts, PAGE_KEYS, "left").select(*PAGE_KEYS, F.coalesce("text", F.lit("")).alias("text"))
+        out.append(assemble_pages(f, texts, tables, style="levels", sep=sep))
+    return out[0].unionByName(out[1])
 
 
 def collect_docs(corpus: DataFrame) -> DataFrame:
@@ -131,5 +193,15 @@ def sample_page(corpus: DataFrame, summary: DataFrame, n: int = 5) -> DataFrame:
     """The n-th page document (0-based list position) of the first title."""
     first = summary.select(F.col("first_title").alias("title"))
     docs = corpus.join(first, "title", "left_semi")
+    return nth_pages(docs, n)
+
+
+def nth_pages(corpus: DataFrame, n: int = 5) -> DataFrame:
+    """S3 for every title: its n-th page document (0-based list position), if it has so many."""
     pos = F.row_number().over(Window.partitionBy("title").orderBy("page")) - 1
-    return docs.withColumn("_pos", pos).where(F.col("_pos") == n).drop("_pos")
+    return corpus.withColumn("_pos", pos).where(F.col("_pos") == n).drop("_pos")
+
+
+def corpus_titles(files: DataFrame, pages: DataFrame, suffix: str | None = ".pdf", sep: str = DEFAULT_SEP) -> DataFrame:
+    """The corpus's titles, numbered in insertion order."""
+    return ordinal(first_titles(files, pages, suffix, sep), [], ["first_no"], name="title_no").select("title", "title_no")

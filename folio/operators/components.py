@@ -1,58 +1,7 @@
-"""Connected components as an iterated DataFrame job (used by H2 and K6).
-
-Labels start as the node itself; each round a node takes the smallest label
-among itself and its neighbours, then jumps to its label's label.  Rounds
-stop when no label changes.  Every round's labels are checkpointed to the
-shared checkpoint folder (``spark.checkpoint.dir``), which cuts the lineage
-and survives the loss of an executor.
-
-Nodes may be any orderable column (structs included), so the final label is
-the smallest node of its component — for cells, the top-left cell.  Graphs are
-keyed by ``group_cols`` (a page, an image); joins never cross groups.
-"""
+"""Connected components inside bounded groups (a page, an image), used by H2 and K6."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from folio.session import checkpoint_dir
-
-
-def connected_components(edges: DataFrame, group_cols: list[str], max_rounds: int = 10_000, checkpoint_every: int = 4) -> DataFrame:
-    """``edges(<group_cols>, src, dst)`` (undirected) -> ``(<group_cols>, node, label)``."""
-    checkpoint_dir(edges.sparkSession)
-    g = list(group_cols)
-    und = edges.select(*g, "src", "dst").unionByName(edges.select(*g, F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = und.where(F.col("src") != F.col("dst")).distinct().checkpoint()
-    labels = und.select(*g, F.col("src").alias("node")).distinct().withColumn("label", F.col("node")).checkpoint()
-    held = []
-    for rnd in range(1, max_rounds + 1):
-        # smallest label among the neighbours, combined map-side before the shuffle
-        nb = (
-            und.join(labels.withColumnRenamed("node", "src"), [*g, "src"])
-            .groupBy(*g, F.col("dst").alias("node"))
-            .agg(F.min("label").alias("_nb"))
-        )
-        step = labels.join(nb, [*g, "node"], "left").select(
-            *g, "node", F.col("label").alias("_old"), F.least("label", F.coalesce("_nb", "label")).alias("label")
-        )
-        # pointer jumping: take the label of the label
-        hop = step.select(*g, F.col("node").alias("label"), F.col("label").alias("_hop"))
-        jumped = step.join(hop, [*g, "label"], "left").select(
-            *g, "node", "_old", F.least("label", F.coalesce("_hop", "label")).alias("label")
-        )
-        # persist each round; write a reliable checkpoint every few rounds to cut the lineage
-        jumped = jumped.checkpoint() if rnd % checkpoint_every == 0 else jumped.persist()
-        changed = jumped.where(F.col("label") != F.col("_old")).count()
-        for h in held:
-            h.unpersist()
-        held = [jumped]
-        labels = jumped.drop("_old")
-        if changed == 0:
-            break
-    return labels
-
 
 def union_find(n: int, a, b):
     """Component labels of nodes 0..n-1 joined by edges (a[i], b[i]): each node gets the
@@ -75,20 +24,21 @@ def union_find(n: int, a, b):
 
 
 def whole_groups(batches, keys):
-    """Re-cut a stream of pandas batches, sorted by ``keys``, so that no group is split:
-    the trailing group of a batch is carried into the next one."""
+    """Re-cut a stream of pandas batches, sorted by ``keys``, so that no group is split: the
+    trailing group's pieces are kept and put together once, when the next group begins."""
     import pandas as pd
 
-    carry = None
+    held = []
     for b in batches:
-        if carry is not None and len(carry):
-            b = pd.concat([carry, b], ignore_index=True)
         if not len(b):
             continue
-        last = b[keys].iloc[-1]
-        tail = (b[keys] == last).all(axis=1).to_numpy()
-        carry = b[tail]
-        if (~tail).any():
-            yield b[~tail].reset_index(drop=True)
-    if carry is not None and len(carry):
-        yield carry.reset_index(drop=True)
+        if held and not (held[-1][keys].iloc[-1] == b[keys].iloc[0]).all():
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        last = (b[keys] == b[keys].iloc[-1]).all(axis=1).to_numpy()
+        if not last.all():
+            yield pd.concat([*held, b[~last]], ignore_index=True)
+            held = []
+        held.append(b[last])
+    if held:
+        yield pd.concat(held, ignore_index=True)

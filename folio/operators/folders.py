@@ -24,7 +24,8 @@ def _prefix(p: Column, k: Column, sep: str) -> Column:
 def _ancestors(files: DataFrame, sep: str, path_col: str = "path") -> DataFrame:
     p = parts(path_col, sep)
     n = F.size(p)
-    return files.select(
+    # a path without a separator has no folder above it
+    return files.where(n > 1).select(
         F.col(path_col).alias("_path"),
         p.alias("_p"),
         n.alias("_n"),

@@ -195,13 +195,14 @@ def text_between_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, ke
     w = Window.partitionBy(*k).orderBy("top", "table_no")
     b = (
         b.withColumn("_i", F.row_number().over(w) - 1)
-        .withColumn("_prev_bottom", F.lag("bottom").over(w))
+        .withColumn("_prev_bottom", F.max("bottom").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_end", F.max("bottom").over(Window.partitionBy(*k)))
         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*k)))
     )
     # band i lies above table i (below table i-1); band n lies below the last table
     above = b.select(*k, F.col("_i").alias("band"), F.coalesce("_prev_bottom", F.lit(0.0)).alias("lo"), F.col("top").alias("hi"), "width")
     last = b.where(F.col("_i") == F.col("_n") - 1).select(
-        *k, F.col("_n").alias("band"), F.col("bottom").alias("lo"), F.col("height").alias("hi"), "width"
+        *k, F.col("_n").alias("band"), F.col("_end").alias("lo"), F.col("height").alias("hi"), "width"
     )
     bands = above.unionByName(last)
     # a word lies in at most one band: key the join by (page, 64-point bucket of y) so each

@@ -11,6 +11,8 @@ rows they number are the same data even if a task is re-run.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,5 +36,6 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: s
     sizes = local.groupBy("_slice", *g).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*g).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1) if g else Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    out = local.join(offsets, ["_slice", *g])
+    same = reduce(lambda a, c: a & F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")), g, F.col("l._slice") == F.col("o._slice"))
+    out = local.alias("l").join(offsets.alias("o"), same).select("l.*", "o._off")  # a null group is a group
     return out.withColumn(name, (F.col("_off") + F.col("_local") - 1 + base).cast("long")).drop("_slice", "_local", "_off")

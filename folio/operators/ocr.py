@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import boxes as B
 from folio.functions.text import clean_text
+from folio.operators.numbering import ordinal
 
 PAGE_KEYS = ("doc_id", "page")
 
@@ -30,12 +31,11 @@ def ocr_text(lines: DataFrame, keys=PAGE_KEYS) -> DataFrame:
 
 
 def ocr_batch(lines: DataFrame, folder_key: str = "doc_id", image_key: str = "page") -> DataFrame:
-    """A folder of images -> the list of image texts, in image order, one line each."""
+    """A folder of images -> its image texts, one row per image, numbered in image order.
+
+    Rows, not one list: a folder may hold any number of images (``ordinal`` splits it)."""
     per_image = ocr_text(lines, (folder_key, image_key))
-    return per_image.groupBy(folder_key).agg(
-        F.count(F.lit(1)).alias("n_images"),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(image_key, "ocr_text"))), lambda r: r["ocr_text"]), "\n").alias("texts"),
-    )
+    return ordinal(per_image, [folder_key], [image_key], name="image_no")
 
 
 def ocr_fallback(texts: DataFrame, ocr: DataFrame, keys=PAGE_KEYS, text_col: str = "text") -> DataFrame:
@@ -66,9 +66,8 @@ def prediction_words(preds: DataFrame) -> DataFrame:
 
 def flatten_boxes(preds: DataFrame) -> DataFrame:
     """Predictions of an image -> its boxes, one row per corner (box order kept)."""
-    per_image = preds.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("idx", "word", "box"))).alias("_p"))
-    flat = per_image.select("image_id", F.posexplode(B.flatten_prediction_boxes("_p")).alias("box_no", "box"))
-    return flat.select("image_id", "box_no", F.posexplode("box").alias("corner", "pt")).select(
+    nth = F.row_number().over(Window.partitionBy("image_id").orderBy("idx", "word")) - 1
+    return preds.withColumn("box_no", nth).select("image_id", "box_no", F.posexplode("box").alias("corner", "pt")).select(
         "image_id", "box_no", "corner", F.col("pt.x").alias("x"), F.col("pt.y").alias("y")
     )
 

@@ -43,8 +43,3 @@ def pages_without_tables(pages: DataFrame, cells: DataFrame, keys=PAGE_KEYS) ->
     """Pages with no table at all (anti-join on the page key)."""
     k = list(keys)
     return pages.select(*k).join(cells.select(*k), k, "left_anti")
-
-
-def pages_with_tables(pages: DataFrame, cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
-    k = list(keys)
-    return pages.select(*k).join(cells.select(*k), k, "left_semi")

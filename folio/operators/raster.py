@@ -5,7 +5,7 @@ line, an array of values): the x pass is a built-in ``transform`` over the
 reflected neighbours (border 'reflect 101': -1 -> 1, n -> n-2), the y pass
 sends each line to the few target lines it feeds and sums them with
 ``aggregate``, so a pass shuffles each value about kernel-height times and
-never joins pixel rows.  Dilation is a moving maximum (RANGE window) along x,
+never joins pixel rows.  Kernels may be larger than the image.  Dilation is a moving maximum (RANGE window) along x,
 then y.
 """
 
@@ -36,15 +36,19 @@ def image_dims(pixels: DataFrame) -> DataFrame:
 
 
 def reflect101(i: Column, n: Column) -> Column:
-    return F.when(i < 0, -i).when(i >= n, 2 * n - 2 - i).otherwise(i)
+    """Index of the reflected neighbour: the line mirrored at its ends, again and again (period 2(n-1)); 0 if n is 1."""
+    period = 2 * (n - 1)
+    m = F.pmod(i, F.greatest(period, F.lit(1)))
+    return F.when(n == 1, F.lit(0)).when(m < n, m).otherwise(period - m)
 
 
 def to_gray(planes: DataFrame, channel: str = "channel") -> DataFrame:
     """K1: ``(image_id, channel 'b'|'g'|'r', y, x, v)`` -> gray ``(299R + 587G + 114B + 500) div 1000``;
     pixels missing a channel are dropped."""
-    w = F.when(F.col(channel) == "r", GRAY_WEIGHTS["r"]).when(F.col(channel) == "g", GRAY_WEIGHTS["g"]).otherwise(GRAY_WEIGHTS["b"])
-    g = planes.groupBy(IMG, "y", "x").agg(F.sum(w * F.col("v")).alias("_s"), F.count_distinct(channel).alias("_n"))
-    return g.where(F.col("_n") == 3).select(IMG, "y", "x", ((F.col("_s") + 500) / 1000).cast("long").cast("int").alias("v"))
+    parts = [F.max(F.when(F.col(channel) == c, F.col("v"))).alias(f"_{c}") for c in GRAY_WEIGHTS]
+    g = planes.groupBy(IMG, "y", "x").agg(*parts)
+    total = sum((F.col(f"_{c}") * w for c, w in GRAY_WEIGHTS.items()), F.lit(500))  # null if a channel is missing
+    return g.where(total.isNotNull()).select(IMG, "y", "x", (total / 1000).cast("long").cast("int").alias("v"))
 
 
 def to_lines(pixels: DataFrame) -> DataFrame:
@@ -77,23 +81,30 @@ def _xpass(line: Column, weights: list[int]) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), out)
 
 
-def _ypass(lines: DataFrame, rows: list[tuple[int, list[int]]]) -> DataFrame:
+def _ypass(lines: DataFrame, rows: list[tuple[int, list[int]]], keep: str | None = None) -> DataFrame:
     """Combine lines across y: target line t sums, over kernel rows (dy, row weights), the
     x-pass of line reflect(t + dy).  Each source line is sent only to the target lines it
-    feeds (at most three candidates per kernel row, checked against the reflection), so
-    the shuffle carries kernel-height copies of each line and no pixel-level join."""
-    entry = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), _xpass(F.col("line"), w).alias("part")) for dy, w in rows]))
-    c = lines.select(IMG, "y", "_h", entry.alias("_e")).select(IMG, "y", "_h", F.col("_e.dy").alias("dy"), F.col("_e.part").alias("part"))
-    cand = F.array_distinct(F.array(F.col("y") - F.col("dy"), -F.col("y") - F.col("dy"), 2 * (F.col("_h") - 1) - F.col("y") - F.col("dy")))
-    c = c.select(IMG, "y", "_h", "dy", "part", F.explode(cand).alias("t"))
-    c = c.where((F.col("t") >= 0) & (F.col("t") < F.col("_h")) & (reflect101(F.col("t") + F.col("dy"), F.col("_h")) == F.col("y")))
-    g = c.groupBy(IMG, F.col("t").alias("y"), "_h").agg(F.collect_list("part").alias("_parts"))
+    feeds, so the shuffle carries kernel-height copies of each line and no pixel-level
+    join.  ``keep`` names a column of the target line itself to carry along."""
+    reach = max(abs(dy) for dy, _ in rows)
+    own = (lambda dy: F.col(keep) if dy == 0 else F.lit(None)) if keep else (lambda dy: F.lit(None))
+    entry = F.explode(
+        F.array(*[F.struct(F.lit(dy).alias("dy"), _xpass(F.col("line"), w).alias("part"), own(dy).cast("array<bigint>").alias("own")) for dy, w in rows])
+    )
+    c = lines.select(IMG, "y", "_h", entry.alias("_e")).select(IMG, "y", "_h", "_e.dy", "_e.part", "_e.own")
+    # t + dy is y or -y, some periods away: as many as the kernel can reach beyond the image
+    period = 2 * (F.col("_h") - 1)
+    turns = F.ceil((F.col("_h") + 2 * reach) / F.greatest(period, F.lit(1))).cast("int")
+    at = F.transform(F.sequence(-turns, turns), lambda k: F.array(F.col("y") + k * period - F.col("dy"), -F.col("y") + k * period - F.col("dy")))
+    inside = F.filter(F.array_distinct(F.flatten(at)), lambda t: (t >= 0) & (t < F.col("_h")))
+    c = c.select(IMG, "_h", "part", "own", F.explode(F.when(F.col("_h") == 1, F.array(F.lit(0))).otherwise(inside)).alias("y"))
+    g = c.groupBy(IMG, "y", "_h").agg(F.collect_list("part").alias("_parts"), F.first("own", ignorenulls=True).alias("_own"))
     width = F.size(F.element_at("_parts", 1))
     summed = F.transform(
         F.sequence(F.lit(0), width - 1),
         lambda x: F.aggregate("_parts", F.lit(0).cast("long"), lambda acc, p: acc + F.element_at(p, x + 1)),
     )
-    return g.select(IMG, "y", summed.alias("line"), "_h")
+    return g.select(IMG, "y", summed.alias("line"), "_h", *([F.col("_own").alias(keep)] if keep else []))
 
 
 def convolve(pixels: DataFrame, kernel: list[list[int]], clamp: bool = True) -> DataFrame:
@@ -109,9 +120,8 @@ def weighted_sum(pixels: DataFrame, weights: list[int]) -> DataFrame:
     """Separable integer weighted sum (x pass, then y pass) on scan lines: ``(image, y, x, v, s)``."""
     r = len(weights) // 2
     lines = to_lines(pixels)
-    xs = lines.select(IMG, "y", "_h", "line", _xpass(F.col("line"), weights).alias("_xs"))
-    ys = _ypass(xs.select(IMG, "y", "_h", F.col("_xs").alias("line")), [(i - r, [w]) for i, w in enumerate(weights)])
-    both = ys.withColumnRenamed("line", "_s").join(lines.select(IMG, "y", "line"), [IMG, "y"])
+    xs = lines.select(IMG, "y", "_h", F.col("line").alias("_v"), _xpass(F.col("line"), weights).alias("line"))
+    both = _ypass(xs, [(i - r, [w]) for i, w in enumerate(weights)], keep="_v").select(IMG, "y", F.col("line").alias("_s"), F.col("_v").alias("line"))
     pairs = F.transform(
         F.sequence(F.lit(0), F.size("line") - 1),
         lambda i: F.struct(F.element_at("line", i + 1).alias("v"), F.element_at("_s", i + 1).alias("s")),
@@ -230,6 +240,7 @@ def region_pixels(pixels: DataFrame, regions_df: DataFrame, region_cols: tuple[s
     the pixels — no range join, no broadcast of the region table."""
     keep = list(region_cols)
     r = regions_df.select(IMG, *keep, F.col("x").alias("_rx"), F.col("y").alias("_ry"), "w", "h")
+    r = r.where((F.col("w") > 0) & (F.col("h") > 0))
     r = r.select(IMG, *keep, "_rx", "_ry", "w", F.explode(F.sequence(F.col("_ry"), F.col("_ry") + F.col("h") - 1)).alias("y"))
     r = r.select(IMG, *keep, "_rx", "_ry", "y", F.explode(F.sequence(F.col("_rx"), F.col("_rx") + F.col("w") - 1)).alias("x"))
     j = r.join(pixels.select(IMG, "y", "x", "v"), [IMG, "y", "x"])

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.operators.layout import page_text
-from folio.session import PAGE_LOCAL, checkpoint_dir, conf_override
+from folio.operators.layout import crop, edges_from_words, page_text
+from folio.session import checkpoint_dir
 
 PAGE_KEYS = ("doc_id", "page")
 BAND = 64.0  # points; band height used to key range joins
@@ -23,8 +23,17 @@ BAND = 64.0  # points; band height used to key range joins
 
 @dataclass(frozen=True)
 class GridSettings:
-    """The table-finding knobs of the reference's "lines" strategy (its values are the defaults)."""
+    """The table-finding knobs (the reference's values are the defaults).
 
+    A strategy says where an axis takes its rules from: "lines" the ruling
+    edges, "text" the alignment of words (H7)."""
+
+    vertical_strategy: str = "lines"
+    horizontal_strategy: str = "lines"
+    min_words_vertical: int = 3
+    min_words_horizontal: int = 1
+    text_x_tolerance: float = 3
+    text_y_tolerance: float = 3
     explicit_vertical_lines: tuple[float, ...] = ()
     explicit_horizontal_lines: tuple[float, ...] = ()
     snap_x_tolerance: float = 3
@@ -41,11 +50,11 @@ DEFAULT = GridSettings()
 
 def explicit_lines(edges: DataFrame, pages: DataFrame, vertical=(), horizontal=(), keys=PAGE_KEYS) -> DataFrame:
     """Add full-height vertical and full-width horizontal lines at the given positions
-    to the edges of every page that has edges."""
+    to the edges of every page, pages without rules included."""
     k = list(keys)
     if not vertical and not horizontal:
         return edges
-    pg = pages.select(*k, "width", "height").join(edges.select(*k), k, "left_semi")
+    pg = pages.select(*k, "width", "height")
     extra = []
     if vertical:
         extra.append(
@@ -91,12 +100,31 @@ def join_edges(edges: DataFrame, x_tol: float = 3, y_tol: float = 3, keys=PAGE_K
     return g.groupBy(*k, "orient", "pos", "_grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_grp")
 
 
+def strategy_edges(edges: DataFrame, words: DataFrame | None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:
+    """The rules that the settings' strategies ask for: per axis the ruling edges or those of aligned words."""
+    k = list(keys)
+    axes = {"v": s.vertical_strategy, "h": s.horizontal_strategy}
+    if unknown := set(axes.values()) - {"lines", "text"}:
+        raise ValueError(f"unknown table strategy: {sorted(unknown)}")
+    by_text = [o for o, how in axes.items() if how == "text"]
+    if not by_text:
+        return edges
+    if words is None:
+        raise ValueError("the text strategy needs the words")
+    t = edges_from_words(words, s.text_x_tolerance, s.text_y_tolerance, s.min_words_vertical, s.min_words_horizontal, keys)
+    cols = [*k, "orient", "pos", "lo", "hi"]
+    return edges.where(~F.col("orient").isin(by_text)).select(*cols).unionByName(t.where(F.col("orient").isin(by_text)).select(*cols))
+
+
 def clean_edges(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:
     """U2 -> E3 -> E4 -> drop rules shorter than ``edge_min_length``."""
     k = list(keys)
-    e = edges.select(*k, "orient", "pos", "lo", "hi").repartition(*k)
-    if pages is not None:
+    e = edges.select(*k, "orient", "pos", "lo", "hi")
+    if s.explicit_vertical_lines or s.explicit_horizontal_lines:
+        if pages is None:
+            raise ValueError("explicit lines need the pages")
         e = explicit_lines(e, pages, s.explicit_vertical_lines, s.explicit_horizontal_lines, keys)
+    e = e.repartition(*k)
     e = snap_edges(e, s.snap_x_tolerance, s.snap_y_tolerance, keys)
     e = join_edges(e, s.join_x_tolerance, s.join_y_tolerance, keys)
     return e.where((F.col("hi") - F.col("lo")) >= s.edge_min_length)
@@ -128,90 +156,79 @@ def edge_intersections(edges: DataFrame, x_tol: float = 3, y_tol: float = 3, key
 
 
 def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:
-    """H1: edges -> cells ``(<keys>, x0, top, x1, bottom)`` (see ``_find_cells``).
-
-    Runs its eager, page-keyed jobs with page-local co-partitioning."""
-    with conf_override(edges.sparkSession, PAGE_LOCAL):
-        return _find_cells(edges, pages, s, keys)
-
-
-def _find_cells(edges: DataFrame, pages: DataFrame | None, s: GridSettings, keys) -> DataFrame:
     """H1: edges -> cells ``(<keys>, x0, top, x1, bottom)``.
 
     For each intersection A the cell is the smallest rectangle right-below A whose
     corners B (below A), C (right of A) and D all exist, with A-B and C-D on one
     vertical rule and A-C and B-D on one horizontal rule; "smallest" is the
-    nearest B, then the nearest C.  First every corner tries only its nearest
-    connected B and C (enough for regular grids); only the corners left without
-    a cell search all their connected B and C, so candidate pairs are built for
-    merged or irregular cells only.
+    nearest B, then the nearest C.
+
+    Rules of one line don't overlap (``join_edges``), so the points of a rule are
+    neighbours on its line, and windows under the one partitioning by page find
+    each corner's next point down (B) and right (C), and theirs: if C's next
+    point down is at B's height and B's next point right is at C's x, that is the
+    cell.  Only pages that hold a corner with a B and a C but no cell yet (merged
+    or irregular cells) are searched corner by corner, a page at a time.
     """
     k = list(keys)
     e = clean_edges(edges, pages, s, keys)
     pts = edge_intersections(e, s.intersection_x_tolerance, s.intersection_y_tolerance, keys)
-    checkpoint_dir(edges.sparkSession)
-    # intersections and nearest neighbours are read many times below: store them once
-    pts = pts.select(*k, "x", "y", "v_lo", "h_lo").repartition(*k).checkpoint()
-    vp = pts.select(*k, "x", "y", "v_lo").distinct()  # point on a vertical rule (x, v_lo)
-    hp = pts.select(*k, "x", "y", "h_lo").distinct()  # point on a horizontal rule (y, h_lo)
-
-    def linked_v(df: DataFrame, x: str, y1: str, y2: str) -> DataFrame:
-        # (x, y1) and (x, y2) lie on one vertical rule
-        a = vp.select(*k, F.col("x").alias(x), F.col("y").alias(y1), "v_lo")
-        b = vp.select(*k, F.col("x").alias(x), F.col("y").alias(y2), "v_lo")
-        return df.join(a, [*k, x, y1]).join(b, [*k, x, y2, "v_lo"], "left_semi").drop("v_lo")
-
-    def linked_h(df: DataFrame, y: str, x1: str, x2: str) -> DataFrame:
-        a = hp.select(*k, F.col("y").alias(y), F.col("x").alias(x1), "h_lo")
-        b = hp.select(*k, F.col("y").alias(y), F.col("x").alias(x2), "h_lo")
-        return df.join(a, [*k, y, x1]).join(b, [*k, y, x2, "h_lo"], "left_semi").drop("h_lo")
-
-    def closes(cand: DataFrame) -> DataFrame:
-        # C=(x2,y) reaches D=(x2,y2) along a vertical; B=(x,y2) reaches D along a horizontal
-        ok = linked_h(linked_v(cand, "x2", "y", "y2"), "y2", "x", "x2")
-        return ok.select(*k, "x", "y", "x2", "y2").distinct()
-
-    # round 1: the next point along each rule through A (windows, no pairs).  A's cell is
-    # accepted when C's next point down is at B's height and B's next point right is at
-    # C's x: then D exists on C's vertical and B's horizontal, and (B, C) is the first pair
-    # the exact search would try.  Corners it declines go to round 2.
-    nb = vp.withColumn("y2", F.lead("y").over(Window.partitionBy(*k, "x", "v_lo").orderBy("y")))
-    nc = hp.withColumn("x2", F.lead("x").over(Window.partitionBy(*k, "y", "h_lo").orderBy("x")))
-    near_b = nb.where(F.col("y2").isNotNull()).groupBy(*k, "x", "y").agg(F.min("y2").alias("y2"))
-    near_c = nc.where(F.col("x2").isNotNull()).groupBy(*k, "x", "y").agg(F.min("x2").alias("x2"))
-    near = near_b.join(near_c, [*k, "x", "y"], "full").checkpoint()
-    both = near.where(F.col("y2").isNotNull() & F.col("x2").isNotNull())
-    at_c = near.select(*k, F.col("x").alias("x2"), "y", F.col("y2").alias("_c_y2"))
-    at_b = near.select(*k, "x", F.col("y").alias("y2"), F.col("x2").alias("_b_x2"))
-    first = (
-        both.join(at_c, [*k, "x2", "y"]).join(at_b, [*k, "x", "y2"])
-        .where((F.col("_c_y2") == F.col("y2")) & (F.col("_b_x2") == F.col("x2")))
-        .select(*k, "x", "y", "x2", "y2")
-        .checkpoint()
+    pts = pts.select(*k, "x", "y", "v_lo", "h_lo").repartition(*k)
+    pts = pts.groupBy(*k, "x", "y").agg(F.sort_array(F.collect_set("v_lo")).alias("vs"), F.sort_array(F.collect_set("h_lo")).alias("hs"))
+    down, right = Window.partitionBy(*k, "x").orderBy("y"), Window.partitionBy(*k, "y").orderBy("x")
+    near = (
+        pts.withColumn("y2", F.when(F.arrays_overlap("vs", F.lead("vs").over(down)), F.lead("y").over(down)))
+        .withColumn("_r", F.when(F.arrays_overlap("hs", F.lead("hs").over(right)), F.lead("x").over(right)))
+        .withColumn("_b_right", F.lead("_r").over(down))
+        .withColumn("_c_down", F.lead("y2").over(right))
+        .withColumnRenamed("_r", "x2")
     )
-    # round 2, exact: corners that have a B and a C but no cell yet try every connected B
-    # and C.  Regular grids leave none, and then this plan is never built.
-    rest = both.select(*k, "x", "y").join(first, [*k, "x", "y"], "left_anti")
-    cells = first
-    if not rest.isEmpty():
-        downs = (
-            rest.join(vp, [*k, "x", "y"])
-            .join(vp.select(*k, "x", "v_lo", F.col("y").alias("y2")), [*k, "x", "v_lo"])
-            .where(F.col("y2") > F.col("y"))
-            .select(*k, "x", "y", "y2")
-            .distinct()
-        )
-        rights = (
-            rest.join(hp, [*k, "x", "y"])
-            .join(hp.select(*k, "y", "h_lo", F.col("x").alias("x2")), [*k, "y", "h_lo"])
-            .where(F.col("x2") > F.col("x"))
-            .select(*k, "x", "y", "x2")
-            .distinct()
-        )
-        later = closes(downs.join(rights, [*k, "x", "y"]))
-        best = later.withColumn("_r", F.row_number().over(Window.partitionBy(*k, "x", "y").orderBy("y2", "x2"))).where(F.col("_r") == 1)
-        cells = first.unionByName(best.drop("_r")).checkpoint()
-    return cells.select(*k, F.col("x").alias("x0"), F.col("y").alias("top"), F.col("x2").alias("x1"), F.col("y2").alias("bottom"))
+    both = F.col("y2").isNotNull() & F.col("x2").isNotNull()
+    closes = both & (F.col("_c_down") == F.col("y2")) & (F.col("_b_right") == F.col("x2"))
+    near = near.withColumn("_cell", F.coalesce(closes, F.lit(False))).withColumn("_open", both & ~F.col("_cell"))
+    near = near.withColumn("_search", F.max("_open").over(Window.partitionBy(*k)))
+    todo = near.where(F.col("_cell") | F.col("_search")).select(*k, "x", "y", "x2", "y2", "vs", "hs", "_cell", "_open", "_search")
+    schema = T.StructType([f for f in edges.schema.fields if f.name in k] + [T.StructField(c, T.DoubleType()) for c in ("x0", "top", "x1", "bottom")])
+    return todo.sortWithinPartitions(*k, "y", "x").mapInPandas(lambda it: _cells_of_pages(it, k), schema)
+
+
+def _cells_of_pages(batches, k):
+    """The cells found by windows, and those of the corners that a page's search closes."""
+    import pandas as pd
+
+    from folio.operators.components import whole_groups
+
+    names = {"x": "x0", "y": "top", "x2": "x1", "y2": "bottom"}
+    for pdf in whole_groups(batches, k):
+        found = [pdf.loc[pdf["_cell"], [*k, *names]]]
+        for _, page in pdf[pdf["_search"]].groupby(k, sort=False):
+            at = {(x, y): (set(vs), set(hs)) for x, y, vs, hs in zip(page["x"], page["y"], page["vs"], page["hs"])}
+            column, line = {}, {}
+            for x, y in sorted(at):
+                column.setdefault(x, []).append(y)
+                line.setdefault(y, []).append(x)
+            opened = page[page["_open"]]
+            cells = [_close(x, y, at, column, line) for x, y in zip(opened["x"], opened["y"])]
+            hit = [c is not None for c in cells]
+            if any(hit):
+                add = opened.loc[hit, [*k, *names]].copy()
+                add["x2"], add["y2"] = zip(*[c for c in cells if c is not None])
+                found.append(add)
+        yield pd.concat(found, ignore_index=True).rename(columns=names)
+
+
+def _close(x, y, at, column, line):
+    """The nearest (x2, y2) that makes a cell with the corner (x, y), by height first; None if none does."""
+    vs, hs = at[x, y]
+    rights = [x2 for x2 in line[y] if x2 > x and hs & at[x2, y][1]]
+    for y2 in column[x]:
+        if y2 <= y or not vs & at[x, y2][0]:
+            continue
+        for x2 in rights:
+            corner = at.get((x2, y2))
+            if corner and corner[0] & at[x2, y][0] and corner[1] & at[x, y2][1]:
+                return x2, y2
+    return None
 
 
 def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
@@ -221,9 +238,9 @@ def group_cells(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     partition; each Arrow batch (many whole pages, never a split page) is
     labelled by one vectorised union-find over the cell -- corner graph
     (``mapInPandas``).  A page holds a bounded number of cells, so no group is
-    large.  The iterative DataFrame form (``connected_components``) gives the
-    same tables and is kept for graphs that are not bounded by a page.
+    large.  The labelled cells are checkpointed: callers read them several times.
     """
+    checkpoint_dir(cells.sparkSession)
     k = list(keys)
     out_schema = T.StructType(
         [f for f in cells.schema.fields if f.name in k]
@@ -324,10 +341,9 @@ def extract_tables(
     tables only."""
     k = list(keys)
     if crop_box is not None:
-        from folio.operators.layout import crop
-
         edges = crop_edges(edges, crop_box)
         words = crop(words, crop_box)
+    edges = strategy_edges(edges, words, s, keys)
     cells = group_cells(find_cells(edges, pages, s, keys), keys)
     grid = table_grid(cells, keys)
     ck = [*k, "table_no", "row_no", "col_no"]

@@ -170,7 +170,7 @@ def q_ocr_text(spark, d):
 @query(
     "ocr_batch",
     ("ocr_lines",),
-    "select doc_id, count(*) as n_images, string_agg(ocr_text, chr(10) order by page) as texts from ot group by doc_id",
+    "select doc_id, page, ocr_text, row_number() over (partition by doc_id order by page) - 1 as image_no from ot",
     [("ot", OCR_TEXT_SQL)],
 )
 def q_ocr_batch(spark, d):
@@ -372,6 +372,28 @@ def q_sample_page(spark, d):
     return A.sample_page(_corpus(spark, d), summary, 5)
 
 
+@query(
+    "nth_pages",
+    ("files", "pages", "ocr_lines", "cells"),
+    """select title, page, page_content, first_division, second_division, file_name, file_path
+from (select *, row_number() over (partition by title order by page) - 1 as pos from corpus) c where pos = 5""",
+    CORPUS_CTES,
+)
+def q_nth_pages(spark, d):
+    """S3: the sixth page document of every title that has one."""
+    return A.nth_pages(_corpus(spark, d), 5)
+
+
+@query(
+    "corpus_titles",
+    ("files", "pages", "ocr_lines", "cells"),
+    "select title, row_number() over (order by first_no) - 1 as title_no from (select lv3 as title, min(listing_no) as first_no from pdfs group by lv3) t",
+    CORPUS_CTES,
+)
+def q_corpus_titles(spark, d):
+    return A.corpus_titles(fx.files(spark, d), fx.pages(spark, d))
+
+
 ALL_TABLES_CTES = [
     (n, "select doc_id, page, string_agg(md, chr(10) || chr(10) order by table_no) as md from md_tables group by doc_id, page")
     if n == "last_md"

@@ -136,30 +136,19 @@ def q_flatten_boxes(spark, d):
     return O.flatten_boxes(fx.predictions(spark, d))
 
 
-# ---------------------------------------------------------------- sources (A1)
-
-@query("list_files")
-def q_list_files(spark, d):
-    """A1 over the input folder itself: every table file, contents not read."""
-    from folio.sources.files import list_files
-
-    return list_files(spark, d, suffix=".parquet").select("path", "length")
-
-
 # ---------------------------------------------------------------- decoder seam
 
 @query("decode_pages", ("raw_pages",), "select doc_id, page, raw as page_text from raw_pages")
 def q_decode_pages(spark, d):
-    """J1 end to end: every document is written as a text file with form-feed page breaks
-    (one file per document, into the shared checkpoint folder), then the files are decoded
-    back into pages by a plug-in decoder running inside the cluster."""
+    """J1 end to end: the documents are written as files of many documents each (into the
+    shared checkpoint folder), then the files are decoded back into pages by a plug-in
+    decoder running inside the cluster."""
     from folio.session import scratch_path
-    from folio.sources.files import PAGE_TEXT_SCHEMA, decode, form_feed_pages
+    from folio.sources.files import BUNDLE_SCHEMA, bundled_documents, decode
 
     base = scratch_path(spark, "decode-pages")
-    per_doc = fx.raw_pages(spark, d).groupBy("doc_id").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "raw"))), lambda p: p["raw"]), "\f").alias("value")
-    )
-    per_doc.write.partitionBy("doc_id").text(base)
-    rows, _errors = decode(spark, base, form_feed_pages, PAGE_TEXT_SCHEMA, suffix=".txt")
-    return rows.select(F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("long").alias("doc_id"), "page", "page_text")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("page", "raw"))), lambda p: p["raw"])
+    per_doc = fx.raw_pages(spark, d).groupBy("doc_id").agg(ordered.alias("pages"))
+    per_doc.select(F.to_json(F.struct("doc_id", "pages")).alias("value")).write.option("maxRecordsPerFile", 1000).text(base)
+    rows, _errors = decode(spark, base, bundled_documents, BUNDLE_SCHEMA, suffix=".txt")
+    return rows.select("doc_id", "page", "page_text")

@@ -144,24 +144,23 @@ def q_split_columns(spark, d):
     return L.split_columns(fx.words(spark, d), fx.pages(spark, d))
 
 
-@query(
-    "edges_from_words",
-    ("words",),
-    """select doc_id, page, 'v' as orient, anchor, min(v) as pos, min(top) as lo, max(bottom) as hi
+VERTICAL_TEXT_SQL = """select doc_id, page, 'v' as orient, anchor, min(v) as pos, min(top) as lo, max(bottom) as hi
 from (select *, sum(case when prev is null or v - prev > 3 then 1 else 0 end)
                   over (partition by doc_id, page, anchor order by v) as cl
       from (select *, lag(v) over (partition by doc_id, page, anchor order by v) as prev
             from (select doc_id, page, top, bottom, 'x0' as anchor, x0 as v from words
                   union all select doc_id, page, top, bottom, 'x1', x1 from words
                   union all select doc_id, page, top, bottom, 'center', (x0 + x1) / 2 from words) a) b) c
-group by doc_id, page, anchor, cl having count(*) >= 3
-union all
-select doc_id, page, 'h' as orient, 'top' as anchor, min(top) as pos, min(x0) as lo, max(x1) as hi
+group by doc_id, page, anchor, cl having count(*) >= 3"""
+
+HORIZONTAL_TEXT_SQL = """select doc_id, page, 'h' as orient, 'top' as anchor, min(top) as pos, min(x0) as lo, max(x1) as hi
 from (select *, sum(case when prev is null or top - prev > 3 then 1 else 0 end)
                   over (partition by doc_id, page order by top) as cl
       from (select *, lag(top) over (partition by doc_id, page order by top) as prev from words) a) b
-group by doc_id, page, cl having count(*) >= 1""",
-)
+group by doc_id, page, cl having count(*) >= 1"""
+
+
+@query("edges_from_words", ("words",), VERTICAL_TEXT_SQL + "\nunion all\n" + HORIZONTAL_TEXT_SQL)
 def q_edges_from_words(spark, d):
     return L.edges_from_words(fx.words(spark, d))
 
@@ -197,7 +196,7 @@ where rn = 1"""
 
 RULE_CTES = [
     ("snapped", SNAP_SQL),
-    ("clean", JOIN_SQL.replace("from snapped", "from snapped") + ""),
+    ("clean", f"select * from ({JOIN_SQL}) j where hi - lo >= 3"),  # the joined edges must also be long enough
     ("pts", PTS_SQL),
     ("vp", "select distinct doc_id, page, x, y, v_lo from pts"),
     ("hp", "select distinct doc_id, page, x, y, h_lo from pts"),
@@ -213,8 +212,6 @@ RULE_CTES = [
     ),
     ("cells_found", CELLS_SQL),
 ]
-# the joined edges must also be long enough
-RULE_CTES[1] = ("clean", f"select * from ({JOIN_SQL}) j where hi - lo >= 3")
 
 GROUP_CTES = RULE_CTES + [
     ("cid", "select *, row_number() over (order by doc_id, page, top, x0) as id from cells_found"),
@@ -270,8 +267,8 @@ def q_join_edges(spark, d):
     "explicit_lines",
     ("edges", "pages"),
     """select doc_id, page, orient, pos, lo, hi from edges
-union all select doc_id, page, 'v', 30.0e0, 0.0e0, height from pages where (doc_id, page) in (select doc_id, page from edges)
-union all select doc_id, page, 'h', 20.0e0, 0.0e0, width from pages where (doc_id, page) in (select doc_id, page from edges)""",
+union all select doc_id, page, 'v', 30.0e0, 0.0e0, height from pages
+union all select doc_id, page, 'h', 20.0e0, 0.0e0, width from pages""",
 )
 def q_explicit_lines(spark, d):
     return R.explicit_lines(fx.edges(spark, d), fx.pages(spark, d), vertical=(30.0,), horizontal=(20.0,))
@@ -355,6 +352,39 @@ def q_extract_tables(spark, d):
     return R.extract_tables(_all_words(spark, d), fx.edges(spark, d))
 
 
+TABLE_WORDS_SQL = "select doc_id, page, -1 as word_no, word, x0, x1, top, bottom from grid_words"
+TEXT_EDGES_SQL = (
+    "select doc_id, page, orient, pos, lo, hi from edges where orient = 'h' union all select doc_id, page, orient, pos, lo, hi from ("
+    + VERTICAL_TEXT_SQL.replace("from words", "from grid_words")
+    + ") v"
+)
+
+
+def _text_strategy_ctes():
+    out = [("edges_t", TEXT_EDGES_SQL)]
+    for name, sql in EXTRACT_CTES:
+        if name == "snapped":
+            sql = sql.replace("from edges) a) b", "from edges_t) a) b")
+        if name == "allw":
+            sql = TABLE_WORDS_SQL
+        out.append((name, sql))
+    return out
+
+
+EXTRACT_SQL = """select s.doc_id, s.page, s.table_no, s.row_no, s.col_no,
+       case when g.x0 is null then null else coalesce(t.text, '') end as txt
+from slots s
+left join grid g on s.doc_id = g.doc_id and s.page = g.page and s.table_no = g.table_no and s.row_no = g.row_no and s.col_no = g.col_no
+left join ct t on s.doc_id = t.doc_id and s.page = t.page and s.table_no = t.table_no and s.row_no = t.row_no and s.col_no = t.col_no"""
+
+
+@query("extract_tables_text", ("grid_words", "edges"), EXTRACT_SQL, _text_strategy_ctes(), recursive=True)
+def q_extract_tables_text(spark, d):
+    """H3 with vertical rules from the words' alignment and horizontal ones from the ruling edges."""
+    words = fx.grid_words(spark, d).select("doc_id", "page", F.lit(-1).alias("word_no"), "word", "x0", "x1", "top", "bottom")
+    return R.extract_tables(words, fx.edges(spark, d), s=R.GridSettings(vertical_strategy="text"))
+
+
 AROUND_CTES = GROUP_CTES + [
     ("boxes", "select doc_id, page, table_no, min(x0) as x0, min(top) as top, max(x1) as x1, max(bottom) as bottom from tcells group by all"),
     (
@@ -389,7 +419,7 @@ BETWEEN_CTES = AROUND_CTES[: len(GROUP_CTES) + 1] + [
         "bands",
         """select doc_id, page, cast(i as bigint) as band, coalesce(prev_bottom, 0.0e0) as lo, top as hi, width from ob
 union all
-select doc_id, page, cast(n as bigint), bottom, height, width from ob where i = n - 1""",
+select doc_id, page, cast(n as bigint), end_bottom, height, width from ob where i = n - 1""",
     ),
     (
         "bw",
@@ -403,7 +433,8 @@ BETWEEN_CTES.insert(
     (
         "ob",
         """select b.*, p.width, p.height, row_number() over (partition by b.doc_id, b.page order by b.top, b.table_no) - 1 as i,
-       lag(b.bottom) over (partition by b.doc_id, b.page order by b.top, b.table_no) as prev_bottom,
+       max(b.bottom) over (partition by b.doc_id, b.page order by b.top, b.table_no rows between unbounded preceding and 1 preceding) as prev_bottom,
+       max(b.bottom) over (partition by b.doc_id, b.page) as end_bottom,
        count(*) over (partition by b.doc_id, b.page) as n
 from boxes b join pages p on b.doc_id = p.doc_id and b.page = p.page""",
     ),

@@ -1,4 +1,10 @@
-"""Registered query: the incremental corpus build (L1) equals the batch build."""
+"""Registered query: the incremental corpus build (L1), with files delivered again.
+
+The listing comes in ``N_DROPS`` runs; the last drop also brings files of the
+first one again (every ``AGAIN``-th), with their first page only.  A version
+that arrives later replaces its title: arrival is the drop of the version, then
+the listing order.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +19,47 @@ from folio.sources import fixtures as fx
 from folio.streaming import corpus_stream as S
 
 N_DROPS = 3
+AGAIN = 10
 
 
 def decoded_drops(spark, d):
-    """Decoded pages of every file (text, OCR text, last table) with the arrival drop
-    each file comes in: the listing split into ``N_DROPS`` consecutive runs."""
+    """Decoded pages of every file (text, OCR text, last table) with the drop they come in."""
     files = fx.files(spark, d)
     n = files.select(F.max("listing_no") + 1).scalar()
     ocr = O.ocr_text(fx.ocr_lines(spark, d))
     md = M.markdown_tables(fx.cells(spark, d), keep="last")
     p = fx.pages(spark, d).select("doc_id", "page", "page_text").join(ocr, ["doc_id", "page"], "left").join(md, ["doc_id", "page"], "left")
-    j = p.join(files, "doc_id").withColumn("drop_no", F.floor(F.col("listing_no") * N_DROPS / F.lit(n)).cast("int"))
-    return j.select("drop_no", *[f.name for f in S.DROP_SCHEMA.fields])
+    j = p.join(files, "doc_id")
+    drop = F.floor(F.col("listing_no") * N_DROPS / F.lit(n)).cast("int")
+    again = (drop == 0) & (F.col("listing_no") % AGAIN == 0) & (F.col("page") == 0)
+    drops = F.explode(F.when(again, F.array(drop, F.lit(N_DROPS - 1))).otherwise(F.array(drop)))
+    return j.withColumn("drop_no", drops).withColumn("delivery", F.col("drop_no").cast("long")).select("drop_no", *[f.name for f in S.DROP_SCHEMA.fields])
+
+
+STREAM_CTES = CORPUS_CTES[:-2] + [
+    (
+        "arrivals",
+        f"""select *, case when first_drop = 0 and listing_no % {AGAIN} = 0 then {N_DROPS - 1} else first_drop end as last_drop
+from (select *, cast(floor(listing_no * {N_DROPS} / (select max(listing_no) + 1 from files)) as int) as first_drop from pdfs) f""",
+    ),
+    (
+        "winners",
+        "select lv3 as title, arg_max(doc_id, last_drop * 1000000000 + listing_no) as doc_id, arg_max(last_drop > first_drop, last_drop * 1000000000 + listing_no) as again from arrivals group by lv3",
+    ),
+    CORPUS_CTES[-1],
+]
 
 
-@query("stream_corpus", ("files", "pages", "ocr_lines", "cells"), "select * from corpus", CORPUS_CTES)
+@query(
+    "stream_corpus",
+    ("files", "pages", "ocr_lines", "cells"),
+    "select c.* from corpus c join winners w on c.title is not distinct from w.title where not w.again or c.page = 0",
+    STREAM_CTES,
+)
 def q_stream_corpus(spark, d):
     base = scratch_path(spark, "stream-corpus")
-    drops = decoded_drops(spark, d).cache()
-    for k in range(N_DROPS):  # drops arrive one after another
-        drops.where(F.col("drop_no") == k).drop("drop_no").write.mode("append").parquet(f"{base}/in")
-    drops.unpersist()
-    q = S.stream_corpus(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lang="en")
-    q.awaitTermination()
+    decoded_drops(spark, d).write.partitionBy("drop_no").parquet(f"{base}/decoded")
+    for k in range(N_DROPS):  # drops arrive one after another, and the stream is started for each
+        spark.read.schema(S.DROP_SCHEMA).parquet(f"{base}/decoded/drop_no={k}").write.mode("append").parquet(f"{base}/in")
+        S.stream_corpus(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lang="en").awaitTermination()
     return S.read_corpus(spark, f"{base}/out")

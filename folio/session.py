@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,15 +35,17 @@ def local_session(cores: int | str = "*", app: str = "folio", extra: dict | None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; a cluster names it, we only read it.
 
-    A cluster names it; we only read it.  Where it is unset (local tests) a
-    fresh scratch folder is created once and recorded in the session, so every
-    later call sees the same value.
+    Where it is unset, a local master (``local[...]``: one machine, one process)
+    gets a fresh scratch folder, recorded in the session; any other master is an
+    error, since executors would each write to their own disk.
     """
     sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share (master: {sc.master})")
         d = tempfile.mkdtemp(prefix="folio-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if sc.getCheckpointDir() is None:
@@ -51,38 +53,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-@contextmanager
-def conf_override(spark: SparkSession, settings: dict):
-    """Apply SQL settings while the enclosed (eager) jobs run, then restore them."""
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
-# Joins keyed by (page, ...) may reuse a partitioning by page alone: a page is bounded,
-# so this never puts a hot key into one task.  Only used around page-keyed jobs.
-PAGE_LOCAL = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+_roots: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder, for tables written to cut lineage."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    """A new sub-folder of the shared checkpoint folder, for tables written to cut lineage.
+
+    All of an application's sub-folders lie in one folder of its own, which is
+    deleted when the application ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/folio-{app}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _roots[app] = root
+    return f"{_roots[app]}/{name}-{uuid.uuid4().hex}"

@@ -10,6 +10,7 @@ to decode becomes a row of the errors output instead of failing the job.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -30,45 +31,44 @@ def list_files(spark: SparkSession, root: str, suffix: str | None = None, recurs
 
 def read_images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """A5: decode every image under ``root`` with Spark's image source into colour planes
-    ``(image_id = file path, channel 'b'|'g'|'r', y, x, v)`` (gray images give channel 'b' only).
+    ``(image_id = file path, channel 'b'|'g'|'r', y, x, v)``; a gray image has the same
+    values in all three, as colour readers give it.  Files that hold no readable image are
+    not here but in ``unreadable_images``.
 
     Spark decodes the files; numpy only re-shapes each decoded byte buffer
-    into rows, one image per input row, inside ``mapInPandas``."""
-    imgs = (
-        spark.read.format("image")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("dropInvalid", "true")
-        .load(root)
-        .select(
-            F.col("image.origin").alias("image_id"),
-            F.col("image.height").alias("height"),
-            F.col("image.width").alias("width"),
-            F.col("image.nChannels").alias("n_channels"),
-            F.col("image.data").alias("data"),
-        )
+    into rows, one image channel per output batch, inside ``mapInPandas``."""
+    imgs = _images(spark, root, recursive).where(F.col("image.nChannels") > 0).select(
+        F.col("image.origin").alias("image_id"),
+        F.col("image.height").alias("height"),
+        F.col("image.width").alias("width"),
+        F.col("image.nChannels").alias("n_channels"),
+        F.col("image.data").alias("data"),
     )
     schema = "image_id string, channel string, y int, x int, v int"
     return imgs.mapInPandas(_image_rows, schema)
 
 
+def unreadable_images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """A5: ``(path, error)`` of the files under ``root`` that Spark's image source can't decode."""
+    bad = _images(spark, root, recursive).where(F.coalesce(F.col("image.nChannels"), F.lit(-1)) <= 0)
+    return bad.select(F.col("image.origin").alias("path"), F.lit("not a readable image").alias("error"))
+
+
+def _images(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
+    return spark.read.format("image").option("recursiveFileLookup", str(recursive).lower()).option("dropInvalid", "false").load(root)
+
+
 def _image_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import numpy as np
 
-    names = np.array(["b", "g", "r", "a"])
     for b in batches:
         for row in b.itertuples(index=False):
             h, w, c = int(row.height), int(row.width), int(row.n_channels)
-            arr = np.frombuffer(row.data, dtype=np.uint8).reshape(h, w, c)[:, :, : min(c, 3)]
-            ys, xs, cs = np.meshgrid(np.arange(h), np.arange(w), np.arange(arr.shape[2]), indexing="ij")
-            yield pd.DataFrame(
-                {
-                    "image_id": row.image_id,
-                    "channel": names[cs.ravel()],
-                    "y": ys.ravel().astype("int32"),
-                    "x": xs.ravel().astype("int32"),
-                    "v": arr.ravel().astype("int32"),
-                }
-            )
+            arr = np.frombuffer(row.data, dtype=np.uint8).reshape(h, w, c)
+            ys, xs = np.divmod(np.arange(h * w, dtype="int32"), np.int32(w))
+            for i, name in enumerate("bgr"):
+                plane = arr[:, :, i if c >= 3 else 0].ravel().astype("int32")
+                yield pd.DataFrame({"image_id": row.image_id, "channel": name, "y": ys, "x": xs, "v": plane})
 
 
 DECODE_STATUS = [T.StructField("path", T.StringType()), T.StructField("error", T.StringType())]
@@ -86,7 +86,7 @@ def decode(
 
     ``fn(path, content)`` yields dicts matching ``schema``.  Returns
     ``(rows, errors)``: rows carry ``path`` plus the schema's fields; errors are
-    ``(path, error)`` for files whose decoder raised.  With ``materialize`` the
+    ``(path, error)`` for files whose decoder raised, of which no row is kept.  With ``materialize`` the
     decoded table is checkpointed once (to ``spark.checkpoint.dir``), so reading
     both outputs does not run the decoders twice.
     """
@@ -99,14 +99,12 @@ def decode(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for path, content in zip(b["path"], b["content"]):
+            for path, content in zip(b["path"], b["content"]):  # a file's rows are kept only if all of it decodes
                 try:
-                    for rec in fn(path, bytes(content)):
-                        out.append({"path": path, "error": None, **{c: rec.get(c) for c in cols}})
+                    out = [{"path": path, "error": None, **{c: rec.get(c) for c in cols}} for rec in fn(path, bytes(content))]
                 except Exception as e:  # noqa: BLE001 - a bad file is data, not a job failure
-                    out.append({"path": path, "error": f"{type(e).__name__}: {e}", **{c: None for c in cols}})
-            yield pd.DataFrame(out, columns=["path", "error", *cols])
+                    out = [{"path": path, "error": f"{type(e).__name__}: {e}", **{c: None for c in cols}}]
+                yield pd.DataFrame(out, columns=["path", "error", *cols])
 
     decoded = src.mapInPandas(run, out_schema)
     if materialize:
@@ -130,3 +128,15 @@ def form_feed_pages(path: str, content: bytes) -> Iterator[dict]:
         text = text[:-1]
     for i, t in enumerate(text.split("\f")):
         yield {"page": i, "page_text": t}
+
+
+BUNDLE_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), *PAGE_TEXT_SCHEMA.fields])
+
+
+def bundled_documents(path: str, content: bytes) -> Iterator[dict]:
+    """Example decoder for files that hold many documents, one JSON object
+    ``{"doc_id": ..., "pages": [...]}`` a line: a corpus of small documents in few files."""
+    for line in content.decode("utf-8").splitlines():
+        doc = json.loads(line)
+        for i, t in enumerate(doc["pages"]):
+            yield {"doc_id": doc["doc_id"], "page": i, "page_text": t}

@@ -1,12 +1,20 @@
 """L1: build the corpus incrementally from drops of decoded pages.
 
 A drop is Parquet with one row per decoded page:
-``(path, listing_no, page, page_text, ocr_text, md)`` — ``ocr_text`` and ``md``
-(the page's markdown table) may be null.  Each micro-batch turns its new pages
-into page documents and appends them, tagged with the batch id, to
-``out_dir/docs``; the corpus is read back with "later arrival wins" per title
-(batch id, then listing order).  Appending and resolving at read keeps every
-batch a plain append (idempotent per batch id) instead of rewriting the corpus.
+``(path, listing_no, page, page_text, ocr_text, md, delivery)`` — ``ocr_text`` and
+``md`` (the page's markdown table) may be null.  Each micro-batch turns its new
+pages into page documents and appends them, tagged with the batch id, to
+``out_dir/docs``; the corpus is read back with "later arrival wins" per title.
+
+A file may be delivered again, with other pages; each delivery is a version of
+the file, and a title shows one version of one file, whole.  ``delivery`` tells
+versions apart: rows of a path with one delivery number belong together even if
+they arrive in several micro-batches.  Where it is null, a path's rows of one
+micro-batch are one delivery.  Order of arrival: the first batch of the version,
+then the delivery number, then listing order.
+
+Appending and resolving at read keeps every batch a plain append (idempotent
+per batch id); ``compact_corpus`` writes the current versions to a new folder.
 """
 
 from __future__ import annotations
@@ -15,9 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.functions.paths import DEFAULT_SEP, has_suffix
-from folio.functions.text import clean_text
-from folio.operators.assemble import assemble_pages
+from folio.functions.paths import DEFAULT_SEP, has_suffix, levels
+from folio.functions.text import clean_text, title_line
 
 DROP_SCHEMA = T.StructType(
     [
@@ -27,22 +34,28 @@ DROP_SCHEMA = T.StructType(
         T.StructField("page_text", T.StringType()),
         T.StructField("ocr_text", T.StringType()),
         T.StructField("md", T.StringType()),
+        T.StructField("delivery", T.LongType()),
     ]
 )
 
 
 def page_docs(drop: DataFrame, lang: str = "en", suffix: str | None = ".pdf", sep: str = DEFAULT_SEP) -> DataFrame:
-    """Decoded pages of one drop -> page documents (G1), keyed by title."""
+    """Decoded pages of one drop -> page documents (G1), keyed by title and delivery."""
     d = drop.where(has_suffix("path", suffix))
     t = clean_text("page_text")
-    texts = d.select(
-        F.col("path").alias("doc_id"), "page", F.when(F.length(t) == 0, F.coalesce("ocr_text", F.lit(""))).otherwise(t).alias("text")
-    )
-    tables = d.where(F.col("md").isNotNull()).select(F.col("path").alias("doc_id"), "page", "md")
-    files = d.select(F.col("path").alias("doc_id"), "path", "listing_no").distinct()
-    docs = assemble_pages(files, texts, tables, lang, "v3", sep)
-    return docs.select(
-        F.col("file_name").alias("title"), "listing_no", "page", "page_content", "first_division", "second_division", "file_name", "file_path"
+    lv = levels("path", sep)
+    text = F.when(F.length(t) == 0, F.coalesce("ocr_text", F.lit(""))).otherwise(t)
+    tail = F.when(F.col("md").isNotNull(), F.concat(F.lit("\n\n"), F.col("md"))).otherwise(F.lit(""))
+    return d.select(
+        lv["lv3"].alias("title"),
+        "listing_no",
+        "delivery",
+        "page",
+        F.concat(title_line(lv["lv3"], lang, "v3"), F.lit("\n"), text, tail).alias("page_content"),
+        lv["lv1"].alias("first_division"),
+        lv["lv2"].alias("second_division"),
+        lv["lv3"].alias("file_name"),
+        F.col("path").alias("file_path"),
     )
 
 
@@ -62,12 +75,25 @@ def stream_corpus(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     return src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_corpus(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The corpus as of the last finished batch: per title, every page of the file that
-    arrived last.  A file's pages may span micro-batches, so arrival is decided per
-    file (its first batch, then listing order), never per page row."""
+def _current(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every column of the page documents of the version that holds each title."""
     docs = spark.read.parquet(f"{out_dir.rstrip('/')}/docs")
-    per_file = docs.groupBy("title", "file_path").agg(F.min("batch_id").alias("arrival"), F.max("listing_no").alias("listing_no"))
-    win = per_file.groupBy("title").agg(F.max_by("file_path", F.struct("arrival", "listing_no")).alias("file_path"))
-    latest = docs.join(win, ["title", "file_path"], "left_semi")
-    return latest.select("title", "page", "page_content", "first_division", "second_division", "file_name", "file_path")
+    # without a delivery number the micro-batch is the delivery
+    docs = docs.withColumn("_version", F.coalesce(F.concat(F.lit("d"), F.col("delivery").cast("string")), F.concat(F.lit("b"), F.col("batch_id").cast("string"))))
+    versions = docs.groupBy("title", "file_path", "_version").agg(
+        F.struct(F.min("batch_id").alias("batch"), F.coalesce(F.max("delivery"), F.lit(-1)).alias("delivery"), F.max("listing_no").alias("listing_no")).alias("arrival")
+    )
+    # a title that is null (a short path) is a title like any other; a path and its version tell it
+    win = versions.groupBy("title").agg(F.max_by(F.struct("file_path", "_version"), "arrival").alias("w")).select("w.file_path", "w._version")
+    return docs.join(win, ["file_path", "_version"], "left_semi").drop("_version")
+
+
+def read_corpus(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The corpus as of the last finished batch: per title, every page of the version that arrived last."""
+    return _current(spark, out_dir).select("title", "page", "page_content", "first_division", "second_division", "file_name", "file_path")
+
+
+def compact_corpus(spark: SparkSession, out_dir: str, new_dir: str) -> None:
+    """Write the current versions to ``new_dir`` (an output folder like ``out_dir``, with the same batch ids), so that
+    readers no longer meet superseded ones.  Run it between stream runs, then point the stream and the readers there."""
+    _current(spark, out_dir).write.partitionBy("batch_id").parquet(f"{new_dir.rstrip('/')}/docs")

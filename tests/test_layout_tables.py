@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from pyspark.sql import functions as F
@@ -73,17 +74,23 @@ def test_snap_is_idempotent_and_join_merges(spark):
     assert [(r.pos, r.lo, r.hi) for r in j] == [(10.5, 0.0, 100.0)]  # joined; the 2-point stub dropped
 
 
-def test_dataframe_components_agree_with_union_find(spark):
-    rnd = random.Random(3)
-    edges = [(g, rnd.randrange(60), rnd.randrange(60)) for g in range(3) for _ in range(45)]
-    df = spark.createDataFrame(edges, "g int, src long, dst long")
-    got = {(r.g, r.node): r.label for r in C.connected_components(df, ["g"]).collect()}
-    for g in range(3):
-        es = [(a, b) for gg, a, b in edges if gg == g]
-        lab = C.union_find(60, [a for a, _ in es], [b for _, b in es])
-        for (gg, node), label in got.items():
-            if gg == g:
-                assert label == lab[node]
+def test_union_find_and_whole_groups():
+    import pandas as pd
+
+    # a chain, a star and a lone node
+    lab = C.union_find(12, [0, 1, 2, 6, 6, 6], [1, 2, 3, 7, 8, 9])
+    assert lab.tolist() == [0, 0, 0, 0, 4, 5, 6, 6, 6, 6, 10, 11]
+    rows = pd.DataFrame({"g": [1, 1, 1, 1, 1, 2, 3, 3], "v": range(8)})
+    for size in (1, 2, 3, 8):
+        got = list(C.whole_groups((rows[i : i + size] for i in range(0, 8, size)), ["g"]))
+        assert pd.concat(got)["v"].tolist() == list(range(8))
+        seen = [set(b["g"]) for b in got]
+        assert all(not (a & b) for i, a in enumerate(seen) for b in seen[i + 1 :])
+
+
+def test_ordinal_numbers_a_null_group(spark):
+    df = spark.createDataFrame([(None, 5), (None, 3), (1, 9)], "g int, o int")
+    assert {(r.g, r.o): r.n for r in N.ordinal(df, ["g"], ["o"]).collect()} == {(None, 3): 0, (None, 5): 1, (1, 9): 0}
 
 
 def test_ordinal_matches_row_number_on_a_hot_group(spark):
@@ -134,3 +141,51 @@ def test_crop_touching_and_within(spark):
     assert set(got) == {"inside", "straddle", "touch"}
     assert got["straddle"] == (90.0, 100.0, 50.0, 60.0)
     assert {r.word for r in L.within_bbox(words, box).collect()} == {"inside"}
+
+
+def test_merged_cell_is_found_by_search(spark):
+    # a 2x2 grid whose two lower cells are one: the middle vertical rule ends at y = 40
+    e = [(1, 0, "h", y, 10.0, 110.0) for y in (20.0, 40.0, 60.0)] + [(1, 0, "v", 10.0, 20.0, 60.0), (1, 0, "v", 110.0, 20.0, 60.0), (1, 0, "v", 60.0, 20.0, 40.0)]
+    edges = spark.createDataFrame(e, "doc_id long, page int, orient string, pos double, lo double, hi double")
+    got = sorted((r.x0, r.top, r.x1, r.bottom) for r in R.find_cells(edges).collect())
+    assert got == [(10.0, 20.0, 60.0, 40.0), (10.0, 40.0, 110.0, 60.0), (60.0, 20.0, 110.0, 40.0)]
+
+
+def test_explicit_lines_reach_pages_without_rules(spark):
+    edges = spark.createDataFrame([], "doc_id long, page int, orient string, pos double, lo double, hi double")
+    pages = spark.createDataFrame([(1, 0, 200.0, 100.0)], "doc_id long, page int, width double, height double")
+    s = R.GridSettings(explicit_vertical_lines=(10.0, 60.0), explicit_horizontal_lines=(20.0, 80.0))
+    assert [(r.x0, r.top, r.x1, r.bottom) for r in R.find_cells(edges, pages, s).collect()] == [(10.0, 20.0, 60.0, 80.0)]
+    with pytest.raises(ValueError, match="pages"):
+        R.find_cells(edges, None, s)
+
+
+def test_text_strategy_takes_rules_from_words(spark):
+    # three rows of two aligned words, no ruling edge at all
+    rows = [(1, 0, 2 * i + j, f"{'ab'[j]}{i}", 10.0 + 60 * j, 30.0 + 60 * j, 20.0 * i, 20.0 * i + 10) for i in range(3) for j in range(2)]
+    words = spark.createDataFrame(rows, WORDS)
+    none = spark.createDataFrame([], "doc_id long, page int, orient string, pos double, lo double, hi double")
+    s = R.GridSettings(vertical_strategy="text", horizontal_strategy="text")
+    texts = {r.txt for r in R.extract_tables(words, none, s=s).collect()}
+    assert {"a0", "b0", "a1", "b1"} & texts
+    assert R.extract_tables(words, none).count() == 0
+    with pytest.raises(ValueError, match="strategy"):
+        R.extract_tables(words, none, s=R.GridSettings(vertical_strategy="other"))
+
+
+def test_text_between_overlapping_tables(spark):
+    # the first table reaches below the second one's end: the word beside it is in no band
+    boxes = spark.createDataFrame([(1, 0, 0, 0.0, 20.0, 50.0, 90.0), (1, 0, 1, 60.0, 30.0, 90.0, 50.0)], "doc_id long, page int, table_no int, x0 double, top double, x1 double, bottom double")
+    pages = spark.createDataFrame([(1, 0, 100.0, 120.0)], "doc_id long, page int, width double, height double")
+    words = spark.createDataFrame([(1, 0, 0, "above", 5.0, 30.0, 5.0, 15.0), (1, 0, 1, "beside", 60.0, 90.0, 60.0, 70.0), (1, 0, 2, "below", 5.0, 30.0, 95.0, 105.0)], WORDS)
+    assert [r.full_text for r in L.text_between_tables(words, boxes, pages).collect()] == ["above\n\nbelow"]
+
+
+def test_every_fixture_table_has_a_page_and_all_rows(spark):
+    from folio.sources import fixtures as fx
+
+    d = "/root/testdata/sf0.001"
+    cells, pages, li = fx.cells(spark, d), fx.pages(spark, d), fx.table(spark, d, "lineitem")
+    assert cells.select("doc_id", "page").distinct().join(pages, ["doc_id", "page"], "left_anti").count() == 0
+    assert cells.where("row_no > 0").count() == 4 * li.count()
+    assert R.find_cells(fx.edges(spark, d)).count() == cells.count()

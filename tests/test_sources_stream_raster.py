@@ -89,9 +89,10 @@ def test_decode_form_feed_with_a_bad_file(spark, tmp_path):
 
 def test_stream_equals_batch_and_later_title_wins(spark, tmp_path):
     drops = [
-        [(".\\2024\\A\\doc.pdf", 0, 0, "first", None, None)],
-        [(".\\2024\\B\\other.pdf", 1, 0, "", "ocr words", "|a|\n|-|")],
-        [(".\\2024\\C\\doc.pdf", 2, 0, "second", None, None), (".\\2024\\C\\doc.pdf", 2, 1, "more", None, None)],
+        [(".\\2024\\A\\doc.pdf", 0, 0, "first", None, None, 1)],
+        [(".\\2024\\B\\other.pdf", 1, 0, "", "ocr words", "|a|\n|-|", 2)],
+        # the pages of one delivery may come in several files, and so in several batches
+        [(".\\2024\\C\\doc.pdf", 2, 0, "second", None, None, 3), (".\\2024\\C\\doc.pdf", 2, 1, "more", None, None, 3)],
     ]
     for d in drops:
         spark.createDataFrame(d, S.DROP_SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
@@ -138,15 +139,158 @@ def test_flatten_line_boxes(spark):
 
 
 def test_stream_restart_is_exactly_once(spark, tmp_path):
-    rows = [(".\\2024\\A\\doc.pdf", 0, 0, "one", None, None), (".\\2024\\A\\doc.pdf", 0, 1, "two", None, None)]
-    spark.createDataFrame(rows, S.DROP_SCHEMA).write.parquet(str(tmp_path / "in"))
+    rows = [(".\\2024\\A\\doc.pdf", 0, 0, "one", None, None, None), (".\\2024\\A\\doc.pdf", 0, 1, "two", None, None, None)]
+    spark.createDataFrame(rows, S.DROP_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
     args = (spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"))
     S.stream_corpus(*args).awaitTermination()
     first = sorted(map(tuple, S.read_corpus(spark, str(tmp_path / "out")).collect()))
     S.stream_corpus(*args).awaitTermination()  # restart: the checkpoint says everything is done
     again = sorted(map(tuple, S.read_corpus(spark, str(tmp_path / "out")).collect()))
     assert first == again and len(first) == 2
-    spark.createDataFrame([(".\\2024\\B\\doc.pdf", 1, 0, "new", None, None)], S.DROP_SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(".\\2024\\B\\doc.pdf", 1, 0, "new", None, None, None)], S.DROP_SCHEMA).write.mode("append").parquet(str(tmp_path / "in"))
     S.stream_corpus(*args).awaitTermination()  # only the new drop is processed; it replaces the title
     last = sorted((r.page, r.page_content, r.second_division) for r in S.read_corpus(spark, str(tmp_path / "out")).collect())
     assert last == [(0, "This page explains doc.\nnew", "B")]
+
+
+def _deliver(spark, tmp_path, rows):
+    spark.createDataFrame(rows, S.DROP_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    S.stream_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    return sorted((r.title, r.page, r.page_content.split("\n")[-1]) for r in S.read_corpus(spark, str(tmp_path / "out")).collect())
+
+
+def test_a_file_delivered_again_replaces_all_of_its_pages(spark, tmp_path):
+    a, b = ".\\2024\\A\\doc.pdf", ".\\2024\\B\\doc.pdf"
+    assert len(_deliver(spark, tmp_path, [(a, 0, 0, "old 0", None, None, None), (a, 0, 1, "old 1", None, None, None)])) == 2
+    assert _deliver(spark, tmp_path, [(a, 0, 0, "new 0", None, None, None)]) == [("doc", 0, "new 0")]
+    assert _deliver(spark, tmp_path, [(b, 1, 0, "rival", None, None, None)]) == [("doc", 0, "rival")]
+    assert _deliver(spark, tmp_path, [(a, 0, 0, "again", None, None, None)]) == [("doc", 0, "again")]  # A, B, A
+    # two deliveries in one drop are told apart by their numbers
+    both = [(a, 0, 0, "first", None, None, 1), (a, 0, 1, "first", None, None, 1), (a, 0, 0, "second", None, None, 2)]
+    last = _deliver(spark, tmp_path, both)
+    assert last == [("doc", 0, "second")]
+    S.compact_corpus(spark, str(tmp_path / "out"), str(tmp_path / "small"))
+    assert spark.read.parquet(str(tmp_path / "small" / "docs")).count() == 1
+    assert sorted((r.title, r.page) for r in S.read_corpus(spark, str(tmp_path / "small")).collect()) == [("doc", 0)]
+
+
+def test_short_paths_keep_a_null_title_in_stream_and_batch(spark, tmp_path):
+    from folio.operators.assemble import build_corpus
+
+    got = _deliver(spark, tmp_path, [(".\\short.pdf", 0, 0, "text", None, None, None)])
+    assert got == [(None, 0, "text")]
+    files = spark.createDataFrame([(1, ".\\short.pdf", 0)], "doc_id long, path string, listing_no long")
+    pages = spark.createDataFrame([(1, 0, "text")], "doc_id long, page int, page_text string")
+    lines = spark.createDataFrame([], "doc_id long, page int, result_idx int, line_no int, txt string, conf double")
+    cells = spark.createDataFrame([], "doc_id long, page int, table_no int, row_no int, col_no int, txt string")
+    assert [(r.title, r.page, r.page_content.split("\n")[-1]) for r in build_corpus(files, pages, lines, cells).collect()] == got
+
+
+def write_gray_png(path, rows):
+    h, w = len(rows), len(rows[0])
+
+    def chunk(t, d):
+        return struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d) & 0xFFFFFFFF)
+
+    raw = b"".join(b"\x00" + bytes(r) for r in rows)
+    path.write_bytes(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+
+
+def test_gray_and_broken_images(spark, tmp_path):
+    rows = [[(7 * x + 40 * y) % 256 for x in range(5)] for y in range(4)]
+    write_gray_png(tmp_path / "gray.png", rows)
+    (tmp_path / "broken.png").write_bytes(b"no image")
+    gray = K.to_gray(SF.read_images(spark, str(tmp_path))).collect()
+    assert {(r.y, r.x): r.v for r in gray} == {(y, x): rows[y][x] for y in range(4) for x in range(5)}
+    bad = SF.unreadable_images(spark, str(tmp_path)).collect()
+    assert [r.path.rsplit("/", 1)[-1] for r in bad] == ["broken.png"]
+
+
+def _mirror(i, n):
+    while not 0 <= i < n:
+        i = (-i if i < 0 else 2 * (n - 1) - i) if n > 1 else 0
+    return i
+
+
+def test_filters_on_small_images(spark):
+    import random
+
+    rnd = random.Random(2)
+    images = {}
+    for k, (h, w) in enumerate([(1, 1), (1, 12), (12, 1), (2, 3), (3, 4), (4, 4), (5, 9), (12, 11)]):
+        images[k] = [[rnd.randrange(256) for _ in range(w)] for _ in range(h)]
+    df = spark.createDataFrame([(k, y, x, v) for k, m in images.items() for y, r in enumerate(m) for x, v in enumerate(r)], "image_id long, y int, x int, v int")
+    weights = K.binomial(9)
+    blurred = {(r.image_id, r.y, r.x): r.v for r in K.blur(df).collect()}
+    sharp = {(r.image_id, r.y, r.x): r.v for r in K.convolve(df, K.SHARPEN).collect()}
+    limit = {(r.image_id, r.y, r.x): r.v for r in K.adaptive_threshold(df).collect()}
+    assert len(blurred) == len(sharp) == len(limit) == df.count()
+    for k, m in images.items():
+        h, w = len(m), len(m[0])
+        for y in range(h):
+            for x in range(w):
+                s = sum(weights[i] * weights[j] * m[_mirror(y + i - 4, h)][_mirror(x + j - 4, w)] for i in range(9) for j in range(9))
+                assert blurred[k, y, x] == (s + 2**15) // 2**16
+                s = sum(K.SHARPEN[i][j] * m[_mirror(y + i - 1, h)][_mirror(x + j - 1, w)] for i in range(3) for j in range(3))
+                assert sharp[k, y, x] == min(255, max(0, s))
+
+
+def test_text_regions_of_a_page_with_its_defaults(spark, tmp_path):
+    h, w = 260, 420
+    rows = [[(255, 255, 255)] * w for _ in range(h)]
+    for y in range(100, 112):  # one line of dark strokes
+        for x in range(60, 360):
+            if x % 6 < 3:
+                rows[y][x] = (0, 0, 0)
+    write_png(tmp_path / "page.png", rows)
+    planes = SF.read_images(spark, str(tmp_path))
+    found = K.find_text_regions(planes).collect()
+    assert len(found) == 1 and found[0].x < 60 and found[0].y < 100 and found[0].w > 300
+    crops = IO.region_crops(K.region_pixels(K.to_gray(planes), spark.createDataFrame(found), region_cols=("roi",)))
+    IO.write_regions(crops, str(tmp_path / "rois"))
+    back = spark.read.parquet(str(tmp_path / "rois")).first()
+    assert (back.name, back.h, back.w) == ("ROI_0.jpg", found[0].h, found[0].w) and min(back.pixels) == 0
+
+
+def test_a_decoder_that_fails_half_way_leaves_no_rows(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"ok")
+    (tmp_path / "b.txt").write_bytes(b"bad")
+
+    def fn(path, content):
+        yield {"page": 0, "page_text": "early"}
+        if content == b"bad":
+            raise ValueError("half-way")
+
+    rows, errors = SF.decode(spark, str(tmp_path), fn, SF.PAGE_TEXT_SCHEMA)
+    assert [r.path.rsplit("/", 1)[-1] for r in rows.collect()] == ["a.txt"]
+    assert [(r.path.rsplit("/", 1)[-1], r.error) for r in errors.collect()] == [("b.txt", "ValueError: half-way")]
+
+
+def test_a_path_without_separator_is_in_no_folder(spark):
+    from folio.operators import folders as FD
+
+    df = spark.createDataFrame([("x.pdf",), ("a\\y.pdf",)], "path string")
+    assert [(r.folder, r.n_files) for r in FD.folder_tree(df).collect()] == [("a", 1)]
+    assert [(r.folder, r.has_subfolders) for r in FD.has_subfolders(df).collect()] == [("a", False)]
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    from folio import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    import pytest
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

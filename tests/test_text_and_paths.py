@@ -85,63 +85,64 @@ def test_ocr_last_result_wins_even_if_empty(spark):
     assert t == {1: "", 2: "x y", 3: " ", 4: ""}  # whitespace-only is not empty; no OCR rows -> ''
 
 
-def test_text_functions_match_python_semantics_on_random_strings(spark):
-    import random
-    import re
-
-    rnd = random.Random(11)
-    alphabet = ["a", "b", " ", "-", "\n", "|", "th", ".", ","]
-    samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 30))) for _ in range(400)]
-    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
-    got = {
-        r.i: (r.c, r.h, r.k)
-        for r in df.select("i", T.clean_text("s").alias("c"), T.header_separator("s").alias("h"), T.clean_cell("s").alias("k")).collect()
+CLEANED = {
+    "plain": "plain",
+    "one\ntwo": "one two",
+    "hyphen-\nated word": "hyphenated word",
+    "a  b": "a b",
+    "a   b": "a  b",  # pairs of spaces shrink once, from the left
+    "end-": "end-",
+    "": "",
+    "\n": " ",
+    "a - b": "a b",
+}
+
+
+def test_clean_text_cases(spark):
+    df = spark.createDataFrame(list(CLEANED), "string").withColumnRenamed("value", "s")
+    got = {r.s: r.c for r in df.select("s", T.clean_text("s").alias("c")).collect()}
+    assert got == CLEANED
+    assert not any("\n" in v for v in got.values())
+
+
+SEPARATORS = {"|a|bb|": "|-|--|", "|": "|", "||": "|-|", "|x||y|": "|-|-|-|", "|word word|": "|---------|", "||||": "|-|||"}
+
+
+def test_header_separator_cases(spark):
+    df = spark.createDataFrame(list(SEPARATORS), "string").withColumnRenamed("value", "s")
+    got = {r.s: r.h for r in df.select("s", T.header_separator("s").alias("h")).collect()}
+    assert got == SEPARATORS
+
+
+def test_clean_cell_cases(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a\nb",), ("a|b",)], "s string")
+    assert [r.k for r in df.select(T.clean_cell("s").alias("k")).collect()] == ["None", "", "a b", "a|b"]
+
+
+def test_levels_and_stem_cases(spark):
+    cases = {
+        ".\\2024\\A\\doc.pdf": ("2024", "A", "doc", "doc"),
+        ".\\2024\\A\\B\\x.pdf.pdf": ("2024", "A", "x", "x"),
+        ".\\2024\\A\\ rev.3.pdf": ("2024", "A", " rev.3", "rev"),
+        ".\\2024\\only.pdf": ("2024", None, "only", "only"),
+        ".\\2024\\A\\e.tar.gz": ("2024", "A", "e.tar.gz", "e"),
     }
-    for i, s in enumerate(samples):
-        clean = s.replace("\n", " ").replace("- ", "").replace("  ", " ")
-        sep = re.sub(r"[^|]+", lambda m: "-" * max(1, len(m.group(0))), s).replace("||", "|-|", 1)
-        cell = s.replace("\n", " ") if "\n" in s else s
-        assert got[i] == (clean, sep, cell), repr(s)
-
-
-def test_levels_and_stem_on_random_paths(spark):
-    import random
-
-    rnd = random.Random(13)
-    names = ["a", "b.pdf", " rev.3", "x.pdf.pdf", "c.PDF", "d", "e.tar.gz"]
-    paths = []
-    for _ in range(300):
-        depth = rnd.randrange(3, 7)
-        paths.append("\\".join([".", "2024"] + [rnd.choice(names) for _ in range(depth - 2)]))
-    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    df = spark.createDataFrame(list(cases), "string").withColumnRenamed("value", "p")
     lv = P.levels("p")
-    got = {r.i: tuple(r[1:]) for r in df.select("i", lv["lv1"], lv["lv2"], lv["lv3"], P.file_stem("p")).collect()}
-    for i, p in enumerate(paths):
-        t = p.split("\\")
-        lv2 = t[2] if t[2] != t[-1] else None
-        exp = (t[1], lv2, t[-1].replace(".pdf", ""), t[-1].split(".")[0].strip())
-        assert got[i] == exp, p
-
+    got = {r.p: tuple(r[1:]) for r in df.select("p", lv["lv1"], lv["lv2"], lv["lv3"], P.file_stem("p")).collect()}
+    assert got == cases
 
-def test_annotation_layout_matches_python_placement(spark):
-    import random
 
+def test_annotation_layout_properties(spark):
     from folio.functions.boxes import corners
 
-    rnd = random.Random(17)
-    W, H = 400.0, 300.0
-    preds = []
-    for idx in range(60):
-        x0, top = float(rnd.randrange(0, 380)), float(rnd.randrange(0, 10)) * 20.0  # many equal tops
-        preds.append((1, idx, f"w{idx}", x0, top, x0 + 15.0, top + 10.0))
-    df = spark.createDataFrame(preds, "image_id long, idx int, word string, x0 double, top double, x1 double, bottom double")
-    df = df.select("image_id", "idx", "word", corners("x0", "top", "x1", "bottom").alias("box"))
-    df = df.withColumn("img_w", F.lit(W)).withColumn("img_h", F.lit(H))
-    got = {r.idx: (r.side, r.text_y, r.anchor_x, r.anchor_y, r.text_x, r.align) for r in O.annotation_layout(df).collect()}
-    ordered = sorted(preds, key=lambda p: p[4])  # stable: ties keep prediction order
-    left = [p for p in ordered if p[3] < W / 2]
-    right = [p for p in ordered if not p[3] < W / 2]
-    for side, group in (("left", left), ("right", right)):
-        for i, p in enumerate(group):
-            exp = (side, 1 - i / len(group), p[3] / W, 1 - p[4] / H, -0.05 if side == "left" else 1.05, "right" if side == "left" else "left")
-            assert got[p[1]] == exp
+    # four words on a 400 x 300 image; the two upper ones on the left share their top
+    rows = [(0, "low", 20.0, 200.0), (1, "first", 30.0, 40.0), (2, "second", 10.0, 40.0), (3, "right", 390.0, 0.0)]
+    df = spark.createDataFrame([(1, i, w, x, t, x + 5, t + 10) for i, w, x, t in rows], "image_id long, idx int, word string, x0 double, top double, x1 double, bottom double")
+    df = df.select("image_id", "idx", "word", corners("x0", "top", "x1", "bottom").alias("box"), F.lit(400.0).alias("img_w"), F.lit(300.0).alias("img_h"))
+    out = {r.word: r for r in O.annotation_layout(df).collect()}
+    assert {w: r.side for w, r in out.items()} == {"low": "left", "first": "left", "second": "left", "right": "right"}
+    assert [w for w, _ in sorted(((w, r.text_y) for w, r in out.items() if r.side == "left"), key=lambda x: -x[1])] == ["first", "second", "low"]
+    assert (out["first"].text_y, out["right"].text_y) == (1.0, 1.0)
+    assert (out["right"].anchor_x, out["right"].anchor_y, out["right"].text_x, out["right"].align) == (0.975, 1.0, 1.05, "left")
+    assert (out["low"].text_x, out["low"].align) == (-0.05, "right")
