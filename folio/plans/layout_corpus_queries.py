@@ -1,11 +1,16 @@
-"""Registered queries: the whole job from words and rules (H3 -> H8 -> G4), with and without crop."""
+"""Registered queries: the whole job from words and rules (H3 -> H8 -> G4), with and without crop, and the sinks."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from folio.operators import assemble as A
+from folio.operators import raster as K
 from folio.plans.corpus_queries import CORPUS_CTES
 from folio.plans.layout_queries import EXTRACT_CTES, EXTRACT_SQL, _all_words, _cropped_ctes, page_text_sql
 from folio.plans.registry import query
+from folio.session import scratch_path
+from folio.sources import corpus_io as IO
 from folio.sources import fixtures as fx
 
 FIXTURES = ("files", "pages", "ocr_lines", "words", "grid_words", "edges")
@@ -64,3 +69,30 @@ union all select * from ({whole}) y where doc_id not in (select doc_id from fits
 def q_layout_pages(spark, d):
     """The older converter: words and tables cropped, documents that the box does not fit uncropped."""
     return A.layout_pages(fx.files(spark, d), fx.pages(spark, d), _all_words(spark, d), fx.edges(spark, d))
+
+
+@query("read_docs", ("files", "pages", "ocr_lines", "cells"), "select * from corpus", CORPUS_CTES)
+def q_read_docs(spark, d):
+    """A6 then A7: the corpus written to the shared folder, partitioned by its first division, and loaded again."""
+    path = scratch_path(spark, "docs")
+    docs = A.build_corpus(fx.files(spark, d), fx.pages(spark, d), fx.ocr_lines(spark, d), fx.cells(spark, d), lang="en")
+    IO.write_docs(docs, path)
+    return IO.read_docs(spark, path)
+
+
+@query(
+    "written_regions",
+    ("pixels", "pixel_regions"),
+    """select image_id, 'ROI_0.jpg' as name, max(ry) + 1 as h, max(rx) + 1 as w, string_agg(cast(v as varchar), ',' order by ry, rx) as pixels
+from (select p.image_id, p.y - r.y as ry, p.x - r.x as rx, p.v
+      from pixels p join pixel_regions r on p.image_id = r.image_id
+      where p.y >= r.y and p.y < r.y + r.h and p.x >= r.x and p.x < r.x + r.w) c
+group by image_id""",
+)
+def q_written_regions(spark, d):
+    """C6 then A8: the pixels cut out for each region, written under the region's file name, and loaded again."""
+    path = scratch_path(spark, "regions")
+    regions = fx.pixel_regions(spark, d).withColumn("roi", F.lit(0))
+    IO.write_regions(IO.region_crops(K.region_pixels(fx.pixels(spark, d), regions, region_cols=("roi",))), path)
+    back = spark.read.parquet(path)
+    return back.select("image_id", "name", F.col("h").cast("long"), F.col("w").cast("long"), F.array_join(F.col("pixels").cast("array<string>"), ",").alias("pixels"))
