@@ -54,6 +54,7 @@ RULES = [
     ("reserved-line", "all-rights-reserved", ["reserved"]),
 ]
 MAX_GAP = 2
+BROADCAST_SENTENCES = 50_000  # a larger table of sentences is joined by shuffle
 SENTENCE_END = r"[\n\r]+|(?<=[.!?;])[ \t]+"
 
 
@@ -78,11 +79,11 @@ def scan_licenses(docs: DataFrame, sentences: DataFrame, rules: DataFrame, max_g
     row covers the same first sentence; ties by rule name.  Null and empty texts,
     and texts without a known sentence, give no row; null doc_ids and repeated
     rows give their own rows.  The two knowledge tables are
-    the caller's own (bounded: hundreds of rows), and are broadcast by Spark's
-    size rule only."""
+    the caller's own; the sentences are broadcast up to BROADCAST_SENTENCES."""
     known = sentences.select(normalised(F.col("sentence")).alias("norm"), "ident").filter("norm != ''").groupBy("norm").agg(F.min("ident").alias("ident"))
     # a sentence of another length than the known ones is not normalised at all
-    low, high = known.agg(F.coalesce(F.min(F.length("norm")), F.lit(0)), F.coalesce(F.max(F.length("norm")), F.lit(-1))).first()
+    low, high, n = known.agg(F.coalesce(F.min(F.length("norm")), F.lit(0)), F.coalesce(F.max(F.length("norm")), F.lit(-1)), F.count("*")).first()
+    known = F.broadcast(known) if n <= BROADCAST_SENTENCES else known
     found = (
         docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
         .select("_row", "doc_id", F.posexplode(F.split("text", SENTENCE_END)).alias("pos", "_s"))
