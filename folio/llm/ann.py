@@ -23,8 +23,8 @@ from folio.llm.common import map_rows, table
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 256
-LEAF = 32
-FACTOR = 1.1
+LEAF = 64
+FACTOR = 1.5
 K = 5
 SEED = 2
 
@@ -68,44 +68,58 @@ class VantagePointTree:
     def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(2 - 2 * (a @ b), 0))
 
+    def bounds(self, unit: np.ndarray) -> np.ndarray:
+        """Lower bounds of the distance of each query to the points of each node, by the triangle inequality: [nodes, queries]."""
+        low = np.zeros((len(self.nodes), len(unit)))
+        inside = [i for i, n in enumerate(self.nodes) if n[2] >= 0]
+        if inside:
+            d = self._distance(unit, self.unit[[self.nodes[i][2] for i in inside]].T)
+            for j, i in enumerate(inside):  # a node comes before its children
+                _, _, _, radius, outside, inner, outer = self.nodes[i]
+                low[inner] = np.maximum(low[i], d[:, j] - radius)
+                low[outer] = np.maximum(low[i], outside - d[:, j])
+        return low
+
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (ids, scores) of each query, best first, ties to the smaller id; -1 and -inf where there are fewer."""
+        """The k best (ids, scores) of each query, best first, ties to the smaller id; -1 and -inf where there are fewer.
+
+        Each query first visits the leaf of its lowest bound, then the leaves that are not skipped; the queries of a
+        block that visit a leaf do so together."""
         n = len(ids)
         norms = np.sqrt((queries * queries).sum(1))
         unit = queries / norms[:, None]
         best_id, best = np.full((n, k), -1, np.int64), np.full((n, k), -np.inf)
-        slack = 1e-7
+        if not n or not len(self.ids):
+            return best_id, best
 
-        def leaf(start: int, stop: int, q: np.ndarray) -> None:
+        def visit(start: int, stop: int, q: np.ndarray) -> None:
             for at in range(start, stop, 256):
                 rows = self.order[at : min(at + 256, stop)]
+                near = unit[q] @ self.unit[rows].T >= best[q, -1][:, None] - 1e-9  # what can still be among the k best
+                near &= ids[q][:, None] != self.ids[rows]
+                a, b = np.nonzero(near)
+                if not len(a):
+                    continue
+                score = np.full(near.shape, -np.inf)
                 # the same sum for the same two vectors, wherever they lie
-                score = np.einsum("qd,vd->qv", queries[q], self.vectors[rows]) / (norms[q][:, None] * self.norms[rows])
-                score[ids[q][:, None] == self.ids[rows]] = -np.inf
-                all_s = np.concatenate([best[q], score], 1)
-                all_i = np.concatenate([best_id[q], np.broadcast_to(self.ids[rows], score.shape)], 1)
+                score[a, b] = np.einsum("id,id->i", queries[q[a]], self.vectors[rows[b]]) / (norms[q[a]] * self.norms[rows[b]])
+                some = np.unique(a)
+                qs = q[some]
+                all_s = np.concatenate([best[qs], score[some]], 1)
+                all_i = np.concatenate([best_id[qs], np.broadcast_to(self.ids[rows], near.shape)[some]], 1)
                 top = np.lexsort((all_i, -all_s), axis=1)[:, :k]
-                best[q], best_id[q] = np.take_along_axis(all_s, top, 1), np.take_along_axis(all_i, top, 1)
-
-        def bound(q: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(2 - 2 * np.where(np.isfinite(best[q, -1]), best[q, -1], -1.0), 0)) + slack
-
-        def visit(node: int, q: np.ndarray) -> None:
-            start, stop, vantage, radius, outside, inner, outer = self.nodes[node]
-            if vantage < 0:
-                leaf(start, stop, q)
-                return
-            d = self._distance(unit[q], self.unit[vantage])
-            near = d <= (radius + outside) / 2
-            for mine, first, second, gap in ((near, inner, outer, outside - d), (~near, outer, inner, d - radius)):
-                if mine.any():
-                    visit(first, q[mine])
-                    left = q[mine][factor * np.maximum(gap[mine], 0) <= bound(q[mine])]
-                    if len(left):
-                        visit(second, left)
-
-        if n and len(self.ids):
-            visit(0, np.arange(n))
+                best[qs], best_id[qs] = np.take_along_axis(all_s, top, 1), np.take_along_axis(all_i, top, 1)
+
+        leaves = [i for i, node in enumerate(self.nodes) if node[2] < 0]
+        low = self.bounds(unit)[leaves]
+        home = low.argmin(0)
+        for j, i in enumerate(leaves):
+            if len(q := np.flatnonzero(home == j)):
+                visit(*self.nodes[i][:2], q)
+        for j, i in enumerate(leaves):
+            reach = np.sqrt(np.maximum(2 - 2 * np.where(np.isfinite(best[:, -1]), best[:, -1], -1.0), 0)) + 1e-7
+            if len(q := np.flatnonzero((home != j) & (factor * low[j] <= reach))):
+                visit(*self.nodes[i][:2], q)
         best_id[~np.isfinite(best)] = -1
         return best_id, best
 
