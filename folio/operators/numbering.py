@@ -1,12 +1,13 @@
 """Running numbers (E1) that stay distributed when one group is huge.
 
 ``row_number() over (partition by g order by o)`` puts a whole group into one
-task.  ``ordinal`` instead range-partitions on (g, o): each task numbers its
-own slice of every group, the slice sizes (one row per task and group) become
-offsets, and offset + local number is the global number.  A group that holds a
-third of all rows is spread over a third of the tasks.  The sliced rows are
-checkpointed to the shared checkpoint folder once, so the slice sizes and the
-rows they number are the same data even if a task is re-run.
+task.  ``ordinal`` instead range-partitions on (g, o) and sorts each partition:
+a row's place in its partition less the place of its group's first row there is
+its local number, and the sizes of the group's slices (one row per task and
+group) become offsets.  A group that holds a third of all rows is spread over a
+third of the tasks.  The sliced rows are checkpointed to the shared checkpoint
+folder once, so the slice sizes and the rows they number are the same data even
+if a task is re-run; the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from folio.session import checkpoint_dir
 
+BROADCAST_SLICES = 100_000  # slice sizes are broadcast up to this many rows, joined by shuffle beyond
+
 
 def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: str = "n", base: int = 0) -> DataFrame:
     """Add ``name`` = position of the row inside its group under ``order_cols`` (+ base).
@@ -29,13 +32,15 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list[str], name: s
     keys = g + list(order_cols)
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_dir(df.sparkSession)
-    # the slice id is stored (reliable checkpoint), so every later use reads the same value
-    sliced = df.repartitionByRange(n_parts, *keys).withColumn("_slice", F.spark_partition_id()).checkpoint()
-    local_w = Window.partitionBy("_slice", *g).orderBy(*order_cols)
-    local = sliced.withColumn("_local", F.row_number().over(local_w))
-    sizes = local.groupBy("_slice", *g).agg(F.count(F.lit(1)).alias("_size"))
+    # the id holds the partition (above bit 33) and the place in it; both are stored (reliable checkpoint)
+    sliced = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    sliced = sliced.withColumn("_slice", F.shiftright("_id", 33)).withColumn("_place", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = sliced.groupBy("_slice", *g).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*g).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1) if g else Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    shift = (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + base).alias("_shift")
+    offsets = sizes.select("_slice", *g, shift)
+    if sizes.count() <= BROADCAST_SLICES:
+        offsets = F.broadcast(offsets)
     same = reduce(lambda a, c: a & F.col(f"l.{c}").eqNullSafe(F.col(f"o.{c}")), g, F.col("l._slice") == F.col("o._slice"))
-    out = local.alias("l").join(offsets.alias("o"), same).select("l.*", "o._off")  # a null group is a group
-    return out.withColumn(name, (F.col("_off") + F.col("_local") - 1 + base).cast("long")).drop("_slice", "_local", "_off")
+    out = sliced.alias("l").join(offsets.alias("o"), same).select("l.*", "o._shift")  # a null group is a group
+    return out.withColumn(name, (F.col("_place") + F.col("_shift")).cast("long")).drop("_id", "_slice", "_place", "_shift")

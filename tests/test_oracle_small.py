@@ -15,6 +15,8 @@ KEYS = [
     "build_corpus", "corpus_summary", "listing_order", "folder_tree", "collisions", "annotation_layout",
     "crop_or_whole", "detect_columns", "page_text", "split_columns", "edges_from_words", "join_edges",
     "find_cells", "extract_tables", "text_between_tables", "blur", "regions", "number_regions", "region_pixels",
+    "edge_intersections", "explicit_lines", "extract_tables_text", "build_corpus_from_layout", "layout_pages", "stream_corpus",
+    "nth_pages", "corpus_titles", "read_docs", "written_regions", "ocr_batch", "flatten_boxes", "decode_pages", "adaptive_threshold",
 ]
 
 

@@ -20,6 +20,24 @@ def test_no_cartesian_or_nested_loop_join(spark, key):
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDF
 
 
+def _exchanges(df):
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString()))
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
+def test_cell_search_is_one_plan_with_few_shuffles(spark):
+    from folio.operators import ruling as R
+    from folio.sources import fixtures as fx
+
+    # no job and no intermediate table: the whole plan, from the line items on, is visible
+    plan = R.find_cells(fx.edges(spark, SF))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in text
+    # line items by order, tables by document, rules by page (for both sides of one join), the join's two sides, points by page
+    assert _exchanges(plan) <= 10
+    assert _exchanges(fx.edges(spark, SF)) <= 2
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 def test_corpus_scans_are_pruned(spark):
     import __spark_entry__ as E
@@ -30,3 +48,4 @@ def test_corpus_scans_are_pruned(spark):
     for s in schemas:
         if "text:string" in s:
             assert s == "struct<doc_id:bigint,text:string>"  # documents: only the two needed columns
+        assert "l_comment" not in s and "l_shipdate" not in s
