@@ -5,8 +5,8 @@ line, an array of values): the x pass is a built-in ``transform`` over the
 reflected neighbours (border 'reflect 101': -1 -> 1, n -> n-2), the y pass
 sends each line to the few target lines it feeds and sums them with
 ``aggregate``, so a pass shuffles each value about kernel-height times and
-never joins pixel rows.  Kernels may be larger than the image.  Dilation is a moving maximum (RANGE window) along x,
-then y.
+never joins pixel rows.  Kernels may be larger than the image.  Dilation is a moving maximum along the line,
+then a RANGE window along y.
 """
 
 from __future__ import annotations
@@ -116,43 +116,59 @@ def convolve(pixels: DataFrame, kernel: list[list[int]], clamp: bool = True) ->
     return px.select(IMG, "y", "x", v.cast("int").alias("v"))
 
 
-def weighted_sum(pixels: DataFrame, weights: list[int]) -> DataFrame:
-    """Separable integer weighted sum (x pass, then y pass) on scan lines: ``(image, y, x, v, s)``."""
+def _weighted(lines: DataFrame, weights: list[int]) -> DataFrame:
+    """Separable integer weighted sum (x pass, then y pass): scan lines with their sums ``_s`` beside them."""
     r = len(weights) // 2
-    lines = to_lines(pixels)
     xs = lines.select(IMG, "y", "_h", F.col("line").alias("_v"), _xpass(F.col("line"), weights).alias("line"))
-    both = _ypass(xs, [(i - r, [w]) for i, w in enumerate(weights)], keep="_v").select(IMG, "y", F.col("line").alias("_s"), F.col("_v").alias("line"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("line") - 1),
-        lambda i: F.struct(F.element_at("line", i + 1).alias("v"), F.element_at("_s", i + 1).alias("s")),
-    )
-    z = both.select(IMG, "y", F.posexplode(pairs).alias("x", "_z"))
-    return z.select(IMG, "y", F.col("x").cast("int").alias("x"), F.col("_z.v").cast("int").alias("v"), F.col("_z.s").alias("s"))
+    both = _ypass(xs, [(i - r, [w]) for i, w in enumerate(weights)], keep="_v")
+    return both.select(IMG, "y", "_h", F.col("_v").alias("line"), F.col("line").alias("_s"))
+
+
+def _rounded(s: Column, total: int) -> Column:
+    return ((s + total // 2) / total).cast("long")
+
+
+def _blurred(lines: DataFrame, size: int) -> DataFrame:
+    total = sum(binomial(size)) ** 2
+    return _weighted(lines, binomial(size)).select(IMG, "y", "_h", F.transform("_s", lambda s: _rounded(s, total)).alias("line"))
+
+
+def _thresholded(lines: DataFrame, block: int, c: int, maxval: int) -> DataFrame:
+    total = sum(binomial(block)) ** 2
+    dark = lambda v, s: F.when(v <= _rounded(s, total) - c, maxval).otherwise(0).cast("long")
+    return _weighted(lines, binomial(block)).select(IMG, "y", "_h", F.zip_with("line", "_s", dark).alias("line"))
+
+
+def _widened(lines: DataFrame, r: int) -> DataFrame:
+    """Moving maximum of radius ``r`` along each line."""
+    span = lambda i: F.slice("line", F.greatest(i - r, F.lit(0)) + 1, F.least(i, F.lit(r)) + r + 1)
+    return lines.select(IMG, "y", F.transform(F.sequence(F.lit(0), F.size("line") - 1), lambda i: F.array_max(span(i))).alias("line"))
+
+
+def _pixels(lines: DataFrame) -> DataFrame:
+    return from_lines(lines).select(IMG, "y", F.col("x").cast("int").alias("x"), F.col("v").cast("int").alias("v"))
 
 
 def blur(pixels: DataFrame, size: int = 9) -> DataFrame:
     """K3: Gaussian blur with the binomial kernel of ``size``, rounded half up."""
-    total = sum(binomial(size)) ** 2
-    s = weighted_sum(pixels, binomial(size))
-    return s.select(IMG, "y", "x", ((F.col("s") + total // 2) / total).cast("long").cast("int").alias("v"))
+    return _pixels(_blurred(to_lines(pixels), size))
 
 
 def adaptive_threshold(pixels: DataFrame, block: int = 11, c: int = 30, maxval: int = 255) -> DataFrame:
     """K4 (inverse, Gaussian): ``maxval`` where v <= round(local weighted mean) - c, else 0."""
-    total = sum(binomial(block)) ** 2
-    s = weighted_sum(pixels, binomial(block))
-    mean = ((F.col("s") + total // 2) / total).cast("long")
-    return s.select(IMG, "y", "x", F.when(F.col("v") <= mean - c, maxval).otherwise(0).cast("int").alias("v"))
+    return _pixels(_thresholded(to_lines(pixels), block, c, maxval))
+
+
+def _dilated(lines: DataFrame, size: int, iterations: int) -> DataFrame:
+    r = (size // 2) * iterations
+    wy = Window.partitionBy(IMG, "x").orderBy("y").rangeBetween(-r, r)
+    return _pixels(_widened(lines, r)).select(IMG, "y", "x", F.max("v").over(wy).alias("v"))
 
 
 def dilate(pixels: DataFrame, size: int = 9, iterations: int = 4) -> DataFrame:
     """Rectangular dilation = moving maximum of radius ``(size // 2) * iterations``
     along x then along y (pixels outside the image do not count)."""
-    r = (size // 2) * iterations
-    wx = Window.partitionBy(IMG, "y").orderBy("x").rangeBetween(-r, r)
-    wy = Window.partitionBy(IMG, "x").orderBy("y").rangeBetween(-r, r)
-    a = pixels.select(IMG, "y", "x", F.max("v").over(wx).alias("v"))
-    return a.select(IMG, "y", "x", F.max("v").over(wy).alias("v"))
+    return _dilated(to_lines(pixels), size, iterations)
 
 
 def regions(mask: DataFrame, min_v: int = 1) -> DataFrame:
@@ -264,7 +280,8 @@ def find_text_regions(
 ) -> DataFrame:
     """K8: gray -> blur -> inverse adaptive threshold -> dilate -> regions -> keep -> number."""
     gray = to_gray(planes)
-    mask = dilate(adaptive_threshold(blur(gray, blur_size), block, c), dilate_size, iterations)
+    # scan lines from the first filter to the dilation: pixels are made once, for the regions
+    mask = _dilated(_thresholded(_blurred(to_lines(gray), blur_size), block, c, 255), dilate_size, iterations)
     reg = regions(mask)
     heights = image_dims(gray).select(IMG, F.col("_h").alias("img_h"))
     return number_regions(reg.join(heights, IMG), min_area, max_h_ratio)
