@@ -23,9 +23,9 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import map_rows, table
+from folio.llm.common import map_rows, resident, table
 
-MEMORY_WORDS = 300_000  # distinct words remembered by a Python worker
+MEMORY_WORDS = 200_000  # distinct words remembered by a Python worker
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -193,16 +193,9 @@ def _digests(bpe: PairIndexBpe, texts: list[str | None]):
             )
 
 
-_loaded: dict[int, PairIndexBpe] = {}
-
-
 def _worker_bpe(spec: str) -> PairIndexBpe:
     """One encoder, with its memory, per Python worker and vocabulary."""
-    key = hash(spec)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = PairIndexBpe(json.loads(spec))
-    return _loaded[key]
+    return resident(("bpe", hash(spec)), lambda: PairIndexBpe(json.loads(spec)))
 
 
 def _spec(spark: SparkSession, path: str | None):

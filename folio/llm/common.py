@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from folio.session import checkpoint_dir, scratch_path
 
-ROWS_PER_SLICE = 512  # rows handled at once inside a task
+ROWS_PER_SLICE = 256  # rows handled at once inside a task
 BROADCAST_ROWS = 1_000_000  # a list of ids (8 bytes each) is broadcast up to this many rows, joined by shuffle beyond
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -63,13 +63,25 @@ def join_ids(df: DataFrame, ids: DataFrame, on: str, how: str, n_ids: int | None
     return df.join(F.broadcast(ids) if n <= BROADCAST_ROWS else ids, on, how)
 
 
+_resident: dict = {}
+
+
+def resident(key, build: Callable):
+    """What a Python worker keeps between tasks (a vocabulary with its remembered words): one object at a time,
+    so that the operators that a worker serves in turn don't add up."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = build()
+    return _resident[key]
+
+
 WORDS = re.compile(r"\w+")
 
 
 class WordHashes(dict):
     """64-bit hashes of words, remembered; forgets everything when it grows past ``most``."""
 
-    most = 300_000
+    most = 200_000
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.most:

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import map_rows, table
+from folio.llm.common import map_rows, resident, table
 
 ORDER = 5
 FIT_DOCS = 1500  # documents per language, about
@@ -32,7 +32,7 @@ CALIBRATE_DOCS = 500
 REJECT_QUANTILE = 0.999
 REJECT_SLACK = 1.4
 TEMPERATURES = [2.0, 5.0, 10.0, 20.0, 40.0, 80.0]
-MEMORY_CHARS = 4_000_000  # characters of remembered words in a Python worker
+MEMORY_CHARS = 2_500_000  # characters of remembered words in a Python worker
 
 LETTERS = re.compile(r"[^\W\d_]+")
 GRAMS = "lang int, k int, gram long, lower long, ctx long, starts boolean, n long"
@@ -244,16 +244,9 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, calibrate_docs: int = CALIBRA
     return models, TEMPERATURES[int(loss.argmin())], limits
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(sent) -> Scorer:
-    """One scorer, with its memory, per Python worker and model."""
-    key = id(sent.value)  # the worker keeps a broadcast's value
-    if key not in _scorers or _scorers[key].models is not sent.value:
-        _scorers.clear()
-        _scorers[key] = Scorer(sent.value)
-    return _scorers[key]
+    """One scorer, with its memory, per Python worker and model (which the scorer holds, so that its id stays its own)."""
+    return resident(("langid", id(sent.value)), lambda: Scorer(sent.value))
 
 
 def identify(docs: DataFrame, fitted) -> DataFrame:

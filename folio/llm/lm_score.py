@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import map_rows, table, written
+from folio.llm.common import map_rows, resident, table, written
 
 OWN, BUCKETS = 86, 40
 CLASSES = OWN + BUCKETS + 2  # and the end, and the mark before the first word
@@ -58,7 +58,7 @@ def bucket(word: bytes) -> int:
 class Codes(dict):
     """Word -> code: the place among the frequent words, or len(frequent) + bucket; forgets the others when too many."""
 
-    most = 300_000
+    most = 150_000
 
     def __init__(self, frequent: list[bytes]):
         super().__init__(zip(frequent, range(len(frequent)), strict=True))
@@ -203,14 +203,17 @@ def fit(docs: DataFrame) -> tuple[Fitted, DataFrame]:
     counts = written(word_counts(training), "word-counts")
     end = training.count()
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    # the smallest count that leaves at most MOST_FREQUENT words, from the counts of counts
-    spread = sorted(((r["c"], r["k"]) for r in counts.groupBy("c").agg(F.count("*").alias("k")).collect()), reverse=True)
-    least, room = 1, MOST_FREQUENT
-    for c, k in spread:
-        room -= k
+    # the smallest count that leaves at most MOST_FREQUENT words, from the numbers of words in some 10,000 ranges of counts
+    level = F.when(F.col("c") <= 4096, F.col("c")).otherwise(4096 + F.floor(F.log2("c") * 128))
+    spread = counts.groupBy(level.alias("level")).agg(F.min("c").alias("c"), F.count("*").alias("k")).collect()
+    least, room = 2**62, MOST_FREQUENT
+    for r in sorted(spread, key=lambda r: -r["c"]):
+        room -= r["k"]
         if room < 0:
-            least = c + 1
             break
+        least = r["c"]
+    else:
+        least = 1
     top = counts.filter((F.col("c") >= least) & (F.length("word") <= LONGEST_FREQUENT)).toArrow().to_pydict()
     ranked = sorted(zip(top["c"], top["word"], strict=True), key=lambda x: (-x[0], x[1]))
     own = {w for _, w in ranked[:OWN]}
@@ -233,15 +236,9 @@ def fit(docs: DataFrame) -> tuple[Fitted, DataFrame]:
     return fitted, counts
 
 
-_tables: dict[int, tuple] = {}
-
-
 def _log10_table(f: Fitted) -> np.ndarray:
     """The model's normalised table, once per Python worker."""
-    if id(f) not in _tables or _tables[id(f)][0] is not f:
-        _tables.clear()
-        _tables[id(f)] = (f, (f.model.log_probabilities() / np.log(10)).reshape(-1))
-    return _tables[id(f)][1]
+    return resident(("lm", id(f)), lambda: (f, (f.model.log_probabilities() / np.log(10)).reshape(-1)))[1]
 
 
 def score_documents(docs: DataFrame, fitted: Fitted, counts: DataFrame) -> DataFrame:

@@ -22,12 +22,12 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import map_rows, table
+from folio.llm.common import map_rows, resident, table
 
 BLOCK = 64
 CONTEXT = 4  # no match of the pattern looks further ahead than this
 EDIT_EVERY = 2000  # characters; the query edits each document once in so many
-MEMORY_CHARS = 4_000_000
+MEMORY_CHARS = 2_500_000
 
 SCHEMA = "doc_id long, n_tokens_before long, n_tokens long, n_edits long, n_pre_tokens long, n_recounted long"
 
@@ -173,15 +173,8 @@ class DocumentTree:
         self._update(first)
 
 
-_counts: dict[int, Counts] = {}
-
-
 def _worker_counts(spec: tuple[bytes, str]) -> Counts:
-    key = hash(spec)
-    if key not in _counts:
-        _counts.clear()
-        _counts[key] = Counts(*spec)
-    return _counts[key]
+    return resident(("counts", hash(spec)), lambda: Counts(*spec))
 
 
 def count_edited(docs: DataFrame, path: str | None = None) -> DataFrame:

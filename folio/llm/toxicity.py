@@ -38,7 +38,7 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 class Slots(dict):
     """Word -> its slot's place in the model, -1 if the model has none; forgets when it grows past ``most``."""
 
-    most = 400_000
+    most = 200_000
 
     def __init__(self, chosen: np.ndarray | None = None):
         super().__init__()
