@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by cosine (operator 2).
 
-Method: the vectors are dealt into shards by a hash of the id; each shard is a
+Method: the vectors are dealt evenly into shards; each shard is a
 vantage-point tree over the unit vectors (Euclidean distance, so the triangle
 inequality holds).  A subtree is skipped if FACTOR times its lower bound is
 beyond the query's current k-th distance: factor 1 is exact search, a larger one
@@ -155,13 +155,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     Vectors that are null, zero or hold a null or non-finite component take no
     part on either side, nor do null ids; vectors of another length than the
     query's are no candidates.  Ties go to the smaller vec_id.  A repeated vec_id on the candidates' side counts
-    once for each row of it; a repeated query id is one query per row with
-    its results merged.  With no vectors or no queries there are no rows."""
+    once for each row of it; of a repeated query id the least vector is asked.
+    With no vectors or no queries there are no rows."""
     rows = usable(vectors).withColumn("dim", F.size("v"))
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
-    packed = _blocks(rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(shards))), "shard")
-    asked = usable(queries).withColumn("dim", F.size("v"))
+    # by row, not by id: an id or a vector may be repeated any number of times
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(SEED)), F.lit(shards))
+    packed = _blocks(rows.withColumn("shard", dealt), "shard")
+    asked = usable(queries).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     query_blocks = (
         _blocks(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(SEED + 1)), F.lit(blocks))), "block")

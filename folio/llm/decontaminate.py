@@ -29,31 +29,51 @@ FILTER_BITS = 26  # 2^26 bits (8 MB) at most, whatever the number of items
 SALTS = 8  # parts of an item in the joins: one item may be in a third of all documents
 
 FOUND = "row long, doc_id long, keys array<long>, shingles array<string>"
-ITEMS = "item_id long, keys array<long>, shingles array<string>, hashes array<long>, n int"
+ITEMS = "item_id long, keys array<long>, shingles array<string>, hashes array<long>, cls int"
 
 
 class BitFilter:
-    """Bits of 64-bit keys, at two places each."""
+    """Bits of 64-bit keys, at two places each, in 64-bit words."""
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.words = np.zeros(1 << (bits - 3), np.uint8)
+        self.words = np.zeros(1 << (bits - 6), np.uint64)
 
-    def _places(self, keys: np.ndarray):
-        yield keys >> np.uint64(64 - self.bits)
-        yield (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
-
-    def add(self, keys: np.ndarray) -> None:
-        for p in self._places(keys):
-            np.bitwise_or.at(self.words, (p >> np.uint64(3)).astype(np.int64), (1 << (p & np.uint64(7))).astype(np.uint8))
+    def places(self, keys: np.ndarray, second: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The word and the bit of each key."""
+        p = (keys * np.uint64(0x9E3779B97F4A7C15) if second else keys) >> np.uint64(64 - self.bits)
+        return (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63))
 
     def passes(self, keys: np.ndarray) -> np.ndarray:
         """Places (flat) of the keys that may be there."""
         flat = keys.reshape(-1)
-        p = flat >> np.uint64(64 - self.bits)
-        on = np.flatnonzero((self.words[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1)
-        q = (flat[on] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
-        return on[((self.words[q >> np.uint64(3)] >> (q & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+        at, bit = self.places(flat, False)
+        on = np.flatnonzero(self.words[at] & bit)
+        at, bit = self.places(flat[on], True)
+        return on[(self.words[at] & bit) != 0]
+
+
+def bit_filters(index: DataFrame, bits: int) -> tuple[BitFilter, BitFilter]:
+    """The filters of the items' minimum hashes and of their shingles, made of words that the tasks have or-ed:
+    at most 2^(bits - 6) rows each come to the driver, whatever the number of items."""
+
+    def words(slices):
+        parts = BitFilter(bits), BitFilter(bits)
+        for c in slices:
+            for part, column in zip(parts, ("keys", "hashes"), strict=True):
+                keys = np.concatenate([np.array(k, np.int64) for k in c[column]]).view(np.uint64)
+                for second in (False, True):
+                    np.bitwise_or.at(part.words, *part.places(keys, second))
+        for which, part in enumerate(parts):
+            at = np.flatnonzero(part.words)
+            yield {"which": np.full(len(at), which, np.int32), "at": at, "word": part.words[at].view(np.int64)}
+
+    got = map_rows(index.select("keys", "hashes"), words, "which int, at long, word long").groupBy("which", "at").agg(F.bit_or("word").alias("word")).toArrow()
+    out = BitFilter(bits), BitFilter(bits)
+    which, at, word = (np.ascontiguousarray(got[c].to_numpy()) for c in ("which", "at", "word"))
+    for k, part in enumerate(out):
+        part.words[at[which == k]] = word[which == k].view(np.uint64)
+    return out
 
 
 def size_class(n: int) -> int:
@@ -92,13 +112,13 @@ def window_keys(h: np.ndarray, classes: list[int]):
 
 
 def item_index(items: DataFrame) -> DataFrame:
-    """item_id, keys of its class, distinct shingles with hashes, their number; items under five words are left out:
+    """item_id, keys of its class, distinct shingles, their hashes, the class; items under five words are left out:
     they have no shingle.  An item_id with several texts is one item for each text."""
 
     def run(slices):
         known = WordHashes()
         for c in slices:
-            out = {k: [] for k in ("item_id", "keys", "shingles", "hashes", "n")}
+            out = {k: [] for k in ("item_id", "keys", "shingles", "hashes", "cls")}
             for item_id, text in zip(c["item_id"], c["text"], strict=True):
                 words = words_of(text)
                 if len(words) < SHINGLE_WORDS:
@@ -111,7 +131,7 @@ def item_index(items: DataFrame) -> DataFrame:
                 out["keys"].append(((minima ^ _SALT[cls]) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64))
                 out["shingles"].append(shingles)
                 out["hashes"].append(np.unique(h).view(np.int64))
-                out["n"].append(len(h))
+                out["cls"].append(cls)
             yield out
 
     return map_rows(items.select(F.col("item_id").cast("long"), "text"), run, ITEMS).withColumn("item", F.monotonically_increasing_id())
@@ -126,14 +146,9 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SIMILARITY) -
     item that reaches ``share`` is returned.  An empty benchmark gives no rows."""
     spark = docs.sparkSession
     index = written(item_index(items), "benchmark-items")
-    sizes = [r["n"] for r in index.select("n").distinct().collect()]  # at most one row per length of a text
-    classes = sorted({size_class(n) for n in sizes})
-    n_items = index.count()
-    bits = min(FILTER_BITS, max(20, (n_items * HASHES * 64).bit_length()))
-    keys_in, shingles_in = BitFilter(bits), BitFilter(bits)
-    for r in index.select("keys", "hashes").toLocalIterator():  # one item at a time into filters of fixed size
-        keys_in.add(np.array(r["keys"], np.int64).view(np.uint64))
-        shingles_in.add(np.array(r["hashes"], np.int64).view(np.uint64))
+    classes = sorted(r["cls"] for r in index.select("cls").distinct().collect())  # at most 64
+    bits = min(FILTER_BITS, max(20, (index.count() * HASHES * 64).bit_length()))
+    keys_in, shingles_in = bit_filters(index, bits)
     sent = spark.sparkContext.broadcast((keys_in, shingles_in))
 
     def search(slices):
