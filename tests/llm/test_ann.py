@@ -52,6 +52,8 @@ def test_copies_ties_and_unusable_vectors(spark):
 
 def test_few_or_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
+    twice = spark.createDataFrame([(0, [0.0, 2.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0])], schema)
+    assert [tuple(r) for r in ann.nearest(twice, twice.filter("vec_id = 0")).collect()] == [(0, 1, 1, 1.0), (0, 2, 1, 1.0)]
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], schema)
     assert [tuple(r) for r in ann.nearest(df, df.filter("vec_id = 0")).collect()] == [(0, 1, 1, 0.0)]
     empty = spark.createDataFrame([], schema)
