@@ -96,6 +96,12 @@ def _corpus(f: DataFrame, win: DataFrame, pages: DataFrame, ocr_lines: DataFrame
     return docs.select(F.col("file_name").alias("title"), "page", "page_content", "first_division", "second_division", "file_name", "file_path")
 
 
+def _stored(ids: DataFrame) -> DataFrame:
+    """A list of ids that every branch of a plan reads, stored once."""
+    checkpoint_dir(ids.sparkSession)
+    return ids.checkpoint()
+
+
 def build_corpus(
     files: DataFrame,
     pages: DataFrame,
@@ -112,7 +118,7 @@ def build_corpus(
     The winners are chosen first, so the pages, lines and cells of the other files
     are dropped before any work on them."""
     f = files.where(has_suffix("path", suffix)).select("doc_id", "path", "listing_no")
-    win = winning_files(f, pages, sep).select("doc_id")
+    win = _stored(winning_files(f, pages, sep).select("doc_id"))
     tables = markdown_tables(cells.join(win, "doc_id", "left_semi"), keep="last" if tables_kept == "last" else "joined")
     return _corpus(f, win, pages, ocr_lines, tables, lang, sep)
 
@@ -133,9 +139,7 @@ def build_corpus_from_layout(
     """The whole job from decoded words and rules (H3 -> H8 -> G4): tables are found on the
     winning files' pages, on the A4 crop box if ``crop`` is set (the text is not cropped)."""
     f = files.where(has_suffix("path", suffix)).select("doc_id", "path", "listing_no")
-    # read by every branch below and by the jobs of the table search: store the list of ids once
-    checkpoint_dir(files.sparkSession)
-    win = winning_files(f, pages, sep).select("doc_id").checkpoint()
+    win = _stored(winning_files(f, pages, sep).select("doc_id"))
     keep = lambda df: df.join(win, "doc_id", "left_semi")
     cells = extract_tables(keep(words), keep(edges), keep(pages), s, crop_box=CROP_BOX if crop else None)
     tables = markdown_tables(cells, keep="last" if tables_kept == "last" else "joined")
