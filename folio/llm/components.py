@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed
 
+SALTS = 8
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: each node's larger neighbours are linked to its smallest neighbour (or itself).
     Small star: a node and its smaller neighbours are linked to the smallest of them."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    joined = both.join(least, "u")  # by u: AQE splits the node of many links
+    # a node may have any number of links: they are dealt to SALTS parts, and its smallest neighbour to each
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"])
     if large:
         out = joined.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
     else:
