@@ -40,6 +40,12 @@ def test_whole_table_equals_all_pairs(spark, small_docs):
     assert result(jj.op10_jaccard_join(spark, "/root/testdata/sf0.001")) == brute(rows)
 
 
+def test_without_broadcasts(spark, small_docs, monkeypatch):
+    monkeypatch.setattr(jj, "BROADCAST_ROWS", 0)
+    rows = [(d["doc_id"], d["text"]) for d in small_docs]
+    assert result(jj.op10_jaccard_join(spark, "/root/testdata/sf0.001")) == brute(rows)
+
+
 def test_near_copies_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(jj, "BLOCK_TEXTS", 7)
     r = random.Random(1)

@@ -77,6 +77,12 @@ def test_license_sequences_and_edges(spark):
     assert ls.scan_licenses(df.filter("false"), *ls.knowledge(spark)).count() == 0
 
 
+def test_license_scan_without_broadcast(spark, monkeypatch):
+    want = sorted(map(tuple, QUERIES["op9_license_scan"](spark, "/root/testdata/sf0.01").collect()))
+    monkeypatch.setattr(ls, "BROADCAST_SENTENCES", 0)
+    assert want and sorted(map(tuple, QUERIES["op9_license_scan"](spark, "/root/testdata/sf0.01").collect())) == want
+
+
 def test_license_scan_is_native(spark):
     plan = QUERIES["op9_license_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
