@@ -169,7 +169,8 @@ def text_around_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, key
     """H4: for every table box, the page text above it and the page text below it.
 
     ``boxes(<keys>, table_no, x0, top, x1, bottom)``.  Words pair with the tables
-    of their own page only (equi-join on the page key).
+    of their own page only (equi-join on the page key); a word is in the text above or
+    below every table of its page, so the pairs are the size of the output.
     """
     k = list(keys)
     b = boxes.select(*k, "table_no", F.col("top").alias("_bt"), F.col("bottom").alias("_bb")).join(pages.select(*k, "width", "height"), k)
