@@ -9,7 +9,6 @@ by the stages that judge each row by itself.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from folio.llm import bpe, decontaminate, jaccard_join, langid, toxicity
 from folio.llm.common import join_ids, table, written
