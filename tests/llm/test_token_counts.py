@@ -1,7 +1,6 @@
 import random
 
 import pytest
-import tiktoken
 
 from folio.llm import token_counts as tc
 
