@@ -1,7 +1,6 @@
 import pytest
 import random
 
-from pyspark.sql import functions as F
 
 from folio.operators import components as C
 from folio.operators import layout as L
