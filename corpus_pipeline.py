@@ -1,51 +1,71 @@
 """The training-data pipeline over ``documents``: STAGES in order, each written as Parquet and reread.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``docs``.  Rows are kept or dropped by doc_id; rows
-without a doc_id can't be named by a decision on others and are kept, except
-by the stages that judge each row by itself.
+return the columns of ``docs``.  A stage judges documents by doc_id and drops all
+rows of a doc_id that goes; a row without one is judged under a hash of its
+text, and keeps its null.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folio.llm import bpe, decontaminate, jaccard_join, langid, toxicity
 from folio.llm.common import join_ids, table, written
 
 
+def _key() -> Column:
+    # hashes from 2^62 on, above the ids, so that a document with an id stays rather than one without
+    return F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(2**62))
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` for an operator: a row without doc_id goes by the hash of its text."""
+    return docs.withColumn("doc_id", _key())
+
+
+def _ids(ids: DataFrame, name: str) -> DataFrame:
+    """A list of ids, written first, so that it is made once and counted."""
+    return written(ids.select(F.col("doc_id").alias("_id")).distinct(), name)
+
+
 def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """``docs`` less the rows with one of these doc_ids; the ids are written first, so they are counted and made once."""
-    gone = written(ids.filter("doc_id is not null").distinct(), name)
-    return join_ids(docs, gone, "doc_id", "left_anti")
+    """``docs`` less the rows with one of these ids."""
+    return join_ids(docs, _ids(ids, name), _key() == F.col("_id"), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: documents that language identification rejects go."""
-    judged = langid.identify(docs, langid.fit(docs))
-    return _without(docs, judged.filter("rejected").select("doc_id"), "rejected-language")
+    judged = langid.identify(_named(docs), langid.fit(docs))
+    return _without(docs, judged.filter("rejected"), "rejected-language")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents predicted toxic go."""
-    judged = toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, judged.filter("predicted = 1").select("doc_id"), "rejected-toxic")
+    judged = toxicity.score_toxicity(_named(docs), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return _without(docs, judged.filter("predicted = 1"), "rejected-toxic")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one document of each group stays, the one whose id is the group's (its first row, if the id is repeated)."""
-    joined = jaccard_join.near_duplicates(docs)
-    kept = _without(docs, joined.filter("doc_id != class_id").select("doc_id"), "near-duplicates")
-    again = written(kept.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id"), "repeated-ids")
+    """Operator 10: one document of each group stays, the one whose id is the group's; of an id with several rows,
+    one row."""
+    joined = jaccard_join.near_duplicates(_named(docs))
+    kept = _without(docs, joined.filter("doc_id != class_id"), "near-duplicates")
+    again = _ids(_named(kept).groupBy("doc_id").count().filter("count > 1"), "repeated-ids")
     n = again.count()
-    once = kept if not n else join_ids(kept, again, "doc_id", "left_anti", n).unionByName(join_ids(kept, again, "doc_id", "left_semi", n).dropDuplicates(["doc_id"]))
-    return once.select(docs.columns)
+    if not n:
+        return kept
+    same = _key() == F.col("_id")
+    repeated = join_ids(kept, again, same, "left_semi", n)
+    one = repeated.groupBy(_key().alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return join_ids(kept, again, same, "left_anti", n).unionByName(one)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents that hold a benchmark item go."""
-    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks.select("doc_id"), "contaminated")
+    leaks = decontaminate.contaminated(_named(docs), table(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks, "contaminated")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
