@@ -49,11 +49,15 @@ def test_stages_against_brute_force(spark):
 def test_stages_on_odd_rows(spark, name):
     text = "the and of that in a the and of that in a the"
     rows = [(1, text), (1, text), (2, text + " more"), (None, text), (None, None), (3, None), (4, ""), (5, "123"), (6, "short"), (6, "quite different words are in here")]
-    df = spark.createDataFrame([(i, t, "en", "s", 1, "extra") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, component string")
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "extra") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, node string")
     out = dict(cp.STAGES)[name](spark, df, SF)
     assert out.columns == df.columns
     kept = [(r["doc_id"], r["text"]) for r in out.collect()]
     assert all(r in rows for r in kept) and (1, text) in kept
     if name == "near_duplicates":
-        assert kept.count((1, text)) == 1
+        assert kept.count((1, text)) == 1 and (None, text) not in kept and len([i for i, _ in kept if i == 6]) == 1
+    if name == "language":
+        assert not {(None, None), (3, None), (4, ""), (5, "123")} & set(kept) and (None, text) in kept
+    if name in ("toxicity", "decontamination"):
+        assert sorted(map(str, kept)) == sorted(map(str, rows))
     assert dict(cp.STAGES)[name](spark, df.filter("false"), SF).count() == 0
