@@ -27,9 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Arrow batches between the JVM and Python: texts are long, and buffers of 10,000 of them (Spark's default) stay allocated.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterator[Columns]], Iterator[Columns]], schema: str) -> DataFrame:
-    """Run ``fn`` over slices of at most ROWS_PER_SLICE rows (columns as Python lists) of each partition."""
+    """Run ``fn`` over slices of at most ROWS_PER_SLICE rows (columns as Python lists) of each partition.
+
+    Where the session does not limit Arrow batches itself, ARROW_LIMITS hold for it from now on (a bound of memory;
+    results do not depend on it)."""
     out = to_arrow_schema(T.StructType.fromDDL(schema))
+    conf = df.sparkSession.conf
+    for key, limit in ARROW_LIMITS.items():
+        if conf.get(key, "7") == "7":  # 7: not set; what the session sets itself stays
+            conf.set(key, limit)
 
     def run(batches):
         def slices():
@@ -37,8 +48,11 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[Columns]], Iterator[Columns]]
                 for at in range(0, b.num_rows, ROWS_PER_SLICE):
                     yield b.slice(at, ROWS_PER_SLICE).to_pydict()
 
-        for cols in fn(slices()):
-            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+        try:
+            for cols in fn(slices()):
+                yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+        finally:
+            pa.default_memory_pool().release_unused()  # else an idle worker holds what its largest batches took
 
     return df.mapInArrow(run, schema)
 
