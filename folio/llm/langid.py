@@ -8,9 +8,13 @@ search.  A text gets the language of lowest cross-entropy per character.
 
 Calibration, on labelled documents the models were not fitted on: the
 temperature that turns cross-entropies into a score between 0 and 1, and the
-cross-entropy per language beyond which a text is rejected (``rejected``): the
-REJECT_QUANTILE of texts in that language, widened by REJECT_SLACK and, for
-short texts, by 4 / sqrt(characters).
+cross-entropy per language beyond which a text is rejected (``rejected``).  The
+limit lies halfway between the OWN_QUANTILE of texts in that language and the
+FOREIGN_QUANTILE of texts in other languages that come to it when their own
+model is left out; at the former where the two overlap.  Texts that another
+model fits better than their label's, or that fit their label no better than
+the median left-out text, are set aside as mislabelled.  Cross-entropies are
+compared less 4 / sqrt(characters), which short texts may exceed by chance.
 
 Fitting uses a bounded sample: at most about FIT_DOCS documents a language for
 the counts and CALIBRATE_DOCS for the calibration, whole texts, drawn by hash.
@@ -28,9 +32,10 @@ from folio.llm.common import map_rows, resident, table
 
 ORDER = 5
 FIT_DOCS = 1500  # documents per language, about
-CALIBRATE_DOCS = 500
-REJECT_QUANTILE = 0.999
-REJECT_SLACK = 1.4
+CALIBRATE_DOCS = 1500
+OWN_QUANTILE = 0.99
+FOREIGN_QUANTILE = 0.01
+LEAST_FOREIGN = 50  # texts of other languages; a language that fewer come to is held against those of all languages
 TEMPERATURES = [2.0, 5.0, 10.0, 20.0, 40.0, 80.0]
 MEMORY_CHARS = 2_500_000  # characters of remembered words in a Python worker
 
@@ -169,6 +174,20 @@ def _sampled(docs: DataFrame, langs: list[tuple[str, int]], most: int) -> DataFr
     return docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < share)
 
 
+def chance(chars: np.ndarray) -> np.ndarray:
+    """By how much the cross-entropy of so many characters may exceed its mean."""
+    return 4 / np.sqrt(np.maximum(chars, 1))
+
+
+def reject_limit(own: np.ndarray, foreign: np.ndarray) -> float:
+    """The cross-entropy between a language's own texts and those that are not in it."""
+    if not len(foreign):  # a single language: as far beyond its upper quantile as that is beyond the median
+        return float(2 * np.quantile(own, OWN_QUANTILE) - np.median(own))
+    clean = own[own < np.median(foreign)]
+    upper = np.quantile(clean if len(clean) else own, OWN_QUANTILE)
+    return float(max(upper, (upper + np.quantile(foreign, FOREIGN_QUANTILE)) / 2))
+
+
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, calibrate_docs: int = CALIBRATE_DOCS):
     """(models, temperature, limits) from rows (doc_id, text, lang) whose remainder by 3 is not 1; None without any."""
     spark = docs.sparkSession
@@ -225,22 +244,33 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, calibrate_docs: int = CALIBRA
             ce, chars = scorer.totals([words_of(t) for t in c["text"]])
             keep = chars > 0
             truth = np.array([number[x] for x in c["lang"]], np.int64)[keep]
-            ce = ce[keep]
-            own = ce[np.arange(len(truth)), truth]
+            ce, rows = ce[keep], np.arange(len(truth))
+            own = ce[rows, truth]
             gap = ce - ce.min(1, keepdims=True)
-            loss = [-np.log(np.maximum(np.exp(-t * gap)[np.arange(len(truth)), truth] / np.exp(-t * gap).sum(1), 1e-12)) for t in TEMPERATURES]
-            yield {"lang": truth.astype(np.int32), "ce": own, "loss": np.stack(loss, 1).tolist() if len(truth) else []}
+            loss = [-np.log(np.maximum(np.exp(-t * gap)[rows, truth] / np.exp(-t * gap).sum(1), 1e-12)) for t in TEMPERATURES]
+            rest = ce.copy()
+            rest[rows, truth] = np.inf  # as if the text's language had not been learned
+            other = rest.argmin(1) if len(truth) else truth
+            yield {
+                "lang": truth.astype(np.int32),
+                "ce": own - chance(chars[keep]),
+                "fits": own <= rest[rows, other],
+                "other": other.astype(np.int32),
+                "other_ce": rest[rows, other] - chance(chars[keep]),
+                "loss": np.stack(loss, 1).tolist() if len(truth) else [],
+            }
 
     held = _sampled(usable.filter("_r = 0"), [(x, b) for x, _, b in counts], calibrate_docs)
-    rows = map_rows(held.select("text", "lang"), calibration, "lang int, ce double, loss array<double>")
-    stats = rows.groupBy("lang").agg(
-        F.percentile("ce", F.lit(REJECT_QUANTILE)).alias("q"), F.array(*[F.sum(F.get("loss", F.lit(i))) for i in range(len(TEMPERATURES))]).alias("loss")
-    ).collect()
+    rows = map_rows(held.select("text", "lang"), calibration, "lang int, ce double, fits boolean, other int, other_ce double, loss array<double>").toArrow()
+    t = {c: rows[c].to_numpy() for c in rows.column_names if c != "loss"}
+    fits, out = t["fits"].astype(bool), np.isfinite(t["other_ce"])
     limits = np.full(len(langs), np.inf)  # a language without calibration texts rejects nothing
-    loss = np.zeros(len(TEMPERATURES))
-    for r in stats:
-        limits[r["lang"]] = r["q"] * REJECT_SLACK
-        loss += np.array(r["loss"])
+    for j in range(len(langs)):
+        own = t["ce"][(t["lang"] == j) & fits]
+        foreign = t["other_ce"][(t["other"] == j) & fits & out]
+        if len(own):
+            limits[j] = reject_limit(own, foreign if len(foreign) >= LEAST_FOREIGN else t["other_ce"][fits & out])
+    loss = np.array(rows["loss"].to_pylist()).reshape(-1, len(TEMPERATURES)).sum(0)
     return models, TEMPERATURES[int(loss.argmin())], limits
 
 
@@ -278,7 +308,7 @@ def identify(docs: DataFrame, fitted) -> DataFrame:
                 "lang_pred": [langs[b] if s else "und" for b, s in zip(best, some, strict=True)],
                 "score": np.where(some, score, 0.0),
                 "cross_entropy": [float(x) if s else None for x, s in zip(low, some, strict=True)],
-                "rejected": ~some | (low > limits[best] + 4 / np.sqrt(np.maximum(chars, 1))),
+                "rejected": ~some | (low - chance(chars) > limits[best]),
             }
 
     return map_rows(rows, run, SCHEMA)

@@ -53,6 +53,18 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in unlearned} == {"und"}
 
 
+def test_language_that_was_not_learned_is_rejected(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    without = docs.filter("lang != 'es'")
+    # a few of its texts are among the calibration texts of the others, under a wrong label
+    stray = docs.filter("lang = 'es'").filter(langid.remainder(3) == 0).orderBy("doc_id").limit(6).withColumn("lang", F.element_at(F.array(*map(F.lit, ("de", "en", "fr"))), (F.col("doc_id") % 3 + 1).cast("int")))
+    fitted = langid.fit(without.unionByName(stray))
+    rejected = {r["doc_id"]: r["rejected"] for r in langid.identify(docs, fitted).collect()}
+    lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    assert np.mean([r for i, r in rejected.items() if lang[i] == "es"]) > 0.9
+    assert np.mean([r for i, r in rejected.items() if lang[i] != "es"]) <= 0.01
+
+
 def test_kneser_ney_probabilities_sum_to_one(spark):
     fitted = langid.fit(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
     models = fitted[0]
