@@ -78,9 +78,9 @@ def _signed(docs: DataFrame) -> DataFrame:
     return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, SIGNED)
 
 
-def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of one block: each text's number of linked documents, and a smaller text it is linked to through
-    links of the block (itself if none).  ``left`` marks the first of two parts (links across only); all True: one part."""
+    links of the block (itself if none).  ``left`` marks the first of two parts, either of which may be empty (links across only); None: one part."""
     n = len(shingles)
     sizes = np.fromiter(map(len, shingles), np.int64, n)
     owner = np.repeat(np.arange(n), sizes)
@@ -99,7 +99,7 @@ def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarra
     c = common.astype(np.float64)
     linked = c >= similarity * (sizes[:, None] + sizes[None, :] - c) - 1e-9
     np.fill_diagonal(linked, False)
-    if not left.all():
+    if left is not None:
         linked &= left[:, None] != left[None, :]
     root = np.arange(n)
     while True:  # smallest reachable text
@@ -144,9 +144,10 @@ def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFra
             seen.setdefault(node, at)  # repeated rows of one document
         nodes = sorted(seen)
         at = [seen[x] for x in nodes]
-        raw, part, i = t["shingles"], t["part"].to_numpy()[at], t["i"][0].as_py()
+        raw, i, j = t["shingles"], t["i"][0].as_py(), t["j"][0].as_py()
+        left = None if i == j else t["part"].to_numpy()[at] == i
         copies = t["copies"].to_numpy()[at].astype(np.float64)
-        links, root = verify_block([np.frombuffer(raw[k].as_py(), np.uint64) for k in at], copies, part == i, similarity)
+        links, root = verify_block([np.frombuffer(raw[k].as_py(), np.uint64) for k in at], copies, left, similarity)
         has = np.flatnonzero(links > 0)
         return pa.Table.from_arrays(
             [pa.array([nodes[k] for k in has], pa.binary()), pa.array([nodes[root[k]] for k in has], pa.binary()), pa.array(links[has].astype(np.int64))], schema=out

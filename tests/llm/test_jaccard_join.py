@@ -63,6 +63,18 @@ def test_near_copies_in_several_blocks(spark, monkeypatch):
     assert result(jj.near_duplicates(df)) == want
 
 
+def test_links_are_counted_once_where_parts_are_empty(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK_SHINGLES", 300)  # each group of three long texts is dealt to four parts
+    r = random.Random(3)
+    rows = []
+    for g in range(6):
+        base = [f"w{g}x{r.randint(0, 5000)}" for _ in range(300)]
+        rows += [(10 * g + i, " ".join([*base[:i], f"y{i}", *base[i:]])) for i in range(3)]
+    want = brute(rows)
+    assert [x[2] for x in want] == [2] * 18
+    assert result(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == want
+
+
 def test_edge_rows(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [
