@@ -33,7 +33,7 @@ BLOCK_TEXTS = 256
 BLOCK_SHINGLES = 1_000_000
 
 _MULTIPLIERS = odd_multipliers(TREES * LEVELS, 10)
-SIGNED = "doc_id long, node binary, n int, labels array<binary>"
+SIGNED = "doc_id long, key long, node binary, n int, labels array<binary>"
 
 
 def prefix_depth(similarity: float, target: float = TARGET_RECALL) -> int:
@@ -73,9 +73,9 @@ def _signed(docs: DataFrame) -> DataFrame:
                 node.append(node_of(s) if len(s) else None)
                 n.append(len(s))
                 labels.append(labels_of(s) if len(s) else None)
-            yield {"doc_id": c["doc_id"], "node": node, "n": n, "labels": labels}
+            yield {"doc_id": c["doc_id"], "key": c["key"], "node": node, "n": n, "labels": labels}
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, SIGNED)
+    return map_rows(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("key"), "text"), run, SIGNED)
 
 
 def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -114,10 +114,10 @@ def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarra
 def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
     """node, other, links: of every text with a link in a block, a smaller linked text and the number of documents."""
     n = members.count()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    texts = docs.select(key.alias("first_doc"), "text")
+    # by id and hash of the text: rows without an id, or of a repeated one, meet their own node only
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("first_doc"), F.xxhash64("text").alias("key"), "text")
     small = F.broadcast(members) if n <= BROADCAST_ROWS // 8 else members  # eight columns' worth of an id
-    wanted = texts.join(small, "first_doc")
+    wanted = texts.join(small, ["first_doc", "key"])
 
     def sets(slices):
         known = WordHashes()
@@ -125,7 +125,7 @@ def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFra
             out = {k: [] for k in ("node", "cluster", "part", "parts", "copies", "shingles")}
             for text, node, *rest in zip(c["text"], c["node"], c["cluster"], c["part"], c["parts"], c["copies"], strict=True):
                 s = shingle_set(text, known)
-                if len(s) and node_of(s) == node:  # another text of the same id
+                if len(s) and node_of(s) == node:  # another text of the same hash
                     out["node"].append(node)
                     for k, x in zip(("cluster", "part", "parts", "copies"), rest, strict=True):
                         out[k].append(x)
@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: flo
     signed = written(_signed(docs), "signatures")
     depth = prefix_depth(similarity, target)
     nodes = written(
-        signed.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("labels").alias("labels")),
+        signed.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc"), F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("key"), F.first("n").alias("n"), F.first("labels").alias("labels")),
         "nodes",
     )
     prefix = F.substring("label", 1, depth * LEVEL_BYTES)
@@ -177,11 +177,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: flo
     met = trie.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key", "lo")
     candidates = trie.join(met, "key").filter("node != lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
     clusters = components(candidates)
-    sized = clusters.select("node", F.col("component").alias("cluster")).join(nodes.select("node", "n", "copies", F.coalesce("first_doc", F.lit(-(2**63))).alias("first_doc")), "node")
+    sized = clusters.select("node", F.col("component").alias("cluster")).join(nodes.select("node", "n", "copies", F.coalesce("first_doc", F.lit(-(2**63))).alias("first_doc"), "key"), "node")
     sized = written(sized, "clusters")
     parts = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("parts")
     members = sized.join(sized.groupBy("cluster").agg(parts), "cluster").select(
-        "first_doc", "node", "cluster", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "parts", "copies"
+        "first_doc", "key", "node", "cluster", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "parts", "copies"
     )
     links = written(_verified(docs, members, similarity), "links")
     classes = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))

@@ -75,6 +75,17 @@ def test_links_are_counted_once_where_parts_are_empty(spark, monkeypatch):
     assert result(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == want
 
 
+def test_rows_without_id_are_fetched_once(spark, monkeypatch):
+    rows, fetched = [], []
+    for g in range(8):
+        base = [f"w{g}x{i}" for i in range(60)]
+        rows += [(i, " ".join([*base, f"y{k}"])) for k, i in enumerate((None, None, 5))]
+    map_rows = jj.map_rows
+    monkeypatch.setattr(jj, "map_rows", lambda df, *a: (fetched.append(df) if "cluster" in df.columns else None, map_rows(df, *a))[1])
+    assert result(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert [df.count() for df in fetched] == [len(rows)]
+
+
 def test_edge_rows(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [
