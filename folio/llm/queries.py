@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import ann, bpe, decontaminate, jaccard_join, langid, license_scan, lm_score, token_counts, toxicity, url_filter
+from folio.llm import ann, bpe, conversation_repair, decontaminate, jaccard_join, langid, license_scan, lm_score, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 ORACLE_SQL = {
     "op8_url_filter": url_filter.oracle(),
     "op9_license_scan": license_scan.oracle(),
+    "op11_conversation_repair": conversation_repair.oracle(),
 }
