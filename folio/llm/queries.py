@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import ann, bpe, conversation_repair, decontaminate, embedding_dedup, jaccard_join, langid, license_scan, lm_score, token_counts, toxicity, url_filter
+from folio.llm import ann, bpe, conversation_repair, decontaminate, embedding_dedup, jaccard_join, langid, lexical_search, license_scan, lm_score, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -16,11 +16,13 @@ QUERIES = {
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
     "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
 }
 ORACLE_SQL = {
     "op8_url_filter": url_filter.oracle(),
     "op9_license_scan": license_scan.oracle(),
     "op11_conversation_repair": conversation_repair.oracle(),
+    "op12_lexical_search": lexical_search.ORACLE,
     "op13_embedding_dedup": embedding_dedup.ORACLE,
 }
