@@ -82,6 +82,25 @@ def union_listings(*listings: DataFrame, distinct: bool = False) -> DataFrame:
     return u.distinct() if distinct else u
 
 
+def listing_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """L1: what happened between two listings ``(path, length, modified)``: ``(path, change, length, modified)`` with change
+    'added', 'changed' (another length or time) or 'removed' (then length and time are the old ones).
+
+    A path that a listing holds more than once counts with its latest time (the longer of two at one time).  Nulls are
+    values: a length that was null and still is has not changed.  Rows without a path are no files."""
+
+    def last(files: DataFrame) -> DataFrame:
+        best = files.where(F.col("path").isNotNull()).groupBy("path").agg(F.max(F.struct("modified", "length")).alias("f"))
+        return best.select("path", F.col("f.length").alias("length"), F.col("f.modified").alias("modified"), F.lit(True).alias("there"))
+
+    a, b = last(old).alias("a"), last(new).alias("b")
+    same = F.col("a.length").eqNullSafe(F.col("b.length")) & F.col("a.modified").eqNullSafe(F.col("b.modified"))
+    change = F.when(F.col("a.there").isNull(), "added").when(F.col("b.there").isNull(), "removed").when(~same, "changed")
+    now = lambda c: F.when(F.col("b.there").isNull(), F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+    joined = a.join(b, F.col("a.path") == F.col("b.path"), "full")
+    return joined.select(F.coalesce("a.path", "b.path").alias("path"), change.alias("change"), now("length"), now("modified")).where(F.col("change").isNotNull())
+
+
 def with_levels(files: DataFrame, sep: str = DEFAULT_SEP, path_col: str = "path") -> DataFrame:
     lv = levels(path_col, sep)
     return files.withColumn("lv1", lv["lv1"]).withColumn("lv2", lv["lv2"]).withColumn("lv3", lv["lv3"])

@@ -80,6 +80,16 @@ def q_read_docs(spark, d):
     return IO.read_docs(spark, path)
 
 
+@query("read_older_snapshot", ("files", "pages", "ocr_lines", "cells"), "select * from corpus", CORPUS_CTES)
+def q_read_older_snapshot(spark, d):
+    """A6 with snapshots: the corpus is written, then replaced by what was read from itself with upper-case contents; the older one is read."""
+    path = scratch_path(spark, "snapshots")
+    docs = A.build_corpus(fx.files(spark, d), fx.pages(spark, d), fx.ocr_lines(spark, d), fx.cells(spark, d), lang="en")
+    first = IO.write_docs(docs, path)
+    IO.write_docs(IO.read_docs(spark, path).withColumn("page_content", F.upper("page_content")), path)
+    return IO.read_docs(spark, path, snapshot=first)
+
+
 @query(
     "written_regions",
     ("pixels", "pixel_regions"),

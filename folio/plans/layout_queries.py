@@ -274,7 +274,19 @@ def q_explicit_lines(spark, d):
     return R.explicit_lines(fx.edges(spark, d), fx.pages(spark, d), vertical=(30.0,), horizontal=(20.0,))
 
 
-@query("edge_intersections", ("edges",), "select * from pts", RULE_CTES[:3])
+# one equality join, of verticals with their page's list of horizontals: no choice of join by ranges for the engine
+MEETING_CTES = [
+    RULE_CTES[0],
+    ("clean materialized", RULE_CTES[1][1]),
+    ("verticals materialized", "select doc_id, page, pos as x, lo as v_lo, hi as v_hi from clean where orient = 'v'"),
+    ("horizontals materialized", "select doc_id, page, list({'y': pos, 'lo': lo, 'hi': hi}) as hs from clean where orient = 'h' group by doc_id, page"),
+]
+MEETING_SQL = """select doc_id, page, x, h.y as y, v_lo, v_hi, h.lo as h_lo, h.hi as h_hi
+from (select v.*, unnest(list_filter(p.hs, lambda e: v.v_lo <= e.y + 3 and v.v_hi >= e.y - 3 and v.x >= e.lo - 3 and v.x <= e.hi + 3)) as h
+      from verticals v join horizontals p on v.doc_id = p.doc_id and v.page = p.page) m"""
+
+
+@query("edge_intersections", ("edges",), MEETING_SQL, MEETING_CTES)
 def q_edge_intersections(spark, d):
     return R.edge_intersections(R.clean_edges(fx.edges(spark, d)))
 

@@ -218,9 +218,9 @@ def _order(names) -> list[str]:
 
 
 def with_fixtures(names: tuple[str, ...] | list[str], body: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False) -> str:
-    """``with <fixture ctes>, <extra ctes> <body>``."""
+    """``with <fixture ctes>, <extra ctes> <body>``; an extra CTE named "x materialized" is computed once."""
     parts = [f"{n} as (\n{FIX[n][1]}\n)" for n in _order(names)]
-    parts += [f"{n} as (\n{sql}\n)" for n, sql in (extra or [])]
+    parts += [f"{n.removesuffix(' materialized')} as {'materialized ' * n.endswith(' materialized')}(\n{sql}\n)" for n, sql in (extra or [])]
     if not parts:
         return body
     head = "with recursive " if recursive else "with "

@@ -1,4 +1,4 @@
-"""Registered query: the incremental corpus build (L1), with files delivered again.
+"""Registered queries: the incremental corpus build (L1), with files delivered again, and from changes of the listing.
 
 The listing comes in ``N_DROPS`` runs; the last drop also brings files of the
 first one again (every ``AGAIN``-th), with their first page only.  A version
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folio.operators import folders as FD
 from folio.operators import markdown as M
 from folio.operators import ocr as O
 from folio.plans.corpus_queries import CORPUS_CTES
@@ -63,3 +64,73 @@ def q_stream_corpus(spark, d):
         spark.read.schema(S.DROP_SCHEMA).parquet(f"{base}/decoded/drop_no={k}").write.mode("append").parquet(f"{base}/in")
         S.stream_corpus(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", lang="en").awaitTermination()
     return S.read_corpus(spark, f"{base}/out")
+
+
+# ---------------------------------------------------------------- changes of the listing
+
+def listings(spark, d):
+    """Two listings ``(path, length, modified)`` of the documents' files, the second after a while: by the length, a file has
+    moved to another year, has been rewritten, is as it was, or has gone."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "n_chars")
+    f = fx.files(spark, d).join(docs, "doc_id")
+    fate = F.col("n_chars") % 4
+    moved = F.replace("path", F.lit("2024"), F.lit("2023"))
+    old = f.select(F.when(fate == 0, moved).otherwise(F.col("path")).alias("path"), F.col("n_chars").alias("length"), F.lit(1).cast("long").alias("modified"), "doc_id", "listing_no")
+    new = f.where(fate != 3).select("path", (F.col("n_chars") + (fate == 1).cast("long")).alias("length"), (1 + (fate == 1).cast("long")).alias("modified"), "doc_id", "listing_no")
+    return old, new
+
+
+LISTING_CTES = [
+    ("fates", "select f.doc_id, f.path, f.listing_no, d.n_chars, d.n_chars % 4 as fate from files f join documents d on f.doc_id = d.doc_id"),
+    (
+        "changes",
+        """select replace(path, '2024', '2023') as path, 'removed' as change, n_chars as length, 1::bigint as modified, doc_id from fates where fate = 0
+union all select path, 'added', n_chars, 1::bigint, doc_id from fates where fate = 0
+union all select path, 'changed', n_chars + 1, 2::bigint, doc_id from fates where fate = 1
+union all select path, 'removed', n_chars, 1::bigint, doc_id from fates where fate = 3""",
+    ),
+]
+
+
+@query("listing_changes", ("files",), "select path, change, length, modified from changes", LISTING_CTES)
+def q_listing_changes(spark, d):
+    old, new = listings(spark, d)
+    return FD.listing_changes(old, new)
+
+
+# the first build takes the text of the old listing (marked), the second what has changed; a title falls to the file that arrived
+# last of those that are there in the end
+CHANGE_CTES = [
+    *LISTING_CTES,
+    ("there", "select doc_id, path, listing_no, case when fate = 2 then 0 else 1 end as batch from fates where fate <> 3 and ends_with(path, '.pdf')"),
+    (
+        "named",
+        """select *, case when p[3] is not null and p[3] <> '' then replace(p[len(p)], '.pdf', '') end as title
+from (select *, string_split(path, chr(92)) as p from there) t where doc_id in (select doc_id from pages)""",
+    ),
+    ("last_file", "select title, arg_max(doc_id, batch * 1000000000 + listing_no) as doc_id from named group by title"),
+]
+CHANGED_SQL = """select n.title, g.page, concat('This page explains ', coalesce(n.title, 'None'), '.', chr(10),
+              replace(replace(replace(case when n.batch = 0 then concat('old ', g.raw) else g.raw end, chr(10), ' '), '- ', ''), '  ', ' ')) as page_content,
+       p[2] as first_division, case when p[3] is not null and p[3] <> '' and p[3] <> p[len(p)] then p[3] end as second_division,
+       n.title as file_name, n.path as file_path
+from named n join last_file l on n.doc_id = l.doc_id join pages g on g.doc_id = n.doc_id"""
+
+
+@query("stream_changes", ("files", "pages"), CHANGED_SQL, CHANGE_CTES)
+def q_stream_changes(spark, d):
+    """Two change sets through the stream: nothing -> the old listing, the old listing -> the new one."""
+    base = scratch_path(spark, "stream-changes")
+    old, new = listings(spark, d)
+    before = old.limit(0)
+    pages = fx.pages(spark, d).select("doc_id", "page", "raw")
+    none = F.lit(None).cast("string")
+    for listing, mark in ((old, "old "), (new, "")):
+        changes = FD.listing_changes(before, listing)
+        decoded = pages.join(listing, "doc_id").select(
+            "path", "listing_no", "page", F.concat(F.lit(mark), "raw").alias("page_text"), none.alias("ocr_text"), none.alias("md"), F.lit(None).cast("long").alias("delivery")
+        )
+        S.change_drop(changes, decoded).write.mode("append").parquet(f"{base}/in")
+        S.stream_corpus(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        before = listing
+    return S.read_corpus(spark, f"{base}/out")
