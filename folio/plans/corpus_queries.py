@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from folio.functions import paths as P
@@ -10,7 +12,12 @@ from folio.operators import assemble as A
 from folio.operators import markdown as M
 from folio.operators import ocr as O
 from folio.operators import pages as PG
+from folio.operators import sentences as S
+from folio.operators import trigram_index as X
+from folio.operators.numbering import ordinal
 from folio.plans.registry import query
+from folio.session import scratch_path
+from folio.sources import title_index as TI
 from folio.sources import fixtures as fx
 
 # ---------------------------------------------------------------- text
@@ -57,6 +64,85 @@ def q_search_pages(spark, d):
     return fx.pages(spark, d).where(hit).select("doc_id", "page", n.cast("long").alias("n_matches"), first.alias("first_match"))
 
 
+# patterns of the indexed search: a required word part, alternatives, a repeated group, and one that requires no trigram
+INDEX_PATTERNS = [SEARCH_PATTERN, "(tion|ment|heit) (en|in|on)[a-z]+", "(ing|ver){2}", "[xyz][aeiou]{2}[xyz]"]
+
+
+@query(
+    "search_index",
+    ("pages",),
+    " union all ".join(
+        f"""select '{p}' as pattern, doc_id, page, cast(len(regexp_extract_all(page_text, '(?i){p}')) as bigint) as n_matches,
+       regexp_extract(page_text, '(?i){p}', 0) as first_match
+from pages where regexp_matches(page_text, '(?i){p}')"""
+        for p in INDEX_PATTERNS
+    ),
+)
+def q_search_index(spark, d):
+    """B11 by the trigram index: written once, then searched for several patterns."""
+    path = scratch_path(spark, "trigrams")
+    X.write_index(fx.pages(spark, d).select("doc_id", "page", "page_text"), path)
+    found = [X.search_index(spark, path, p).select(F.lit(p).alias("pattern"), "doc_id", "page", "n_matches", "first_match") for p in INDEX_PATTERNS]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
+SENTENCE_CTES = [
+    (
+        "sentences materialized",
+        r"""select row_number() over (order by sentence) as sentence_no, sentence, string_split(sentence, ' ') as sw
+from (select array_to_string(regexp_extract_all(txt, '\S+'), ' ') as sentence
+      from (select doc_id, unnest(string_split(text, chr(10))) as txt from documents) t
+      group by 1 having count(distinct doc_id) >= 2 and sentence like '% %') s""",
+    ),
+    ("worded materialized", r"select doc_id, page, page_text, regexp_extract_all(page_text, '\S+') as w, regexp_extract_all(page_text, '\s*\S+|\s+') as pieces from pages"),
+    (
+        "met materialized",
+        """select p.doc_id, p.page, p.pos, s.sentence_no, len(s.sw) as n
+from (select doc_id, page, w, unnest(range(len(w))) as pos from worded) p
+join sentences s on p.w[pos + 1] = s.sw[1] and p.w[pos + 2] = s.sw[2] and list_slice(p.w, pos + 1, pos + len(s.sw)) = s.sw""",
+    ),
+    (
+        "first_met materialized",
+        "select doc_id, page, pos, arg_min(n, sentence_no) as n from met group by doc_id, page, pos",
+    ),
+    (
+        "taken",
+        """select doc_id, page, min(pos) as pos, arg_min(n, pos) as n from first_met group by doc_id, page
+union all
+select doc_id, page, pos, n
+from (select m.doc_id, m.page, m.pos, m.n, row_number() over (partition by m.doc_id, m.page order by m.pos) as k
+      from taken t join first_met m on m.doc_id = t.doc_id and m.page = t.page and m.pos >= t.pos + t.n) x where k = 1""",
+    ),
+    (
+        "cleaned",
+        """select doc_id, page, string_agg(piece, '' order by i) as text
+from (select u.doc_id, u.page, u.i, case when t.pos = u.i then regexp_extract(u.piece, '^\s*') else u.piece end as piece
+      from (select doc_id, page, unnest(pieces) as piece, unnest(range(len(pieces))) as i from worded) u
+      left join taken t on t.doc_id = u.doc_id and t.page = u.page and u.i >= t.pos and u.i < t.pos + t.n
+      where t.pos is null or t.pos = u.i) y group by doc_id, page""",
+    ),
+]
+
+
+@query(
+    "drop_sentences",
+    ("pages",),
+    """select w.doc_id, w.page, case when k.n is null then w.page_text else coalesce(c.text, '') end as text, coalesce(k.n, 0) as n_dropped
+from worded w left join cleaned c on w.doc_id = c.doc_id and w.page = c.page
+left join (select doc_id, page, count(*) as n from taken group by doc_id, page) k on w.doc_id = k.doc_id and w.page = k.page""",
+    SENTENCE_CTES,
+    recursive=True,
+)
+def q_drop_sentences(spark, d):
+    """T4 for a table of sentences: the lines that two documents or more share, of at least two words."""
+    lines = fx.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("txt"))
+    shared = lines.groupBy(F.array_join(S.words(F.col("txt")), " ").alias("sentence")).agg(F.count_distinct("doc_id").alias("n"))
+    shared = shared.where((F.col("n") >= 2) & F.contains("sentence", F.lit(" "))).select("sentence")
+    numbered = ordinal(shared, [], ["sentence"], name="sentence_no", base=1)
+    out = S.drop_sentences(fx.pages(spark, d).select("doc_id", "page", "page_text"), numbered)
+    return out.select("doc_id", "page", F.col("page_text").alias("text"), F.size("dropped").cast("long").alias("n_dropped"))
+
+
 # ---------------------------------------------------------------- paths
 
 LEVELS_SQL = """select doc_id, path, p[2] as lv1,
@@ -372,6 +458,20 @@ def q_sample_page(spark, d):
     return A.sample_page(_corpus(spark, d), summary, 5)
 
 
+@query(
+    "title_lookup",
+    ("files", "pages", "ocr_lines", "cells"),
+    "select c.* from corpus c join summary s on c.title = s.first_title",
+    CORPUS_CTES + [("summary", SUMMARY_SQL)],
+)
+def q_title_lookup(spark, d):
+    """The corpus laid out by title, then the page documents of its first title from the files that hold it."""
+    path = scratch_path(spark, "by-title")
+    TI.write_by_title(_corpus(spark, d), path)
+    first = A.corpus_summary(fx.files(spark, d), fx.pages(spark, d)).first()["first_title"]
+    return TI.read_titles(spark, path, [first])
+
+
 @query(
     "nth_pages",
     ("files", "pages", "ocr_lines", "cells"),
