@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from folio.functions.paths import levels, parts
 from folio.operators import folders as FD
 from folio.operators import ocr as O
+from folio.operators import pages as PG
 from folio.plans.corpus_queries import STEM_SQL
 from folio.plans.registry import query
+from folio.session import scratch_path
 from folio.sources import fixtures as fx
+from folio.sources.files import BUNDLE_SCHEMA, bundled_documents, decode
+from folio.sources.ranges import bundled_pages, decode_ranges
 
 ANCESTORS_SQL = """select doc_id, p, len(p) as n, unnest(range(1, len(p))) as k
 from (select doc_id, string_split(path, chr(92)) as p from files)"""
@@ -138,17 +142,33 @@ def q_flatten_boxes(spark, d):
 
 # ---------------------------------------------------------------- decoder seam
 
-@query("decode_pages", ("raw_pages",), "select doc_id, page, raw as page_text from raw_pages")
-def q_decode_pages(spark, d):
-    """J1 end to end: the documents are written as files of many documents each (into the
-    shared checkpoint folder), then the files are decoded back into pages by a plug-in
-    decoder running inside the cluster."""
-    from folio.session import scratch_path
-    from folio.sources.files import BUNDLE_SCHEMA, bundled_documents, decode
-
+def _bundles(spark, d) -> str:
+    """The documents written as files of many documents each, into the shared checkpoint folder."""
     base = scratch_path(spark, "decode-pages")
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("page", "raw"))), lambda p: p["raw"])
     per_doc = fx.raw_pages(spark, d).groupBy("doc_id").agg(ordered.alias("pages"))
     per_doc.select(F.to_json(F.struct("doc_id", "pages")).alias("value")).write.option("maxRecordsPerFile", 1000).text(base)
+    return base
+
+
+@query("decode_pages", ("raw_pages",), "select doc_id, page, raw as page_text from raw_pages")
+def q_decode_pages(spark, d):
+    """J1 end to end: the documents are written as files of many documents each, then the files are decoded back into
+    pages by a plug-in decoder running inside the cluster."""
+    base = _bundles(spark, d)
     rows, _errors = decode(spark, base, bundled_documents, BUNDLE_SCHEMA, suffix=".txt")
     return rows.select("doc_id", "page", "page_text")
+
+
+@query("decode_ranges", ("raw_pages",), "select doc_id, page, raw as page_text from raw_pages")
+def q_decode_ranges(spark, d):
+    """J1 on byte ranges: the same files, each decoded by several tasks."""
+    rows, _errors = decode_ranges(spark, _bundles(spark, d), bundled_pages, BUNDLE_SCHEMA, suffix=".txt", split_bytes=1 << 17)
+    return rows.select("doc_id", "page", "page_text")
+
+
+@query("decode_selected_page", ("raw_pages",), "select doc_id, page, raw as page_text from raw_pages where page = 5")
+def q_decode_selected_page(spark, d):
+    """J1 with B5 in the decoder: the sixth page of each document, from byte ranges."""
+    rows, _errors = decode_ranges(spark, _bundles(spark, d), bundled_pages, BUNDLE_SCHEMA, suffix=".txt", split_bytes=1 << 17, pages=[5])
+    return PG.select_page(rows, 5).select("doc_id", "page", "page_text")
