@@ -1,75 +1,85 @@
 """The training-data pipeline over ``documents``: STAGES in order, each written as Parquet and reread.
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``docs``.  A stage judges documents by doc_id and drops all
-rows of a doc_id that goes; a row without one is judged under a hash of its
-text, and keeps its null.
+return the columns of ``docs``, whatever they are named and of whatever type.  A stage judges rows, not ids: it
+numbers the rows of its input (a written table, so that the numbers hold), and
+drops the rows that its operator rejects; rows with one doc_id and different texts are
+judged each by itself.  Null doc_ids stay null.
+
+All stages: an empty table gives an empty table; texts are read whole, however long;
+columns other than ``doc_id``, ``text`` and ``lang`` are passed on unread.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import bpe, decontaminate, jaccard_join, langid, toxicity
 from folio.llm.common import join_ids, table, written
 
 
-def _key() -> Column:
-    # hashes from 2^62 on, above the ids, so that a document with an id stays rather than one without
-    return F.coalesce(F.col("doc_id").cast("long"), F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(2**62))
-
-
-def _named(docs: DataFrame) -> DataFrame:
-    """``docs`` for an operator: a row without doc_id goes by the hash of its text."""
-    return docs.withColumn("doc_id", _key())
-
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame, str]:
+    """``docs`` with a row number under a new name, the same rows for an operator (its doc_id is the number), and that name."""
+    row = f"row_{uuid4().hex}"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), f"{name}-rows")
+    return rows, rows.select(F.col(row).alias("doc_id"), "text"), row
 
-def _ids(ids: DataFrame, name: str) -> DataFrame:
-    """A list of ids, written first, so that it is made once and counted."""
-    return written(ids.select(F.col("doc_id").alias("_id")).distinct(), name)
 
-
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """``docs`` less the rows with one of these ids."""
-    return join_ids(docs, _ids(ids, name), _key() == F.col("_id"), "left_anti")
+def _without(rows: DataFrame, ids: DataFrame, row: str, name: str) -> DataFrame:
+    """``rows`` less those whose number is a doc_id of ``ids``; the list is written first, so that it is made once and counted."""
+    gone = written(ids.select(F.col("doc_id").alias(row)).distinct(), name)
+    return join_ids(rows, gone, row, "left_anti").drop(row)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents that language identification rejects go."""
-    judged = langid.identify(_named(docs), langid.fit(docs))
-    return _without(docs, judged.filter("rejected"), "rejected-language")
+    """Operator 4: documents that language identification rejects go.
+
+    Null and empty texts, and texts without a letter, go; equal texts share their fate.  Without any learned language
+    every text goes."""
+    rows, asked, row = _numbered(docs, "language")
+    judged = langid.identify(asked, langid.fit(docs))
+    return _without(rows, judged.filter("rejected"), row, "rejected-language")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents predicted toxic go."""
-    judged = toxicity.score_toxicity(_named(docs), toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, judged.filter("predicted = 1"), "rejected-toxic")
+    """Operator 7: documents predicted toxic go.
+
+    Null and empty texts have the score of no term, and stay unless most labelled documents are toxic; equal texts share
+    their fate.  Without labels nothing goes."""
+    rows, asked, row = _numbered(docs, "toxicity")
+    judged = toxicity.score_toxicity(asked, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return _without(rows, judged.filter("predicted = 1"), row, "rejected-toxic")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: one document of each group stays, the one whose id is the group's; of an id with several rows,
-    one row."""
-    joined = jaccard_join.near_duplicates(_named(docs))
-    kept = _without(docs, joined.filter("doc_id != class_id"), "near-duplicates")
-    again = _ids(_named(kept).groupBy("doc_id").count().filter("count > 1"), "repeated-ids")
-    n = again.count()
-    if not n:
-        return kept
-    same = _key() == F.col("_id")
-    repeated = join_ids(kept, again, same, "left_semi", n)
-    one = repeated.groupBy(_key().alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return join_ids(kept, again, same, "left_anti", n).unionByName(one)
+    """Operator 10: one document of each group stays, the one of the smallest doc_id (rows without an id after those with
+    one; of equal ids, and of repeated rows, one).
+
+    Null and empty texts, and texts without a word, are in no group and stay."""
+    rows, asked, row = _numbered(docs, "near-duplicates")
+    classes = written(jaccard_join.near_duplicates(asked).select("doc_id", "class_id"), "near-duplicate-classes")
+    again = classes.groupBy("class_id").count().filter("count > 1").select("class_id")
+    members = join_ids(classes, written(again, "near-duplicate-groups"), "class_id", "left_semi")
+    ids = rows.select(F.col(row).alias("doc_id"), F.col("doc_id").cast("long").alias("id"))
+    members = written(members.join(ids, "doc_id"), "near-duplicate-members")
+    first = members.groupBy("class_id").agg(F.min_by("doc_id", F.struct(F.col("id").isNull(), "id", "doc_id")).alias("doc_id"))
+    return _without(rows, members.select("doc_id").join(first.select("doc_id"), "doc_id", "left_anti"), row, "near-duplicates")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: documents that hold a benchmark item go."""
-    leaks = decontaminate.contaminated(_named(docs), table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks, "contaminated")
+    """Operator 5: documents that hold a benchmark item go.
+
+    Null and empty texts hold nothing and stay; so does everything where the benchmark is empty."""
+    rows, asked, row = _numbered(docs, "decontamination")
+    return _without(rows, decontaminate.contaminated(asked, table(spark, sf_dir, "benchmark")), row, "contaminated")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: the digests of the ids and of the decoded text."""
+    """Operator 1: the digests of the ids and of the decoded text; a null text is encoded as an empty one, repeated rows give
+    a row each."""
     return bpe.encode_documents(docs)
 
 
