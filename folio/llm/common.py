@@ -113,13 +113,13 @@ def words_of(text: str | None) -> list[str]:
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
 
-def shingle_hashes(words: list[str], known: WordHashes) -> np.ndarray:
-    """One 64-bit hash for each run of SHINGLE_WORDS words; a shorter text that has words is one shingle."""
+def shingle_hashes(words: list[str], known: WordHashes, width: int = SHINGLE_WORDS) -> np.ndarray:
+    """One 64-bit hash for each run of ``width`` (at most SHINGLE_WORDS) words; a shorter text that has words is one shingle."""
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-    width = min(SHINGLE_WORDS, n)
+    width = min(width, n)
     out = h[: n - width + 1] * _MIX[0]
     for k in range(1, width):
         out ^= out >> np.uint64(29)

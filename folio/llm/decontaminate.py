@@ -13,6 +13,9 @@ Documents are read once.  Two bit filters of fixed size, broadcast, hold the
 items' minimum hashes and shingle hashes; only what passes them leaves the task,
 and is joined with the items exactly.  Whatever the filters let pass wrongly is
 dropped by those joins, so the results do not depend on the filters' size.
+
+An item of one to four words is one shingle of its own width: the runs of that width
+that pass a third filter are equi-joined with such items.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ FIRST_CLASS = 4  # shingles
 FILTER_BITS = 26  # 2^26 bits (8 MB) at most, whatever the number of items
 SALTS = 8  # parts of an item in the joins: one item may be in a third of all documents
 
-FOUND = "row long, doc_id long, keys array<long>, shingles array<string>"
+FOUND = "row long, doc_id long, keys array<long>, shingles array<string>, runs array<string>"
+SHORT = "item_id long, run string, width int, keys array<long>"
 ITEMS = "item_id long, keys array<long>, shingles array<string>, hashes array<long>, cls int"
 
 
@@ -81,6 +85,7 @@ def size_class(n: int) -> int:
     return max(0, (n - 1) // FIRST_CLASS).bit_length()
 
 
+_NO_SHINGLES = np.empty(0, np.uint64)
 _MULTIPLIERS = odd_multipliers(HASHES, 5)
 _SALT = odd_multipliers(HASHES * 64, 55).reshape(64, HASHES)
 
@@ -112,8 +117,8 @@ def window_keys(h: np.ndarray, classes: list[int]):
 
 
 def item_index(items: DataFrame) -> DataFrame:
-    """item_id, keys of its class, distinct shingles, their hashes, the class; items under five words are left out:
-    they have no shingle.  An item_id with several texts is one item for each text."""
+    """item_id, keys of its class, distinct shingles, their hashes, the class; items under five words are in `short_items`.
+    An item_id with several texts is one item for each text."""
 
     def run(slices):
         known = WordHashes()
@@ -137,11 +142,24 @@ def item_index(items: DataFrame) -> DataFrame:
     return map_rows(items.select(F.col("item_id").cast("long"), "text"), run, ITEMS).withColumn("item", F.monotonically_increasing_id())
 
 
+def short_items(items: DataFrame) -> DataFrame:
+    """item_id, run, width, keys (one hash): the items of one to four words."""
+
+    def run(slices):
+        known = WordHashes()
+        for c in slices:
+            short = [(i, w) for i, w in zip(c["item_id"], map(words_of, c["text"]), strict=True) if 0 < len(w) < SHINGLE_WORDS]
+            yield {"item_id": [i for i, _ in short], "run": [" ".join(w) for _, w in short], "width": [len(w) for _, w in short], "keys": [shingle_hashes(w, known).view(np.int64) for _, w in short]}
+
+    return map_rows(items.select(F.col("item_id").cast("long"), "text"), run, SHORT).withColumn("item", F.monotonically_increasing_id())
+
+
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SIMILARITY) -> DataFrame:
     """doc_id, item_id, n_shared, n_shingles, containment: one row per document row and item of which the
-    document holds at least ``share`` of the distinct five-word shingles, in any order of size.
+    document holds at least ``share`` of the distinct five-word shingles, in any order of size.  An item of one to
+    four words is one shingle, which the document holds as a run of words or does not.
 
-    Null and empty texts, and texts under five words, hold nothing.  Null ids are
+    Null and empty texts hold nothing, and are no items.  Null ids are
     kept as null.  Repeated rows give one row each; ties do not matter, as every
     item that reaches ``share`` is returned.  An empty benchmark gives no rows."""
     spark = docs.sparkSession
@@ -149,25 +167,29 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SIMILARITY) -
     classes = sorted(r["cls"] for r in index.select("cls").distinct().collect())  # at most 64
     bits = min(FILTER_BITS, max(20, (index.count() * HASHES * 64).bit_length()))
     keys_in, shingles_in = bit_filters(index, bits)
-    sent = spark.sparkContext.broadcast((keys_in, shingles_in))
+    short = written(short_items(items), "benchmark-short-items")
+    widths = sorted(r["width"] for r in short.select("width").distinct().collect())  # at most 4
+    bits = min(FILTER_BITS, max(20, (short.count() * 64).bit_length()))
+    runs_in = bit_filters(short.select("keys", F.col("keys").alias("hashes")), bits)[0] if widths else None
+    sent = spark.sparkContext.broadcast((keys_in, shingles_in, runs_in))
 
     def search(slices):
         known = WordHashes()
-        keys_in, shingles_in = sent.value
+        keys_in, shingles_in, runs_in = sent.value
         for c in slices:
-            out = {k: [] for k in ("row", "doc_id", "keys", "shingles")}
+            out = {k: [] for k in ("row", "doc_id", "keys", "shingles", "runs")}
             for row, doc_id, text in zip(c["row"], c["doc_id"], c["text"], strict=True):
                 words = words_of(text)
-                if len(words) < SHINGLE_WORDS:
-                    continue
-                h = shingle_hashes(words, known)
+                runs = {" ".join(words[i : i + w]) for w in widths if w <= len(words) for i in runs_in.passes(shingle_hashes(words, known, w)).tolist()}
+                h = shingle_hashes(words, known) if len(words) >= SHINGLE_WORDS else _NO_SHINGLES
                 hits = [k.reshape(-1)[on] for k in window_keys(h, classes) if len(on := keys_in.passes(k))]
-                if not hits:
+                if not hits and not runs:
                     continue
                 out["row"].append(row)
                 out["doc_id"].append(doc_id)
-                out["keys"].append(np.unique(np.concatenate(hits)).view(np.int64))
-                out["shingles"].append(sorted({" ".join(words[i : i + SHINGLE_WORDS]) for i in shingles_in.passes(h).tolist()}))
+                out["keys"].append(np.unique(np.concatenate(hits)).view(np.int64) if hits else [])
+                out["shingles"].append(sorted({" ".join(words[i : i + SHINGLE_WORDS]) for i in shingles_in.passes(h).tolist()}) if hits else [])
+                out["runs"].append(sorted(runs))
             yield out
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -184,8 +206,12 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SIMILARITY) -
         index.select("item", "item_id", F.col("shingles").alias("_item")).select("*", salt), ["item", "salt"]
     )
     shared = F.size(F.array_intersect("_item", "_doc")).cast("long")
+    one = F.lit(1).cast("long")
+    # rows of found hold a run once; equal items of several ids are found each
+    brief = found.select("row", "doc_id", F.explode("runs").alias("run"), mine).join(short.select("item_id", "run", salt), ["run", "salt"]).select("doc_id", "item_id", one.alias("n_shared"), one.alias("n_shingles"))
     return (
         held.select("doc_id", "item_id", shared.alias("n_shared"), F.size("_item").cast("long").alias("n_shingles"))
+        .unionByName(brief)
         .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
         .filter(F.col("containment") >= share)
     )

@@ -12,8 +12,13 @@ def shingles(text):
 def brute(docs, items, share=0.8):
     out = []
     sets = [(i, shingles(t)) for i, t in items]
+    short = [(i, WORDS.findall((t or "").lower())) for i, t in items]
     for doc_id, text in docs:
         s = shingles(text)
+        words = WORDS.findall((text or "").lower())
+        for item_id, run in short:  # one to four words: a run of the document or not
+            if 0 < len(run) < 5 and any(words[k : k + len(run)] == run for k in range(len(words))):
+                out.append((doc_id, item_id, 1, 1))
         for item_id, q in sets:
             if q and len(q & s) / len(q) >= share:
                 out.append((doc_id, item_id, len(q & s), len(q)))
@@ -74,3 +79,15 @@ def test_edge_rows(spark):
     assert result(dc.contaminated(d, b)) == brute([(i, t) for i, t, _ in docs], items)
     assert dc.contaminated(d.filter("false"), b).count() == 0
     assert dc.contaminated(d, b.filter("false")).count() == 0
+
+
+def test_short_items(spark):
+    """Items of one to four words, one of them in a third of the documents, beside a long one."""
+    items = [(1, "secret answer phrase"), (2, "Word"), (3, "two words"), (4, "exactly four words here"), (5, "secret  ANSWER, phrase"), (6, "unseen"), (7, "a long benchmark item of eight words here"), (8, "...")]
+    docs = [(1, "a document holds the secret answer phrase inside"), (2, "secret answer"), (3, "word"), (4, "Two words; word"), (5, "exactly four words here"), (None, "secret answer phrase"), (6, "four words"), (7, "words two"), (8, None)]
+    docs += [(100 + i, "filler " * i + "word " + "filler " * 5) for i in range(60)] + [(300, "x " * 50_000 + "two words a long benchmark item of eight words here")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert len(want) > 65
+    assert result(dc.contaminated(d, b)) == want
+    assert result(dc.contaminated(d, b.filter("item_id < 7"))) == [x for x in want if x[1] < 7]

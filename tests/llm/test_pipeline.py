@@ -55,9 +55,41 @@ def test_stages_on_odd_rows(spark, name):
     kept = [(r["doc_id"], r["text"]) for r in out.collect()]
     assert all(r in rows for r in kept) and (1, text) in kept
     if name == "near_duplicates":
-        assert kept.count((1, text)) == 1 and (None, text) not in kept and len([i for i, _ in kept if i == 6]) == 1
+        assert kept.count((1, text)) == 1 and (None, text) not in kept and (2, text + " more") not in kept
+        assert len([i for i, _ in kept if i == 6]) == 2  # one id, two different texts: judged each by itself
     if name == "language":
         assert not {(None, None), (3, None), (4, ""), (5, "123")} & set(kept) and (None, text) in kept
     if name in ("toxicity", "decontamination"):
         assert sorted(map(str, kept)) == sorted(map(str, rows))
     assert dict(cp.STAGES)[name](spark, df.filter("false"), SF).count() == 0
+
+
+@pytest.mark.parametrize("name", ["language", "toxicity", "near_duplicates", "decontamination", "bpe"])
+def test_stages_with_any_columns_and_long_texts(spark, name):
+    """Columns of any name and type, among them maps and names that joins use; a very long text."""
+    text = "the and of that in a the and of that in a the"
+    rows = [(1, text), (2, text), (3, "and the of in that " * 200_000), (None, text + " but it was not the same as that")]
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' as lang", "1 as _id", "2L as row", "3L as _row", "map('k', 'v') as class_id", "named_struct('a', 1) as id", "array(1) as item_id", "'s' as node"
+    )
+    out = dict(cp.STAGES)[name](spark, df, SF)
+    if name != "bpe":
+        assert out.dtypes == df.dtypes
+    kept = sorted(str(r["doc_id"]) for r in out.collect())
+    assert kept == (["1", "3", "None"] if name == "near_duplicates" else ["1", "2", "3", "None"])
+
+
+def test_stages_without_labels_or_items(spark, tmp_path):
+    text = "the and of that in a the and of that in a the"
+    df = spark.createDataFrame([(i, text + f" {i}" * 9, "en") for i in range(4)], "doc_id long, text string, lang string")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name in ("toxicity", "decontamination"):
+        assert dict(cp.STAGES)[name](spark, df, str(tmp_path)).count() == 4
+
+
+def test_rows_of_one_id_are_judged_each_by_itself(spark):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    df = spark.createDataFrame([(1, items[0]["text"]), (1, "a clean text of a few words that no item holds"), (2, "another clean text")], "doc_id long, text string")
+    out = cp.decontaminated(spark, df, SF).collect()
+    assert sorted(r["text"][:7] for r in out) == ["a clean", "another"]
