@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.operators.contours import contours
 from folio.operators.numbering import ordinal
 
 IMG = "image_id"
@@ -278,10 +279,12 @@ def find_text_regions(
     min_area: float = 10000,
     max_h_ratio: float = 0.3,
 ) -> DataFrame:
-    """K8: gray -> blur -> inverse adaptive threshold -> dilate -> regions -> keep -> number."""
+    """K8: gray -> blur -> inverse adaptive threshold -> dilate -> contours (outer ones and holes) -> keep -> number.
+
+    ``area`` is that of the contour's polygon, which the least area is compared with."""
     gray = to_gray(planes)
     # scan lines from the first filter to the dilation: pixels are made once, for the regions
     mask = _dilated(_thresholded(_blurred(to_lines(gray), blur_size), block, c, 255), dilate_size, iterations)
-    reg = regions(mask)
+    reg = contours(mask).select(IMG, "x", "y", "w", "h", "area")
     heights = image_dims(gray).select(IMG, F.col("_h").alias("img_h"))
     return number_regions(reg.join(heights, IMG), min_area, max_h_ratio)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 
+from folio.operators import contours as C
 from folio.operators import raster as K
 from folio.plans.registry import query
 from folio.sources import fixtures as fx
@@ -144,6 +145,78 @@ def q_regions(spark, d):
     return K.regions(fx.pixels(spark, d), min_v=REGION_MIN_V)
 
 
+def contour_ctes(src: str, min_v: int) -> list[tuple[str, str]]:
+    """Contours by flooding: what the outside can't reach without crossing a component is the component filled up."""
+    around4 = "abs(g.y - r.y) + abs(g.x - r.x) = 1"
+    around8 = "abs(g.y - r.y) <= 1 and abs(g.x - r.x) <= 1"
+    return [
+        *regions_ctes(src, min_v)[:3],
+        ("frame materialized", f"select image_id, max(y) + 1 as h, max(x) + 1 as w from {src} group by image_id"),
+        (
+            "grid materialized",
+            """select c.image_id, c.y, c.x, cc.lab
+from (select image_id, y, unnest(range(-1, w + 1)) as x from (select image_id, w, unnest(range(-1, h + 1)) as y from frame) a) c
+left join fg f on f.image_id = c.image_id and f.y = c.y and f.x = c.x left join cc on cc.id = f.id""",
+        ),
+        ("bg materialized", "select *, row_number() over (order by image_id, y, x) as id from grid where lab is null"),
+        ("badj materialized", f"select r.id as a, g.id as b from bg r join bg g on r.image_id = g.image_id and {around4}"),
+        (
+            "bc(id, lab) using key (id)",
+            """select id, id from bg
+union
+select u.b as id, min(c.lab) as lab
+from bc c join badj u on c.id = u.a join recurring.bc r on r.id = u.b
+group by u.b, r.lab having min(c.lab) < r.lab""",
+        ),
+        ("blank materialized", "select b.image_id, b.y, b.x, c.lab, min(c.lab) over (partition by b.image_id) as outside from bg b join bc c on b.id = c.id"),
+        (
+            "cells materialized",
+            """select image_id, y, x, false as hole, lab from grid where lab is not null
+union all select image_id, y, x, true, lab from blank where lab <> outside""",
+        ),
+        ("shapes materialized", "select distinct image_id, hole, lab from cells"),
+        (
+            "reached(image_id, hole, lab, y, x)",
+            f"""select image_id, hole, lab, -1, -1 from shapes
+union
+select r.image_id, r.hole, r.lab, g.y, g.x
+from reached r join grid g on g.image_id = r.image_id and case when r.hole then {around8} else {around4} end
+where not exists (select 1 from cells c where c.image_id = r.image_id and c.hole = r.hole and c.lab = r.lab and c.y = g.y and c.x = g.x)""",
+        ),
+        (
+            "windows",
+            """select image_id, hole, lab, wy, wx, count(*) as k
+from (select s.image_id, s.hole, s.lab, g.y + o.dy as wy, g.x + o.dx as wx
+      from shapes s join grid g on g.image_id = s.image_id cross join (values (0, 0), (0, -1), (-1, 0), (-1, -1)) o(dy, dx)
+      where not exists (select 1 from reached r where r.image_id = s.image_id and r.hole = s.hole and r.lab = s.lab and r.y = g.y and r.x = g.x)) f
+group by all""",
+        ),
+        (
+            "areas",
+            "select image_id, hole, lab, sum(case when k = 4 then 1.0 when hole then case when k = 1 then 0.5 else 1.0 end when k = 3 then 0.5 else 0.0 end) as area from windows group by all",
+        ),
+        (
+            "found",
+            """select image_id, hole, lab, min(x) - hole::int as x, min(y) - hole::int as y, max(x) - min(x) + 1 + 2 * hole::int as w,
+       max(y) - min(y) + 1 + 2 * hole::int as h, min(y * 100000 + x) as first_cell, arg_min(x, y * 100000 + x) as fx, min(y) as fy
+from cells group by image_id, hole, lab""",
+        ),
+        ("ranked", "select *, row_number() over (partition by image_id order by first_cell) - 1 as contour_no from found"),
+        (
+            "cnt",
+            """select r.image_id, r.contour_no::int as contour_no, r.hole, coalesce(p.contour_no, -1)::int as parent_no, r.x::int as x, r.y::int as y, r.w::int as w, r.h::int as h, a.area::double as area
+from ranked r join areas a on a.image_id = r.image_id and a.hole = r.hole and a.lab = r.lab
+left join grid g on r.hole and g.image_id = r.image_id and g.y = r.fy and g.x = r.fx - 1
+left join ranked p on p.image_id = r.image_id and not p.hole and p.lab = g.lab""",
+        ),
+    ]
+
+
+@query("contours", ("pixels",), "select * from cnt", contour_ctes("pixels", REGION_MIN_V), recursive=True)
+def q_contours(spark, d):
+    return C.contours(fx.pixels(spark, d), min_v=REGION_MIN_V)
+
+
 @query("filter_regions", ("regions",), "select image_id, x, y, w, h, area from regions where area > 10000 and w > h and h < 0.3 * img_h")
 def q_filter_regions(spark, d):
     return K.filter_regions(fx.regions(spark, d)).select("image_id", "x", "y", "w", "h", "area")
@@ -185,7 +258,7 @@ TEXT_REGION_PARAMS = dict(blur_size=9, block=11, c=THRESHOLD_C, dilate_size=3, i
     ("pixels",),
     """select image_id, x, y, w, h, area, row_number() over (partition by image_id order by y, x, w, h) - 1 as roi,
        concat('ROI_', row_number() over (partition by image_id order by y, x, w, h) - 1, '.jpg') as name
-from (select distinct r.image_id, r.x, r.y, r.w, r.h, r.area from reg r join gdims g on r.image_id = g.image_id
+from (select distinct r.image_id, r.x, r.y, r.w, r.h, r.area from cnt r join gdims g on r.image_id = g.image_id
       where r.area > 2 and r.w > r.h and r.h < 1.0 * g.h) k""",
     [
         PLANES,
@@ -195,8 +268,8 @@ from (select distinct r.image_id, r.x, r.y, r.w, r.h, r.area from reg r join gdi
         ("blurred", f"select image_id, y, x, cast((s + {BLUR_T // 2}) // {BLUR_T} as int) as v from gray_ws"),
         *sep_sql("blurred", "gdims", THR_W),
         ("thr", f"select image_id, y, x, case when v <= (s + {THR_T // 2}) // {THR_T} - {THRESHOLD_C} then 255 else 0 end as v from blurred_ws"),
-        ("mask", dilate_sql("thr", 1)),
-        *regions_ctes("mask", 1),
+        ("mask materialized", dilate_sql("thr", 1)),
+        *contour_ctes("mask", 1),
     ],
     recursive=True,
 )
