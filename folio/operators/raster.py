@@ -5,12 +5,14 @@ line, an array of values): the x pass is a built-in ``transform`` over the
 reflected neighbours (border 'reflect 101': -1 -> 1, n -> n-2), the y pass
 sends each line to the few target lines it feeds and sums them with
 ``aggregate``, so a pass shuffles each value about kernel-height times and
-never joins pixel rows.  Kernels may be larger than the image.  Dilation is a moving maximum along the line,
-then a RANGE window along y.
+never joins pixel rows.  Kernels may be larger than the image.  Dilation is a moving maximum of running maxima
+over blocks, so its work does not grow with the radius.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,12 +142,6 @@ def _thresholded(lines: DataFrame, block: int, c: int, maxval: int) -> DataFrame
     return _weighted(lines, binomial(block)).select(IMG, "y", "_h", F.zip_with("line", "_s", dark).alias("line"))
 
 
-def _widened(lines: DataFrame, r: int) -> DataFrame:
-    """Moving maximum of radius ``r`` along each line."""
-    span = lambda i: F.slice("line", F.greatest(i - r, F.lit(0)) + 1, F.least(i, F.lit(r)) + r + 1)
-    return lines.select(IMG, "y", F.transform(F.sequence(F.lit(0), F.size("line") - 1), lambda i: F.array_max(span(i))).alias("line"))
-
-
 def _pixels(lines: DataFrame) -> DataFrame:
     return from_lines(lines).select(IMG, "y", F.col("x").cast("int").alias("x"), F.col("v").cast("int").alias("v"))
 
@@ -160,10 +156,43 @@ def adaptive_threshold(pixels: DataFrame, block: int = 11, c: int = 30, maxval:
     return _pixels(_thresholded(to_lines(pixels), block, c, maxval))
 
 
+LEAST = -(1 << 62)  # below every value: what lies outside an image
+
+
+def moving_max(m: np.ndarray, r: int) -> np.ndarray:
+    """The maximum over 2r + 1 neighbours along the last axis, with as much work for any radius: of the blocks of 2r + 1
+    values that a span touches, the running maximum from its start to the first's end, and from the second's start to its end."""
+    n, k = m.shape[-1], 2 * r + 1
+    padded = np.full((*m.shape[:-1], -(-(n + 2 * r) // k) * k), LEAST, np.int64)
+    padded[..., r : r + n] = m
+    blocks = padded.reshape(*m.shape[:-1], -1, k)
+    ahead = np.maximum.accumulate(blocks, -1).reshape(padded.shape)
+    behind = np.maximum.accumulate(blocks[..., ::-1], -1)[..., ::-1].reshape(padded.shape)
+    return np.maximum(behind[..., :n], ahead[..., 2 * r : 2 * r + n])
+
+
 def _dilated(lines: DataFrame, size: int, iterations: int) -> DataFrame:
+    """Moving maximum of scan lines, along the line and then over lines, whose work does not grow with the radius: a line goes
+    once to its block of 2r + 1 lines, and from there as two running maxima to the two lines that end a span with it."""
     r = (size // 2) * iterations
-    wy = Window.partitionBy(IMG, "x").orderBy("y").rangeBetween(-r, r)
-    return _pixels(_widened(lines, r)).select(IMG, "y", "x", F.max("v").over(wy).alias("v"))
+    k = 2 * r + 1
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        image, height, at = pdf[IMG].iloc[0], int(pdf["_h"].iloc[0]), int(pdf["_block"].iloc[0]) * k
+        wide = moving_max(np.stack([np.asarray(v, np.int64) for v in pdf["line"]]), r)
+        m = np.full((k, wide.shape[1]), LEAST, np.int64)
+        m[pdf["y"].to_numpy() - at] = wide
+        ahead, behind = np.maximum.accumulate(m, 0), np.maximum.accumulate(m[::-1], 0)[::-1]
+        out = [(at + j - r, ahead[j]) for j in range(k)] + [(at + j + r, behind[j]) for j in range(k)]
+        out = [(y, v) for y, v in out if 0 <= y < height]
+        return pd.DataFrame({IMG: image, "y": [y for y, _ in out], "part": [v for _, v in out]})
+
+    kind = lines.schema[IMG].dataType.simpleString()
+    blocks = lines.select(IMG, F.col("y").cast("long").alias("y"), "line", "_h", F.floor(F.col("y") / k).alias("_block"))
+    parts = blocks.groupBy(IMG, "_block").applyInPandas(block, f"{IMG} {kind}, y long, part array<bigint>")
+    both = parts.groupBy(IMG, "y").agg(F.collect_list("part").alias("p"))  # two, at the image's ends one
+    line = F.when(F.size("p") == 1, F.col("p")[0]).otherwise(F.zip_with(F.col("p")[0], F.col("p")[1], lambda a, b: F.greatest(a, b)))
+    return _pixels(both.select(IMG, F.col("y").cast("int").alias("y"), line.alias("line")))
 
 
 def dilate(pixels: DataFrame, size: int = 9, iterations: int = 4) -> DataFrame:

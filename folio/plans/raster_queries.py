@@ -16,7 +16,9 @@ def refl(i: str, n: str) -> str:
 DIMS = ("dims", "select image_id, max(y) + 1 as h, max(x) + 1 as w from pixels group by image_id")
 PLANES = (
     "planes",
-    "select image_id // 3 as image_id, case image_id % 3 when 0 then 'b' when 1 then 'g' else 'r' end as channel, y, x, v from pixels",
+    """select image_id // 3 as image_id,
+       unnest(case when image_id < (select max(vec_id) from embeddings) then [['b', 'g', 'r'][image_id % 3 + 1]] else ['b', 'g', 'r'][image_id % 3 + 1:] end) as channel,
+       y, x, v from pixels""",
 )
 GRAY_SQL = """select image_id, y, x, cast((sum(case channel when 'r' then 299 when 'g' then 587 else 114 end * v) + 500) // 1000 as int) as v
 from planes group by image_id, y, x having count(distinct channel) = 3"""

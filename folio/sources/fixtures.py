@@ -283,7 +283,10 @@ def pixel_regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def planes(spark: SparkSession, d: str) -> DataFrame:
-    """F7 as colour planes: images 3k, 3k+1, 3k+2 are the B, G, R planes of image k."""
+    """F7 as colour planes: images 3k, 3k+1, 3k+2 are the B, G, R planes of image k; the last image is all planes that the
+    last triple lacks."""
     p = pixels(spark, d)
-    ch = F.when(F.col("image_id") % 3 == 0, F.lit("b")).when(F.col("image_id") % 3 == 1, F.lit("g")).otherwise(F.lit("r"))
-    return p.select((F.floor(F.col("image_id") / 3)).cast("long").alias("image_id"), ch.alias("channel"), "y", "x", "v")
+    last = table(spark, d, "embeddings").select(F.max("vec_id")).scalar()
+    k = (F.col("image_id") % 3).cast("int")
+    channels = F.slice(F.array(F.lit("b"), F.lit("g"), F.lit("r")), k + 1, F.when(F.col("image_id") == last, 3 - k).otherwise(F.lit(1)))
+    return p.select((F.floor(F.col("image_id") / 3)).cast("long").alias("image_id"), F.explode(channels).alias("channel"), "y", "x", "v")

@@ -1,4 +1,4 @@
-"""K6 with borders and holes: hand-worked shapes, and random masks against flooding."""
+"""K6 with borders and holes: hand-worked shapes, and random masks against flooding.  K5: the moving maximum."""
 
 import random
 
@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from folio.operators import contours as C
+from folio.operators import raster as K
 
 
 def found(rows):
@@ -92,3 +93,23 @@ def test_random_masks_equal_flooding(spark):
         got.setdefault(r.image_id, []).append((r.contour_no, r.hole, r.parent_no, r.x, r.y, r.w, r.h, r.area))
     assert {i: sorted(v) for i, v in got.items()} == {i: v for i, m in enumerate(masks) if (v := flooded(m))}
     assert C.contours(df.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("r", [0, 1, 3, 40])
+def test_moving_maximum(r):
+    rnd = np.random.default_rng(1)
+    m = rnd.integers(0, 1000, (4, 33))
+    want = [[max(row[max(0, i - r) : i + r + 1]) for i in range(33)] for row in m]
+    assert K.moving_max(m, r).tolist() == want
+
+
+@pytest.mark.parametrize(("size", "iterations"), [(1, 1), (3, 1), (9, 4), (5, 40)])
+def test_dilation_equals_the_maximum_over_the_square(spark, size, iterations):
+    rnd = np.random.default_rng(2)
+    images = [rnd.integers(0, 256, shape) * (rnd.random(shape) < 0.1) for shape in [(1, 1), (1, 20), (20, 1), (11, 13), (60, 30)]]
+    px = [(i, y, x, int(v)) for i, m in enumerate(images) for y, row in enumerate(m) for x, v in enumerate(row)]
+    out = K.dilate(spark.createDataFrame(px, "image_id long, y int, x int, v int"), size, iterations)
+    assert "Window [max(v" not in out._jdf.queryExecution().executedPlan().toString()  # none over pixel rows
+    r = size // 2 * iterations
+    got = {(p.image_id, p.y, p.x): p.v for p in out.collect()}
+    assert got == {(i, y, x): int(m[max(0, y - r) : y + r + 1, max(0, x - r) : x + r + 1].max()) for i, m in enumerate(images) for y in range(m.shape[0]) for x in range(m.shape[1])}
