@@ -2,8 +2,8 @@
 
 ``edges(<page keys>, orient, pos, lo, hi)``: ``orient`` 'h' (y = pos, x from lo to
 hi) or 'v' (x = pos, y from lo to hi).  Every join is keyed by the page, and the
-range joins add a coarse band of the range coordinate to the key, so a rule
-only meets the rules near it, never every rule of its page.
+range join of words adds a coarse band of the range coordinate to the key; rules
+are met by a sweep over each page.
 """
 
 from __future__ import annotations
@@ -134,25 +134,67 @@ def _band(c) -> F.Column:
     return F.floor(c / F.lit(BAND)).cast("long")
 
 
+def sweep(verticals, horizontals, x_tol: float, y_tol: float):
+    """Pairs (vertical, horizontal) that meet, by position in their lists.
+
+    ``verticals``: (x, lo, hi), ``horizontals``: (y, lo, hi).  A line sweeps the page downward; the verticals it
+    crosses are kept in order of x, so a horizontal finds those it meets as one slice: what is looked at is what
+    is returned, however many rules run over the whole page."""
+    from bisect import bisect_left, bisect_right, insort
+    from heapq import heappop, heappush
+
+    begins = sorted(range(len(verticals)), key=lambda i: verticals[i][1])
+    active, ends, at = [], [], 0
+    for j in sorted(range(len(horizontals)), key=lambda j: horizontals[j][0]):
+        y, lo, hi = horizontals[j]
+        while at < len(begins) and verticals[begins[at]][1] <= y + y_tol:
+            i = begins[at]
+            insort(active, (verticals[i][0], i))
+            heappush(ends, (verticals[i][2], i))
+            at += 1
+        while ends and not ends[0][0] >= y - y_tol:
+            i = heappop(ends)[1]
+            del active[bisect_left(active, (verticals[i][0], i))]
+        first = bisect_left(active, (lo - x_tol,))
+        for _, i in active[first : bisect_right(active, (hi + x_tol, len(verticals)), lo=first)]:
+            yield i, j
+
+
 def edge_intersections(edges: DataFrame, x_tol: float = 3, y_tol: float = 3, keys=PAGE_KEYS) -> DataFrame:
-    """C4: every (vertical, horizontal) pair that meets within the tolerances.
+    """C4: every (vertical, horizontal) pair that meets within the tolerances: ``(<keys>, x, v_lo, v_hi, y, h_lo, h_hi)``.
 
-    A horizontal rule lies in one band (of its y); a vertical rule is listed in
-    every band its y-span (widened by the tolerance) touches; the join key is
-    (page, band), so each meeting pair is found exactly once.
-    """
+    A plane sweep a page (a page holds a bounded number of rules): rules are
+    not copied, and nothing is joined.  Rules that are already partitioned by
+    page, as ``clean_edges`` leaves them, are not shuffled again."""
     k = list(keys)
-    v = edges.where(F.col("orient") == "v").select(*k, F.col("pos").alias("x"), F.col("lo").alias("v_lo"), F.col("hi").alias("v_hi"))
-    v = v.withColumn("_band", F.explode(F.sequence(_band(F.col("v_lo") - y_tol), _band(F.col("v_hi") + y_tol))))
-    h = edges.where(F.col("orient") == "h").select(*k, F.col("pos").alias("y"), F.col("lo").alias("h_lo"), F.col("hi").alias("h_hi"))
-    h = h.withColumn("_band", _band(F.col("y")))
-    meet = (
-        (F.col("v_lo") <= F.col("y") + y_tol)
-        & (F.col("v_hi") >= F.col("y") - y_tol)
-        & (F.col("x") >= F.col("h_lo") - x_tol)
-        & (F.col("x") <= F.col("h_hi") + x_tol)
-    )
-    return v.join(h, [*k, "_band"]).where(meet).drop("_band")
+    whole = F.col("pos").isNotNull() & F.col("lo").isNotNull() & F.col("hi").isNotNull()
+    # the window asks for the rows of a page together, in one order, and shuffles only if they are not
+    page = Window.partitionBy(*k).orderBy("orient", "pos", "lo", "hi")
+    rows = edges.where(whole & F.col("orient").isin("v", "h")).withColumn("_n", F.row_number().over(page))
+    rows = rows.select(*k, "orient", *[F.col(c).cast("double").alias(c) for c in ("pos", "lo", "hi")], "_n")
+    schema = T.StructType([f for f in edges.schema.fields if f.name in k] + [T.StructField(c, T.DoubleType()) for c in ("x", "v_lo", "v_hi", "y", "h_lo", "h_hi")])
+    return rows.mapInPandas(lambda it: _meetings_of_pages(it, k, x_tol, y_tol), schema)
+
+
+def _meetings_of_pages(batches, k, x_tol, y_tol):
+    import numpy as np
+    import pandas as pd
+
+    from folio.operators.components import whole_groups
+
+    for pdf in whole_groups(batches, k):
+        first = np.flatnonzero(pdf["_n"].to_numpy() == 1)  # of each page
+        upright = pdf["orient"].to_numpy() == "v"
+        place = list(zip(pdf["pos"], pdf["lo"], pdf["hi"]))
+        left, right = [], []
+        for a, b in zip(first, [*first[1:], len(pdf)]):
+            v, h = a + np.flatnonzero(upright[a:b]), a + np.flatnonzero(~upright[a:b])
+            for i, j in sweep([place[n] for n in v], [place[n] for n in h], x_tol, y_tol):
+                left.append(v[i])
+                right.append(h[j])
+        if left:
+            out = pdf.iloc[left][[*k, "pos", "lo", "hi"]].reset_index(drop=True).set_axis([*k, "x", "v_lo", "v_hi"], axis=1)
+            yield pd.concat([out, pdf.iloc[right][["pos", "lo", "hi"]].reset_index(drop=True).set_axis(["y", "h_lo", "h_hi"], axis=1)], axis=1)
 
 
 def find_cells(edges: DataFrame, pages: DataFrame | None = None, s: GridSettings = DEFAULT, keys=PAGE_KEYS) -> DataFrame:

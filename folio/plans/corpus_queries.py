@@ -115,7 +115,7 @@ from (select m.doc_id, m.page, m.pos, m.n, row_number() over (partition by m.doc
     ),
     (
         "cleaned",
-        """select doc_id, page, string_agg(piece, '' order by i) as text
+        r"""select doc_id, page, string_agg(piece, '' order by i) as text
 from (select u.doc_id, u.page, u.i, case when t.pos = u.i then regexp_extract(u.piece, '^\s*') else u.piece end as piece
       from (select doc_id, page, unnest(pieces) as piece, unnest(range(len(pieces))) as i from worded) u
       left join taken t on t.doc_id = u.doc_id and t.page = u.page and u.i >= t.pos and u.i < t.pos + t.n
