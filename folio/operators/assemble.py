@@ -20,7 +20,7 @@ from folio.operators.markdown import markdown_tables
 from folio.operators.numbering import ordinal
 from folio.operators.ocr import page_texts
 from folio.operators.pages import empty_pages
-from folio.operators.ruling import GridSettings, extract_tables
+from folio.operators.ruling import GridSettings, crop_edges, extract_tables
 from folio.session import checkpoint_dir
 
 PAGE_KEYS = ["doc_id", "page"]
@@ -158,16 +158,15 @@ def layout_pages(
     box; a document with a page that the box does not fit is converted uncropped, whole
     (B10).  Page documents in the 'levels' style, of every file."""
     f = files.where(has_suffix("path", suffix)).select("doc_id", "path")
-    fits = pages.groupBy("doc_id").agg(F.min(box_fits(CROP_BOX)).alias("_crop"))
-    out = []
-    for cropped in (True, False):
-        ids = fits.where(F.col("_crop") == cropped).select("doc_id").join(f, "doc_id", "left_semi")
-        p, w, e = (df.join(ids, "doc_id", "left_semi") for df in (pages, words, edges))
-        tables = markdown_tables(extract_tables(w, e, p, crop_box=CROP_BOX if cropped else None), keep="last")
-        texts = page_text(crop_words(w, CROP_BOX) if cropped else w)
-        texts = p.select(*PAGE_KEYS).join(texts, PAGE_KEYS, "left").select(*PAGE_KEYS, F.coalesce("text", F.lit("")).alias("text"))
-        out.append(assemble_pages(f, texts, tables, style="levels", sep=sep))
-    return out[0].unionByName(out[1])
+    # whether a document is cropped is a flag of its rows, so tables are found and text is made once, for all of them
+    fits = _stored(pages.groupBy("doc_id").agg(F.min(box_fits(CROP_BOX)).alias("_crop")).join(f, "doc_id", "left_semi"))
+    flag = F.col("_crop")
+    p = pages.join(fits, "doc_id", "left_semi")
+    w = crop_words(words.join(fits, "doc_id"), CROP_BOX, flag).drop("_crop")
+    e = crop_edges(edges.join(fits, "doc_id"), CROP_BOX, flag).drop("_crop")
+    tables = markdown_tables(extract_tables(w, e, p), keep="last")
+    texts = p.select(*PAGE_KEYS).join(page_text(w), PAGE_KEYS, "left").select(*PAGE_KEYS, F.coalesce("text", F.lit("")).alias("text"))
+    return assemble_pages(f, texts, tables, style="levels", sep=sep)
 
 
 def collect_docs(corpus: DataFrame) -> DataFrame:

@@ -32,11 +32,17 @@ def inside(box, x0="x0", top="top", x1="x1", bottom="bottom") -> Column:
     return (F.col(x0) >= bx0) & (F.col(x1) <= bx1) & (F.col(top) >= bt) & (F.col(bottom) <= bb)
 
 
-def crop(df: DataFrame, box=CROP_BOX) -> DataFrame:
-    """Keep the objects touching ``box`` and clip them to it."""
-    bx0, bt, bx1, bb = _box_cols(box)
+def unbounded(box, of: Column) -> tuple[Column, ...]:
+    """``box`` for the rows where ``of`` holds, a box without limits for the others."""
+    inf = float("inf")
+    return tuple(F.when(of, b).otherwise(F.lit(far)) for b, far in zip(_box_cols(box), (-inf, -inf, inf, inf)))
+
+
+def crop(df: DataFrame, box=CROP_BOX, of: Column | None = None) -> DataFrame:
+    """Keep the objects touching ``box`` and clip them to it; with ``of``, only rows where it holds are cropped."""
+    bx0, bt, bx1, bb = _box_cols(box) if of is None else unbounded(box, of)
     return (
-        df.where(overlaps(box))
+        df.where(overlaps(box) if of is None else ~of | overlaps(box))
         .withColumn("x0", F.greatest("x0", bx0))
         .withColumn("x1", F.least("x1", bx1))
         .withColumn("top", F.greatest("top", bt))

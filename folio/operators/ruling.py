@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.operators.layout import crop, edges_from_words, page_text
+from folio.operators.layout import crop, edges_from_words, page_text, unbounded
 from folio.session import checkpoint_dir
 
 PAGE_KEYS = ("doc_id", "page")
@@ -351,20 +351,20 @@ def table_grid(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     return slots.join(c.drop("_ncols"), [*t, "row_no", "col_no"], "left")
 
 
-def crop_edges(edges: DataFrame, box) -> DataFrame:
-    """B8 for rules: keep the rules that touch ``box`` and clip their span to it."""
-    bx0, bt, bx1, bb = (float(b) for b in box)
+def crop_edges(edges: DataFrame, box, of: Column | None = None) -> DataFrame:
+    """B8 for rules: keep the rules that touch ``box`` and clip their span to it; with ``of``, only rows where it holds."""
+    bx0, bt, bx1, bb = (F.lit(float(b)) for b in box) if of is None else unbounded(box, of)
     h = F.col("orient") == "h"
     x0 = F.when(h, F.col("lo")).otherwise(F.col("pos"))
     x1 = F.when(h, F.col("hi")).otherwise(F.col("pos"))
     top = F.when(h, F.col("pos")).otherwise(F.col("lo"))
     bottom = F.when(h, F.col("pos")).otherwise(F.col("hi"))
-    ow = F.least(x1, F.lit(bx1)) - F.greatest(x0, F.lit(bx0))
-    oh = F.least(bottom, F.lit(bb)) - F.greatest(top, F.lit(bt))
+    ow = F.least(x1, bx1) - F.greatest(x0, bx0)
+    oh = F.least(bottom, bb) - F.greatest(top, bt)
     keep = (ow >= 0) & (oh >= 0) & ((ow + oh) > 0)
-    lo = F.when(h, F.greatest("lo", F.lit(bx0))).otherwise(F.greatest("lo", F.lit(bt)))
-    hi = F.when(h, F.least("hi", F.lit(bx1))).otherwise(F.least("hi", F.lit(bb)))
-    return edges.where(keep).withColumn("lo", lo).withColumn("hi", hi)
+    lo = F.when(h, F.greatest("lo", bx0)).otherwise(F.greatest("lo", bt))
+    hi = F.when(h, F.least("hi", bx1)).otherwise(F.least("hi", bb))
+    return edges.where(keep if of is None else ~of | keep).withColumn("lo", lo).withColumn("hi", hi)
 
 
 def extract_tables(
