@@ -114,9 +114,19 @@ def contours(mask: DataFrame, min_v: int = 1) -> DataFrame:
     a hole's parent is the outer contour around it (outer contours: -1).  The box holds the contour's pixels.
     Images are shuffled once, as lines; one image is bounded by its resolution."""
     lines = mask.groupBy(IMG, "y").agg(F.sort_array(F.collect_list(F.struct("x", (F.col("v") >= min_v).alias("ink")))).alias("line"))
-    lines = lines.select(IMG, F.col("y").cast("long").alias("y"), F.transform("line", lambda p: p["x"].cast("long")).alias("xs"), F.transform("line", lambda p: p["ink"]).alias("ink"))
-    kind = mask.schema[IMG].dataType
+    return _contours(lines.select(IMG, "y", F.transform("line", lambda p: p["x"].cast("long")).alias("xs"), F.transform("line", lambda p: p["ink"]).alias("ink")))
+
+
+def line_contours(lines: DataFrame, min_v: int = 1) -> DataFrame:
+    """K6 on scan lines ``(image_id, y, line)``: as `contours`, without a row for each pixel."""
+    xs = F.sequence(F.lit(0).cast("long"), F.size("line").cast("long") - 1)
+    return _contours(lines.where(F.size("line") > 0).select(IMG, "y", xs.alias("xs"), F.transform("line", lambda v: v >= min_v).alias("ink")))
+
+
+def _contours(lines: DataFrame) -> DataFrame:
+    kind = lines.schema[IMG].dataType
     schema = T.StructType([T.StructField(IMG, kind), *[T.StructField(n, t) for n, t in COLUMNS.items()]])
+    lines = lines.withColumn("y", F.col("y").cast("long"))
     return lines.repartition(IMG).sortWithinPartitions(IMG, "y").mapInPandas(_contours_of_images, schema)
 
 

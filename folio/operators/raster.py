@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.operators.contours import contours
+from folio.operators.contours import line_contours
 from folio.operators.numbering import ordinal
 
 IMG = "image_id"
@@ -54,6 +54,24 @@ def to_gray(planes: DataFrame, channel: str = "channel") -> DataFrame:
     return g.where(total.isNotNull()).select(IMG, "y", "x", (total / 1000).cast("long").cast("int").alias("v"))
 
 
+def plane_lines(planes: DataFrame, channel: str = "channel") -> DataFrame:
+    """Colour planes as scan lines ``(image_id, channel, y, line, _h)`` (images are dense)."""
+    lines = planes.groupBy(IMG, F.col(channel).alias("channel"), "y").agg(F.sort_array(F.collect_list(F.struct("x", "v"))).alias("_l"))
+    lines = lines.select(IMG, "channel", "y", F.transform("_l", lambda p: p["v"].cast("long")).alias("line"))
+    return lines.withColumn("_h", (F.max("y").over(Window.partitionBy(IMG)) + 1).cast("int"))
+
+
+def gray_lines(lines: DataFrame) -> DataFrame:
+    """K1 on scan lines: ``(image_id, channel, y, line, _h)`` -> ``(image_id, y, line, _h)``; a line that lacks a channel, or
+    whose channels differ in length, is dropped."""
+    of = {c: F.max(F.when(F.col("channel") == c, F.col("line"))).alias(f"_{c}") for c in GRAY_WEIGHTS}
+    g = lines.groupBy(IMG, "y").agg(*of.values(), F.max("_h").alias("_h"))
+    same = (F.size("_r") == F.size("_g")) & (F.size("_g") == F.size("_b"))
+    rgb = F.arrays_zip("_r", "_g", "_b")
+    total = lambda p: ((p["_r"] * GRAY_WEIGHTS["r"] + p["_g"] * GRAY_WEIGHTS["g"] + p["_b"] * GRAY_WEIGHTS["b"] + 500) / 1000).cast("long")
+    return g.where(F.col("_r").isNotNull() & F.col("_g").isNotNull() & F.col("_b").isNotNull() & same).select(IMG, "y", F.transform(rgb, total).alias("line"), "_h")
+
+
 def to_lines(pixels: DataFrame) -> DataFrame:
     """Scan lines ``(image_id, y, line ARRAY<BIGINT>, _h)``: one row per image line, values
     in x order (images are dense), plus the image height."""
@@ -192,13 +210,13 @@ def _dilated(lines: DataFrame, size: int, iterations: int) -> DataFrame:
     parts = blocks.groupBy(IMG, "_block").applyInPandas(block, f"{IMG} {kind}, y long, part array<bigint>")
     both = parts.groupBy(IMG, "y").agg(F.collect_list("part").alias("p"))  # two, at the image's ends one
     line = F.when(F.size("p") == 1, F.col("p")[0]).otherwise(F.zip_with(F.col("p")[0], F.col("p")[1], lambda a, b: F.greatest(a, b)))
-    return _pixels(both.select(IMG, F.col("y").cast("int").alias("y"), line.alias("line")))
+    return both.select(IMG, F.col("y").cast("int").alias("y"), line.alias("line"))
 
 
 def dilate(pixels: DataFrame, size: int = 9, iterations: int = 4) -> DataFrame:
     """Rectangular dilation = moving maximum of radius ``(size // 2) * iterations``
     along x then along y (pixels outside the image do not count)."""
-    return _dilated(to_lines(pixels), size, iterations)
+    return _pixels(_dilated(to_lines(pixels), size, iterations))
 
 
 def regions(mask: DataFrame, min_v: int = 1) -> DataFrame:
@@ -310,10 +328,11 @@ def find_text_regions(
 ) -> DataFrame:
     """K8: gray -> blur -> inverse adaptive threshold -> dilate -> contours (outer ones and holes) -> keep -> number.
 
-    ``area`` is that of the contour's polygon, which the least area is compared with."""
-    gray = to_gray(planes)
-    # scan lines from the first filter to the dilation: pixels are made once, for the regions
-    mask = _dilated(_thresholded(_blurred(to_lines(gray), blur_size), block, c, 255), dilate_size, iterations)
-    reg = contours(mask).select(IMG, "x", "y", "w", "h", "area")
-    heights = image_dims(gray).select(IMG, F.col("_h").alias("img_h"))
+    ``planes``: pixels of colour planes, or their scan lines (`plane_lines`, `sources.files.read_image_lines`).  ``area`` is that
+    of the contour's polygon, which the least area is compared with."""
+    lines = planes if "line" in planes.columns else plane_lines(planes)
+    gray = gray_lines(lines)
+    # scan lines from the reader to the contours: no row for a pixel on the way
+    reg = line_contours(_dilated(_thresholded(_blurred(gray, blur_size), block, c, 255), dilate_size, iterations)).select(IMG, "x", "y", "w", "h", "area")
+    heights = lines.groupBy(IMG).agg(F.max("_h").alias("img_h"))
     return number_regions(reg.join(heights, IMG), min_area, max_h_ratio)

@@ -48,6 +48,31 @@ def read_images(spark: SparkSession, root: str, recursive: bool = True) -> DataF
     return imgs.mapInPandas(_image_rows, schema)
 
 
+def read_image_lines(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """A5 as scan lines ``(image_id, channel, y, line, _h)``: one row a line and channel instead of one a pixel, and the
+    image's height beside it, so that what follows need not collect pixels."""
+    imgs = _images(spark, root, recursive).where(F.col("image.nChannels") > 0).select(
+        F.col("image.origin").alias("image_id"),
+        F.col("image.height").alias("height"),
+        F.col("image.width").alias("width"),
+        F.col("image.nChannels").alias("n_channels"),
+        F.col("image.data").alias("data"),
+    )
+    return imgs.mapInPandas(_image_lines, "image_id string, channel string, y int, line array<bigint>, _h int")
+
+
+def _image_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import numpy as np
+
+    for b in batches:
+        for row in b.itertuples(index=False):
+            h, w, c = int(row.height), int(row.width), int(row.n_channels)
+            arr = np.frombuffer(row.data, dtype=np.uint8).reshape(h, w, c)
+            for i, name in enumerate("bgr"):
+                plane = arr[:, :, i if c >= 3 else 0].astype("int64")
+                yield pd.DataFrame({"image_id": row.image_id, "channel": name, "y": np.arange(h, dtype="int32"), "line": list(plane), "_h": h})
+
+
 def unreadable_images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """A5: ``(path, error)`` of the files under ``root`` that Spark's image source can't decode."""
     bad = _images(spark, root, recursive).where(F.coalesce(F.col("image.nChannels"), F.lit(-1)) <= 0)

@@ -245,6 +245,11 @@ def test_text_regions_of_a_page_with_its_defaults(spark, tmp_path):
     write_png(tmp_path / "page.png", rows)
     planes = SF.read_images(spark, str(tmp_path))
     found = K.find_text_regions(planes).collect()
+    lines = SF.read_image_lines(spark, str(tmp_path))
+    assert lines.count() == 3 * h
+    by_lines = K.find_text_regions(lines)
+    assert by_lines.collect() == found
+    assert "posexplode" not in by_lines._jdf.queryExecution().executedPlan().toString()  # no row for a pixel
     assert len(found) == 1 and found[0].x < 60 and found[0].y < 100 and found[0].w > 300
     crops = IO.region_crops(K.region_pixels(K.to_gray(planes), spark.createDataFrame(found), region_cols=("roi",)))
     IO.write_regions(crops, str(tmp_path / "rois"))
