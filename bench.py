@@ -40,7 +40,7 @@ def main() -> None:
     from folio.plans.catalog import REGISTRY
     from folio.session import local_session
 
-    spark = local_session(cpus, app="folio-bench", extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="folio-bench-")})
+    spark = local_session(cpus, app="folio-bench", extra={"spark.checkpoint.dir": os.environ.get("FOLIO_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="folio-bench-")})
     # warm the JVM and the session (not timed), so the first query is not charged for start-up
     spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

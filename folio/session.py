@@ -60,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared checkpoint folder, for tables written to cut lineage.
 
     All of an application's sub-folders lie in one folder of its own, which is
-    deleted when the application ends."""
+    deleted when the application ends, or before by ``clear_scratch``."""
     app = spark.sparkContext.applicationId
     if app not in _roots:
         root = f"{checkpoint_dir(spark).rstrip('/')}/folio-{app}-{uuid.uuid4().hex}"
@@ -70,3 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs.deleteOnExit(path)
         _roots[app] = root
     return f"{_roots[app]}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables now, in a session that lives long: only when no DataFrame that was made
+    so far is still to be read."""
+    root = _roots.pop(spark.sparkContext.applicationId, None)
+    if root:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

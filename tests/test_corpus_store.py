@@ -164,3 +164,16 @@ def test_a_reader_during_a_write_and_older_snapshots(spark, tmp_path):
         IO.read_docs(spark, root, snapshot=0)
     with pytest.raises(ValueError, match="neither"):
         IO.write_docs(corpus(spark, "x"), root, mode="ignore")
+
+
+def test_scratch_tables_are_cleared_on_request(spark):
+    from folio import session
+
+    path = session.scratch_path(spark, "table")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(path.removeprefix("file:"))
+    session.clear_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file:"))
+    again = session.scratch_path(spark, "table")  # a new folder
+    spark.range(3).write.parquet(again)
+    assert spark.read.parquet(again).count() == 3

@@ -17,6 +17,8 @@ KEYS = [
     "find_cells", "extract_tables", "text_between_tables", "blur", "regions", "number_regions", "region_pixels",
     "edge_intersections", "explicit_lines", "extract_tables_text", "build_corpus_from_layout", "layout_pages", "stream_corpus",
     "nth_pages", "corpus_titles", "read_docs", "written_regions", "ocr_batch", "flatten_boxes", "decode_pages", "adaptive_threshold",
+    "listing_changes", "stream_changes", "read_older_snapshot", "title_lookup", "search_index", "drop_sentences", "decode_ranges",
+    "decode_selected_page", "contours", "dilate", "find_text_regions", "extract_tables_cropped",
 ]
 
 
