@@ -137,10 +137,11 @@ def assign_lines(words: DataFrame, y_tol: float = 3, keys=PAGE_KEYS) -> DataFram
     return words.withColumn("_new", new).withColumn("line_no", (F.sum("_new").over(upto) - 1).cast("long")).drop("_new")
 
 
-def page_lines(words: DataFrame, y_tol: float = 3, keys=PAGE_KEYS) -> DataFrame:
-    """E5: text lines — words of a line ordered by x0, joined with ' '."""
+def page_lines(words: DataFrame, y_tol: float = 3, keys=PAGE_KEYS, by=None) -> DataFrame:
+    """E5: text lines — words of a line ordered by x0, joined with ' '.  ``by`` (some of ``keys``): what the words are
+    partitioned by, for callers that go on with coarser groups."""
     k = list(keys)
-    lw = assign_lines(words.repartition(*k), y_tol, keys)
+    lw = assign_lines(words.repartition(*(by or k)), y_tol, keys)
     g = lw.groupBy(*k, "line_no").agg(F.sort_array(F.collect_list(F.struct("x0", "word_no", "word"))).alias("_ws"))
     return g.select(*k, "line_no", F.array_join(F.transform("_ws", lambda x: x["word"]), " ").alias("line"))
 

@@ -9,12 +9,13 @@ are met by a sweep over each page.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.operators.layout import crop, edges_from_words, page_text, unbounded
+from folio.operators.layout import crop, edges_from_words, page_lines, unbounded
 from folio.session import checkpoint_dir
 
 PAGE_KEYS = ("doc_id", "page")
@@ -324,17 +325,25 @@ def table_boxes(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
     )
 
 
-def words_in_cells(words: DataFrame, cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
+def words_in_cells(words: DataFrame, cells: DataFrame, keys=PAGE_KEYS, every_cell: bool = False) -> DataFrame:
     """Each word goes to the cell holding its centre (half-open: left/top edges in,
-    right/bottom edges out).  Joined on (page, band of y)."""
+    right/bottom edges out).  Joined on (page, band of y).
+
+    ``every_cell``: also at least one row, without a word, for each cell that has none in some band (the page keys are then the
+    cell's), and for each row of ``cells`` without a box."""
     k = list(keys)
     w = words.withColumn("_cx", (F.col("x0") + F.col("x1")) / 2).withColumn("_cy", (F.col("top") + F.col("bottom")) / 2)
     w = w.withColumn("_band", _band(F.col("_cy")))
     c = cells.select(
         *k, *[F.col(x).alias("c_" + x) for x in cells.columns if x not in k]
     )
-    c = c.withColumn("_band", F.explode(F.sequence(_band(F.col("c_top")), _band(F.col("c_bottom")))))
+    bands = F.sequence(_band(F.col("c_top")), _band(F.col("c_bottom")))
+    c = c.withColumn("_band", (F.explode_outer if every_cell else F.explode)(bands))
     hit = (F.col("c_x0") <= F.col("_cx")) & (F.col("_cx") < F.col("c_x1")) & (F.col("c_top") <= F.col("_cy")) & (F.col("_cy") < F.col("c_bottom"))
+    if every_cell:
+        same = [F.col(f"w.{x}") == F.col(f"c.{x}") for x in (*k, "_band")]
+        both = w.alias("w").join(c.alias("c"), reduce(lambda a, b: a & b, [*same, hit]), "right")
+        return both.select(*[F.col(f"c.{x}") for x in k], *[F.col(f"w.{x}") for x in words.columns if x not in k], *[F.col("c." + x) for x in c.columns if x not in (*k, "_band")])
     return w.join(c, [*k, "_band"]).where(hit).drop("_band", "_cx", "_cy")
 
 
@@ -347,8 +356,12 @@ def table_grid(cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
         "col_no", (F.dense_rank().over(Window.partitionBy(*t).orderBy("x0")) - 1).cast("int")
     )
     c = c.withColumn("_ncols", F.max("col_no").over(Window.partitionBy(*t)))
-    slots = c.select(*t, "row_no", "_ncols").distinct().select(*t, "row_no", F.explode(F.sequence(F.lit(0), "_ncols")).alias("col_no"))
-    return slots.join(c.drop("_ncols"), [*t, "row_no", "col_no"], "left")
+    # the cells of a table's row together, and from them its slots: no join, and no other partitioning than the table's
+    box = ["x0", "top", "x1", "bottom"]
+    rows = c.groupBy(*t, "row_no").agg(F.max("_ncols").alias("_ncols"), F.collect_list(F.struct("col_no", *box)).alias("_cells"))
+    slots = rows.select(*t, "row_no", "_cells", F.explode(F.sequence(F.lit(0), "_ncols")).alias("col_no"))
+    here = F.filter("_cells", lambda e: e["col_no"] == F.col("col_no"))
+    return slots.select(*t, "row_no", "col_no", F.explode_outer(here).alias("_c")).select(*t, "row_no", "col_no", *[F.col("_c")[x].alias(x) for x in box])
 
 
 def crop_edges(edges: DataFrame, box, of: Column | None = None) -> DataFrame:
@@ -389,9 +402,13 @@ def extract_tables(
     cells = group_cells(find_cells(edges, pages, s, keys), keys)
     grid = table_grid(cells, keys)
     ck = [*k, "table_no", "row_no", "col_no"]
-    placed = words_in_cells(words.select(*k, "word_no", "word", "x0", "x1", "top", "bottom"), grid.where(F.col("x0").isNotNull()), keys)
-    cell_words = placed.select(*k, F.col("c_table_no").alias("table_no"), F.col("c_row_no").alias("row_no"), F.col("c_col_no").alias("col_no"), "word_no", "word", "x0", "x1", "top", "bottom")
-    texts = page_text(cell_words, keys=ck)
-    out = grid.join(texts, ck, "left")
-    txt = F.when(F.col("x0").isNull(), F.lit(None).cast("string")).otherwise(F.coalesce("text", F.lit("")))
-    return out.select(*ck, txt.alias("txt"))
+    # every slot goes through the join with the words, so that it need not be joined with their text
+    placed = words_in_cells(words.select(*k, "word_no", "word", "x0", "x1", "top", "bottom"), grid, keys, every_cell=True)
+    slot = [F.col("c_" + c).alias(c) for c in ck[len(k) :]]
+    cell_words = placed.select(
+        *k, *slot, F.col("c_x0").isNotNull().alias("_cell"), F.col("x0").isNotNull().alias("_real"), "word_no", "word", "x0", "x1", "top", "bottom"
+    )
+    lines = page_lines(cell_words, keys=(*ck, "_cell", "_real"), by=k)
+    texts = lines.groupBy(*ck, "_cell").agg(F.sort_array(F.collect_list(F.when(F.col("_real"), F.struct("line_no", "line")))).alias("_ls"))
+    text = F.array_join(F.transform("_ls", lambda x: x["line"]), "\n")
+    return texts.select(*ck, F.when(F.col("_cell"), text).alias("txt"))
