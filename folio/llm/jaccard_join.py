@@ -8,10 +8,18 @@ tree with TARGET_RECALL.  Texts that share a node are candidates; every link is
 then verified exactly on the whole sets of shingles.
 
 So that a group of copies costs no pairs: texts with equal sets of shingles are
-one class (counted); a trie node links its texts to its smallest one only; the
-candidates' connected components are verified in blocks of bounded size, a large
-component as pairs of its blocks; and a block passes on a spanning forest of its
-links and each text's number of links, not the links.
+one class (counted); a trie node links its texts to its smallest one only (in two
+steps, so that no task holds a whole node); the candidates' connected components
+are verified in blocks of bounded size, a large component as pairs of its blocks;
+and a block passes on a spanning forest of its links and each text's number of
+links, not the links.
+
+Texts that share a template meet in the tries without being alike.  A component
+of more than one block is therefore taken apart before any pair is compared: of
+two sets with a Jaccard similarity of at least t, put into one order, the first
+|x| - ceil(t |x|) + 1 members of each have one in common; the order is rarest first,
+so the members of a template come last.  Only texts that share such a member stay
+together.  This loses no link, and costs a row for each such member.
 """
 
 from __future__ import annotations
@@ -20,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import BROADCAST_ROWS, SIMILARITY, WordHashes, map_rows, odd_multipliers, shingle_hashes, table, words_of, written
@@ -31,6 +39,8 @@ TARGET_RECALL = 0.99999
 LEVEL_BYTES = 2  # of a minimum hash kept in a label
 BLOCK_TEXTS = 256
 BLOCK_SHINGLES = 1_000_000
+SALTS = 16  # a key's texts are linked in this many parts
+COUNTER_BITS = 20  # hashed counters of shingles that tell their order: one byte each is broadcast
 
 _MULTIPLIERS = odd_multipliers(TREES * LEVELS, 10)
 SIGNED = "doc_id long, key long, node binary, n int, labels array<binary>"
@@ -111,28 +121,83 @@ def verify_block(shingles: list[np.ndarray], copies: np.ndarray, left: np.ndarra
     return linked @ copies, root
 
 
-def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
-    """node, other, links: of every text with a link in a block, a smaller linked text and the number of documents."""
+def _fetched(docs: DataFrame, members: DataFrame, rest: dict[str, str], use, schema: str) -> DataFrame:
+    """``use(node, shingles, *rest)`` for every row of ``members``, whose text is read again; it gives the rows of ``schema``."""
     n = members.count()
     # by id and hash of the text: rows without an id, or of a repeated one, meet their own node only
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("first_doc"), F.xxhash64("text").alias("key"), "text")
     small = F.broadcast(members) if n <= BROADCAST_ROWS // 8 else members  # eight columns' worth of an id
-    wanted = texts.join(small, ["first_doc", "key"])
+    wanted = texts.join(small.select("first_doc", "key", "node", *rest), ["first_doc", "key"])
 
     def sets(slices):
         known = WordHashes()
         for c in slices:
-            out = {k: [] for k in ("node", "cluster", "part", "parts", "copies", "shingles")}
-            for text, node, *rest in zip(c["text"], c["node"], c["cluster"], c["part"], c["parts"], c["copies"], strict=True):
+            out = []
+            for text, node, *more in zip(c["text"], c["node"], *(c[k] for k in rest), strict=True):
                 s = shingle_set(text, known)
                 if len(s) and node_of(s) == node:  # another text of the same hash
-                    out["node"].append(node)
-                    for k, x in zip(("cluster", "part", "parts", "copies"), rest, strict=True):
-                        out[k].append(x)
-                    out["shingles"].append(s.tobytes())
-            yield out
+                    out.append(use(node, s, *more))
+            yield {f.split()[0]: [r[i] for r in out] for i, f in enumerate(schema.split(", "))}
+
+    return map_rows(wanted, sets, schema)
+
+
+def stars(keyed: DataFrame) -> DataFrame:
+    """u, v: the nodes of a key (columns key, node) linked to its smallest one, by way of the smallest of each of SALTS parts."""
+    part = Window.partitionBy("key", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    near = keyed.select("key", "node", F.min("node").over(part).alias("lo"))
+    tops = near.filter("node = lo").select("node", F.min("node").over(Window.partitionBy("key")).alias("lo"))
+    return near.select("node", "lo").union(tops).filter("node != lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
+
+
+def common_least(n: int, similarity: float) -> int:
+    """Of n members in a shared order, how many first ones must hold one of any set of at least ``similarity``."""
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return ((shingles * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def rarity(docs: DataFrame, members: DataFrame) -> np.ndarray:
+    """One byte for each hashed counter: four times the binary logarithm of the members' shingles that fall into it."""
+
+    def tally(slices):
+        # a task's counters are a fixed array
+        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        for c in slices:
+            for raw in c["shingles"]:
+                np.add.at(total, _slots(np.frombuffer(raw, np.uint64)), 1)
+        has = np.flatnonzero(total)
+        yield {"slot": has, "n": total[has]}
 
-    rows = map_rows(wanted, sets, "node binary, cluster binary, part int, parts int, copies long, shingles binary")
+    sets = _fetched(docs, members, {}, lambda node, s: (s.tobytes(),), "shingles binary")
+    got = map_rows(sets, tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most 2^COUNTER_BITS rows
+    out = np.zeros(1 << COUNTER_BITS, np.uint8)
+    out[got["slot"].to_numpy()] = np.minimum(4 * np.log2(got["n"].to_numpy().astype(float)), 255).astype(np.uint8)
+    return out
+
+
+def taken_apart(docs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """node, cluster: the components of ``members`` (first_doc, key, node, cluster) by rare shingles they share inside their
+    cluster.  Members that share none have no row: they have no link."""
+    sent = docs.sparkSession.sparkContext.broadcast(rarity(docs, members))
+
+    def first(node, s, cluster):
+        rare = sent.value[_slots(s)]
+        return node, cluster, s[np.lexsort((s, rare))[: common_least(len(s), similarity)]].view(np.int64).tolist()
+
+    firsts = _fetched(docs, members, {"cluster": "binary"}, first, "node binary, cluster binary, shingles array<long>")
+    keyed = firsts.select("node", "cluster", F.explode("shingles").alias("shingle")).select("node", F.xxhash64("cluster", "shingle").alias("key"))
+    return components(stars(keyed)).select("node", F.col("component").alias("cluster"))
+
+
+def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFrame:
+    """node, other, links: of every text with a link in a block, a smaller linked text and the number of documents."""
+    rows = _fetched(
+        docs, members, {"cluster": "binary", "part": "int", "parts": "int", "copies": "long"},
+        lambda node, s, *rest: (node, *rest, s.tobytes()), "node binary, cluster binary, part int, parts int, copies long, shingles binary",
+    )
     spread = rows.withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "node", "copies", "shingles", "part", "cluster", F.least("part", "_q").alias("i"), F.greatest("part", "_q").alias("j")
     )
@@ -156,6 +221,13 @@ def _verified(docs: DataFrame, members: DataFrame, similarity: float) -> DataFra
     return spread.groupBy("cluster", "i", "j").applyInArrow(block, "node binary, other binary, links long")
 
 
+def _in_parts(sized: DataFrame) -> DataFrame:
+    """The texts of each cluster (node, cluster, n and others) dealt to parts of bounded size: part, parts."""
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("parts")
+    counted = sized.join(sized.groupBy("cluster").agg(parts), "cluster")
+    return counted.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> DataFrame:
     """doc_id, class_id, n_links, n_copies: one row per document row.
 
@@ -174,15 +246,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: flo
     )
     prefix = F.substring("label", 1, depth * LEVEL_BYTES)
     trie = nodes.select("node", F.posexplode("labels").alias("tree", "label")).select("node", F.xxhash64("tree", prefix).alias("key"))
-    met = trie.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key", "lo")
-    candidates = trie.join(met, "key").filter("node != lo").select(F.col("node").alias("u"), F.col("lo").alias("v"))
-    clusters = components(candidates)
-    sized = clusters.select("node", F.col("component").alias("cluster")).join(nodes.select("node", "n", "copies", F.coalesce("first_doc", F.lit(-(2**63))).alias("first_doc"), "key"), "node")
-    sized = written(sized, "clusters")
-    parts = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("parts")
-    members = sized.join(sized.groupBy("cluster").agg(parts), "cluster").select(
-        "first_doc", "key", "node", "cluster", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int").alias("part"), "parts", "copies"
-    )
+    clusters = components(stars(trie))
+    facts = nodes.select("node", "n", "copies", F.coalesce("first_doc", F.lit(-(2**63))).alias("first_doc"), "key")
+    sized = written(clusters.select("node", F.col("component").alias("cluster")).join(facts, "node"), "clusters")
+    members = _in_parts(sized)
+    large = written(members.filter("parts > 1").drop("part", "parts"), "large-clusters")
+    if not large.isEmpty():
+        apart = taken_apart(docs, large, similarity)
+        members = members.filter("parts = 1").unionByName(_in_parts(written(large.drop("cluster").join(apart, "node"), "clusters-apart")))
     links = written(_verified(docs, members, similarity), "links")
     classes = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
     degree = links.groupBy("node").agg(F.sum("links").alias("links"))

@@ -63,6 +63,39 @@ def test_near_copies_in_several_blocks(spark, monkeypatch):
     assert result(jj.near_duplicates(df)) == want
 
 
+def test_texts_that_share_a_template_are_not_compared_all(spark, monkeypatch):
+    r = random.Random(5)
+    template = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join([*template, *(f"u{r.randint(0, 10**9)}" for _ in range(100))])) for i in range(1500)]
+    near = rows[7][1].split()
+    rows += [(5000 + i, " ".join([*near[:-i], *(f"v{i}" for _ in range(i))])) for i in range(1, 4)]  # and a few that are alike
+    compared = []
+    verified = jj._verified
+
+    def counted(docs, members, similarity):
+        sizes = [x["count"] for x in members.groupBy("cluster").count().collect()]
+        compared.append(max(sizes))
+        return verified(docs, members, similarity)
+
+    monkeypatch.setattr(jj, "_verified", counted)
+    got = result(jj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert compared[0] <= 256
+    linked = [rows[7], *rows[1500:]]
+    assert [x for x in got if x[2]] == [x for x in brute(linked) if x[2]]
+    assert len(got) == len(rows) and len([x for x in got if x[2]]) == 4
+
+
+def test_members_in_common_order_meet(spark):
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        x = rng.choice(100, n, replace=False)
+        y = np.union1d(rng.permutation(x)[: max(1, n - int(rng.integers(0, 8)))], rng.choice(100, int(rng.integers(0, 8))))
+        if len(np.intersect1d(x, y)) / len(np.union1d(x, y)) >= 0.8 - 1e-9:
+            a, b = (set(np.sort(z)[: jj.common_least(len(z), 0.8)].tolist()) for z in (x, y))
+            assert a & b
+
+
 def test_links_are_counted_once_where_parts_are_empty(spark, monkeypatch):
     monkeypatch.setattr(jj, "BLOCK_SHINGLES", 300)  # each group of three long texts is dealt to four parts
     r = random.Random(3)
