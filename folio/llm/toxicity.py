@@ -6,9 +6,14 @@ scores  w0 + sum w_i + sum <v_i, v_j>,  so that pairs of terms (an insult with
 the mention of a group) weigh beyond their parts.
 
 It is fitted on a bounded sample of labelled rows: about SAMPLE_DOCS documents,
-drawn by hash, whole texts.  The slots it may use are those whose document
-frequency differs between the labels by a z value of at least LEAST_Z, at most
-MOST_SLOTS of them (the strongest); this bounds the model, never the texts.
+drawn by hash, whole texts.  The slots it may use are found in rounds: first those
+whose document frequency differs between the labels by a z value of at least
+LEAST_Z; then, ROUNDS times, those that hold far more toxic documents than the
+machine fitted so far expects among the documents that it calls clean
+(LEAST_EVIDENCE, a Chernoff bound).  So the
+terms of a harmful pair, each neutral taken alone, are found by the documents that
+the other terms leave unexplained.  At most MOST_SLOTS in all (the strongest);
+this bounds the model, never the texts.
 """
 
 from __future__ import annotations
@@ -18,12 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import WORDS, map_rows, table
+from folio.llm.common import WORDS, map_rows, table, written
 
 SAMPLE_DOCS = 20_000
 TERM_BITS = 22
 LEAST_DOCS = 4  # labelled documents that must hold a term
 LEAST_Z = 4.0
+LEAST_EVIDENCE = 18.0  # natural log: a chance excess as large has a probability of at most e^-18 for a term
+LEAST_EXCESS = 6  # toxic documents beyond the expected ones
+ROUNDS = 2
 MOST_SLOTS = 4096
 FACTORS = 8
 EPOCHS = 40
@@ -72,6 +80,10 @@ class FactorizationMachine:
         s = v.sum(0)
         return float(self.w0 + self.w[x].sum() + 0.5 * (s @ s - (v * v).sum()))
 
+    def chance(self, x: np.ndarray) -> float:
+        """The probability that a document with these slots is labelled toxic, without the weight of toxic ones in the loss."""
+        return float(1 / (1 + TOXIC_WEIGHT * np.exp(-np.clip(self.score(x), -30, 30))))
+
 
 def fit_machine(slots: np.ndarray, rows: list[np.ndarray], labels: np.ndarray) -> FactorizationMachine:
     """AdaGrad on the logistic loss, in fixed random order."""
@@ -128,38 +140,63 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> F
     sample = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < share)  # about sample_docs rows, so it may be broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
 
-    def frequencies(slices):
-        slots = Slots()
-        total: dict[int, int] = {}
-        bad: dict[int, int] = {}
-        docs_seen = [0, 0]
-        for c in slices:
-            for text, toxic in zip(c["text"], c["toxic"], strict=True):
-                docs_seen[int(toxic)] += 1
-                for s in terms(text, slots).tolist():
-                    total[s] = total.get(s, 0) + 1
-                    if toxic:
-                        bad[s] = bad.get(s, 0) + 1
-        yield {"slot": [*total, -1], "n": [*total.values(), sum(docs_seen)], "bad": [*(bad.get(s, 0) for s in total), docs_seen[1]]}
-
-    tallies = map_rows(texts, frequencies, "slot long, n long, bad long").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    docs_n, docs_bad = tallies.filter("slot = -1").select("n", "bad").first() or (0, 0)
+    def tallies(machine: FactorizationMachine | None) -> DataFrame:
+        """slot, n, bad, due: documents and toxic documents that hold it, and how many toxic ones the machine expects, among
+        those that it calls clean; slot -1: all."""
+
+        def run(slices):
+            slots = Slots()
+            own = None if machine is None else Slots(machine.slots)
+            total: dict[int, list] = {-1: [0, 0, 0.0]}
+            for c in slices:
+                for text, toxic in zip(c["text"], c["toxic"], strict=True):
+                    due = 0.0
+                    if machine is not None:
+                        x = terms(text, own)
+                        if machine.score(x) >= 0:
+                            continue
+                        due = machine.chance(x)
+                    for s in [-1, *terms(text, slots).tolist()]:
+                        t = total.setdefault(s, [0, 0, 0.0])
+                        t[0] += 1
+                        t[1] += int(toxic)
+                        t[2] += due
+            yield {"slot": [*total], **{k: [t[i] for t in total.values()] for i, k in enumerate(("n", "bad", "due"))}}
+
+        got = map_rows(texts, run, "slot long, n long, bad long, due double").groupBy("slot")
+        return got.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("due").cast("decimal(30,12)")).cast("double").alias("due"))
+
+    def strongest(found: DataFrame, by: str, most: int) -> np.ndarray:
+        return found.orderBy(F.desc(by), "slot").limit(most).select("slot").toArrow()["slot"].to_numpy()
+
+    def fitted(chosen: np.ndarray) -> FactorizationMachine:
+        def features(slices):
+            slots = Slots(chosen)
+            for c in slices:
+                yield {"toxic": c["toxic"], "x": [np.sort(terms(t, slots)).astype(np.int32) for t in c["text"]]}
+
+        got = map_rows(texts, features, "toxic double, x array<int>").toArrow().to_pydict()
+        pairs = sorted(zip(got["toxic"], got["x"], strict=True))  # the order does not depend on the partitions
+        return fit_machine(chosen, [np.array(x, np.int64) for _, x in pairs], np.array([t for t, _ in pairs]))
+
+    terms_of = written(tallies(None), "toxic-terms")
+    docs_n, docs_bad = terms_of.filter("slot = -1").select("n", "bad").first() or (0, 0)
     if not docs_n:
         return FactorizationMachine(np.empty(0, np.int64), 0.0, np.zeros(0), np.zeros((0, FACTORS)))
     share_bad = docs_bad / docs_n
     # z of the share of toxic documents among those that hold the term
     z = F.abs(F.col("bad") - F.col("n") * share_bad) / F.sqrt(F.col("n") * max(share_bad * (1 - share_bad), 1e-9))
-    strong = tallies.filter((F.col("slot") >= 0) & (F.col("n") >= LEAST_DOCS)).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
-    chosen = strong.orderBy(F.desc("z"), "slot").limit(MOST_SLOTS).select("slot").toArrow()["slot"].to_numpy()
-
-    def features(slices):
-        slots = Slots(chosen)
-        for c in slices:
-            yield {"toxic": c["toxic"], "x": [np.sort(terms(t, slots)).astype(np.int32) for t in c["text"]]}
-
-    got = map_rows(texts, features, "toxic double, x array<int>").toArrow().to_pydict()
-    pairs = sorted(zip(got["toxic"], got["x"], strict=True))  # the order does not depend on the partitions
-    return fit_machine(chosen, [np.array(x, np.int64) for _, x in pairs], np.array([t for t, _ in pairs]))
+    strong = terms_of.filter((F.col("slot") >= 0) & (F.col("n") >= LEAST_DOCS)).withColumn("z", z).filter(F.col("z") >= LEAST_Z)
+    machine = fitted(strongest(strong, "z", MOST_SLOTS))
+    for _ in range(ROUNDS):
+        excess = F.col("bad") - F.col("due")
+        evidence = F.col("bad") * F.log(F.col("bad") / F.greatest("due", F.lit(1e-6))) - excess
+        missed = tallies(machine).filter((F.col("slot") >= 0) & (excess >= LEAST_EXCESS)).withColumn("evidence", evidence).filter(F.col("evidence") >= LEAST_EVIDENCE)
+        more = np.setdiff1d(strongest(missed, "evidence", MOST_SLOTS), machine.slots)[: MOST_SLOTS - len(machine.slots)]
+        if not len(more):
+            break
+        machine = fitted(np.concatenate([machine.slots, more]))
+    return machine
 
 
 def score_toxicity(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:

@@ -1,9 +1,11 @@
 import math
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from folio.llm import langid, lm_score, toxicity
@@ -119,6 +121,47 @@ def test_machine_learns_a_pair_that_no_sum_can_tell():
     assert all((fm.score(x) > 0) == bool(y) for x, y in zip(rows, labels, strict=True))
 
 
+def neutral_pair_rows():
+    """12,000 documents: 10 % hold a marker and are toxic; two terms in a tenth of all, each toxic as often as the rest; 30 with both."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(12_000):
+        words = [f"w{x}" for x in rng.integers(0, 2000, 20)]
+        bad = rng.random() < 0.1
+        pair = i % 400 == 3
+        if bad and not pair:
+            words.append("marker")
+        if pair:
+            words += ["mention", "insult"]
+        elif rng.random() < 0.2:
+            words.append("mention" if rng.random() < 0.5 else "insult")
+        rows.append((i, " ".join(rng.permutation(words)), int(bad or pair), pair))
+    return rows
+
+
+def test_fit_finds_a_pair_of_neutral_terms(spark):
+    rows = neutral_pair_rows()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, toxicity.fit(docs, labels)).collect()}
+    held = [r for r in rows if crc(r[0], 5) == 0]
+    assert sum(r[3] for r in held) >= 3
+    assert all(got[r[0]] == 1 for r in held if r[2])
+    assert not any(got[r[0]] for r in held if not r[2])
+
+
+def test_score_is_the_sum_over_slots_and_pairs(spark):
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    machine = toxicity.fit(docs, labels)
+    place = {int(s): i for i, s in enumerate(machine.slots)}
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, machine).collect()}
+    for d in docs.limit(300).collect():
+        held = {xxhash.xxh64_intdigest(w.encode()) >> (64 - toxicity.TERM_BITS) for w in re.findall(r"\w+", (d["text"] or "").lower())}
+        x = [place[s] for s in held if s in place]
+        logit = machine.w0 + sum(machine.w[i] for i in x) + sum(machine.v[i] @ machine.v[j] for k, i in enumerate(x) for j in x[:k])
+        assert abs(got[d["doc_id"]] - 1 / (1 + math.exp(-logit))) < 1e-9
+
+
 def test_toxicity_edges(spark):
     docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
     extra = spark.createDataFrame([(None, 1, 1), (5, 1, None), (7, 0, 1)], "doc_id long, quality int, toxic int")
