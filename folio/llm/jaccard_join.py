@@ -15,7 +15,8 @@ and a block passes on a spanning forest of its links and each text's number of
 links, not the links.
 
 Texts that share a template meet in the tries without being alike.  A component
-of more than one block is therefore taken apart before any pair is compared: of
+of more than one block whose texts mostly have trie nodes of their own is therefore
+taken apart before any pair is compared (taken apart or not, the links are the same): of
 two sets with a Jaccard similarity of at least t, put into one order, the first
 |x| - ceil(t |x|) + 1 members of each have one in common; the order is rarest first,
 so the members of a template come last.  Only texts that share such a member stay
@@ -40,6 +41,7 @@ LEVEL_BYTES = 2  # of a minimum hash kept in a label
 BLOCK_TEXTS = 256
 BLOCK_SHINGLES = 1_000_000
 SALTS = 16  # a key's texts are linked in this many parts
+LOOSE = 0.75  # share of different trie nodes from which a large component is taken apart first (texts at 0.8 share 0.4 with one of them); a matter of cost alone
 COUNTER_BITS = 20  # hashed counters of shingles that tell their order: one byte each is broadcast
 
 _MULTIPLIERS = odd_multipliers(TREES * LEVELS, 10)
@@ -228,6 +230,15 @@ def _in_parts(sized: DataFrame) -> DataFrame:
     return counted.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
 
 
+def _loose(members: DataFrame, trie: DataFrame) -> DataFrame:
+    """The clusters whose texts mostly have trie nodes of their own, so that they are hardly copies of each other."""
+    few = members.select("node", "cluster").distinct()
+    n = few.count()
+    keys = trie.join(F.broadcast(few) if n <= BROADCAST_ROWS // 4 else few, "node")
+    share = F.approx_count_distinct("key") / F.count("*")
+    return keys.groupBy("cluster").agg(share.alias("share")).filter(F.col("share") > LOOSE).select("cluster")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: float = TARGET_RECALL) -> DataFrame:
     """doc_id, class_id, n_links, n_copies: one row per document row.
 
@@ -250,10 +261,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, target: flo
     facts = nodes.select("node", "n", "copies", F.coalesce("first_doc", F.lit(-(2**63))).alias("first_doc"), "key")
     sized = written(clusters.select("node", F.col("component").alias("cluster")).join(facts, "node"), "clusters")
     members = _in_parts(sized)
-    large = written(members.filter("parts > 1").drop("part", "parts"), "large-clusters")
-    if not large.isEmpty():
-        apart = taken_apart(docs, large, similarity)
-        members = members.filter("parts = 1").unionByName(_in_parts(written(large.drop("cluster").join(apart, "node"), "clusters-apart")))
+    loose = written(_loose(members.filter("parts > 1"), trie), "loose-clusters")
+    if not loose.isEmpty():
+        inside = members.join(loose, "cluster", "left_semi").drop("part", "parts")
+        inside = written(inside, "loose-members")
+        apart = taken_apart(docs, inside, similarity)
+        members = members.join(loose, "cluster", "left_anti").unionByName(_in_parts(written(inside.drop("cluster").join(apart, "node"), "clusters-apart")))
     links = written(_verified(docs, members, similarity), "links")
     classes = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
     degree = links.groupBy("node").agg(F.sum("links").alias("links"))
