@@ -40,6 +40,8 @@ def page_count(pages: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def pages_without_tables(pages: DataFrame, cells: DataFrame, keys=PAGE_KEYS) -> DataFrame:
-    """Pages with no table at all (anti-join on the page key)."""
+    """Pages with no table at all (anti-join on the page key).
+
+    Cells are met as their pages, and never broadcast: equal keys are small on disk, and large in a driver's hash table."""
     k = list(keys)
-    return pages.select(*k).join(cells.select(*k), k, "left_anti")
+    return pages.select(*k).join(cells.select(*k).distinct().hint("merge"), k, "left_anti")
