@@ -67,7 +67,9 @@ class PairIndexBpe:
         # code points that Python's Unicode tables may not know yet: the library itself cuts such texts
         self.newer = regex.compile("[\u0558-\U0010ffff]").search
         self.library_split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(split["pattern"]["Regex"]), "removed", invert=True).pre_tokenize_str
-        self.library_norm = tokenizers.Tokenizer.from_str(json.dumps(spec)).normalizer.normalize_str
+        # the normaliser alone: the library's own vocabulary and merges would be held beside ours
+        bare = {**spec, "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        self.library_norm = tokenizers.Tokenizer.from_str(json.dumps(bare)).normalizer.normalize_str
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
         self.memory: dict[str, tuple[int, str, str]] = {}
 

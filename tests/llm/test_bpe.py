@@ -61,3 +61,28 @@ def test_round_trip_of_ids(spark, library):
     assert ids == {1: library.encode("Hello, World's <|endoftext|> 12", add_special_tokens=False).ids, 2: []}
     back = {r["doc_id"]: r["text"] for r in bpe.decode_ids(bpe.encode_ids(df)).collect()}
     assert back == {1: library.decode(ids[1], skip_special_tokens=False), 2: ""}
+
+
+def test_worker_holds_one_vocabulary(monkeypatch):
+    """The library's tokenizer is made for its normaliser alone, and what an operator held goes back before the next is built."""
+    import json
+
+    import tokenizers
+
+    from folio.llm import bpe, common
+
+    read = []
+    make = tokenizers.Tokenizer.from_str
+    monkeypatch.setattr(bpe.tokenizers, "Tokenizer", type("T", (), {"from_str": staticmethod(lambda s: read.append(len(s)) or make(s))}))
+    with open(bpe.tokenizer_path(), encoding="utf-8") as f:
+        spec = f.read()
+    mine = bpe.PairIndexBpe(json.loads(spec))
+    assert max(read) < 100_000 < len(spec)
+    whole = make(spec).normalizer.normalize_str
+    for text in ("ÀB́ Σς ΑΣ ß İ ﬁ", "<|endoftext|> A", "ẞ\U0001e921 x"):
+        assert mine.library_norm(text) == whole(text)
+    freed = []
+    monkeypatch.setattr(common, "_resident", {"a": 1})
+    monkeypatch.setattr(common, "_give_back", lambda: freed.append(dict(common._resident)))
+    assert common.resident("b", lambda: 2) == 2 and common.resident("b", lambda: 3) == 2
+    assert freed == [{}]
