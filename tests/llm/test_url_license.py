@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations", "benchmark", "embeddings"):
         con.sql(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[key](spark, SF)
     exp = con.sql(ORACLE_SQL[key])
