@@ -3,7 +3,9 @@
 `functions.text.drop_boilerplate` puts a few sentences into one pattern.  Here
 they are a table: the first words of each (WINDOW of them, or all of a shorter
 one) are its fingerprint, the pages give one for each window of words at
-each position, and the two are equi-joined.  Candidates are verified word by word;
+each position, and the two are equi-joined.  Where the table is too large for a
+broadcast, its bare fingerprints are broadcast first, so that only windows that meet one are
+shuffled.  Candidates are verified word by word;
 of overlapping hits the leftmost stays, and of those at one word the sentence first in the
 table, as an alternation of patterns would do.  All of it is built-in functions.
 
@@ -16,8 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.session import stored
+
 WINDOW = 4
 BROADCAST_SENTENCES = 100_000  # a larger table is joined by shuffle
+BROADCAST_MARKS = 4_000_000  # of which up to so many fingerprints (a number each) are broadcast
 SALTS = 16  # parts of a sentence in that shuffle: a window may be on every page
 PAGE_KEYS = ("doc_id", "page")
 
@@ -50,16 +55,19 @@ def _candidates(pages: DataFrame, sentences: DataFrame, text: str) -> DataFrame:
     """_page, hits: the positions where a sentence's fingerprint is met, sorted by position and sentence."""
     s = sentences.where(F.col("sentence").isNotNull()).select("sentence_no", words(F.col("sentence")).alias("_words")).where(F.size("_words") > 0)
     s = s.withColumn("_width", F.least(F.size("_words"), F.lit(WINDOW)))
-    s = s.withColumn("_mark", F.xxhash64(F.array_join(F.slice("_words", 1, F.col("_width")), " ")))
+    s = stored(s.withColumn("_mark", F.xxhash64(F.array_join(F.slice("_words", 1, F.col("_width")), " "))), "sentences")
     counted = {r[0]: r[1] for r in s.groupBy("_width").count().collect()}  # WINDOW rows at most
     none = F.array().cast("array<struct<pos:int,_width:int,_mark:bigint>>")
     marks = F.flatten(F.array(none, *[_marks(F.col("_w"), k) for k in sorted(counted)]))
     # the words are a column of their own: made once, not for each position
     met = pages.select("_page", words(F.col(text)).alias("_w")).select("_page", F.explode(marks).alias("m")).select("_page", "m.*")
-    if sum(counted.values()) <= BROADCAST_SENTENCES:
+    n = sum(counted.values())
+    if n <= BROADCAST_SENTENCES:
         hits = met.join(F.broadcast(s), ["_width", "_mark"])
     else:
         salted = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        if n <= BROADCAST_MARKS:
+            met = met.join(F.broadcast(s.select("_mark").distinct()), "_mark", "left_semi")
         hits = met.withColumn("_salt", F.pmod(F.xxhash64("_page", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["_width", "_mark", "_salt"])
     # what one page holds: at most its words times the sentences of one fingerprint
     return hits.groupBy("_page").agg(F.sort_array(F.collect_set(F.struct("pos", "sentence_no", "_words"))).alias("_hits"))

@@ -16,7 +16,7 @@ from folio.operators import sentences as S
 from folio.operators import trigram_index as X
 from folio.operators.numbering import ordinal
 from folio.plans.registry import query
-from folio.session import scratch_path
+from folio.session import scratch_path, stored
 from folio.sources import title_index as TI
 from folio.sources import fixtures as fx
 
@@ -136,9 +136,9 @@ left join (select doc_id, page, count(*) as n from taken group by doc_id, page)
 def q_drop_sentences(spark, d):
     """T4 for a table of sentences: the lines that two documents or more share, of at least two words."""
     lines = fx.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("txt"))
-    shared = lines.groupBy(F.array_join(S.words(F.col("txt")), " ").alias("sentence")).agg(F.count_distinct("doc_id").alias("n"))
-    shared = shared.where((F.col("n") >= 2) & F.contains("sentence", F.lit(" "))).select("sentence")
-    numbered = ordinal(shared, [], ["sentence"], name="sentence_no", base=1)
+    shared = lines.groupBy(F.array_join(S.words(F.col("txt")), " ").alias("sentence")).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    shared = shared.where((F.col("a") < F.col("b")) & F.contains("sentence", F.lit(" "))).select("sentence")
+    numbered = ordinal(stored(shared, "shared-lines"), [], ["sentence"], name="sentence_no", base=1)
     out = S.drop_sentences(fx.pages(spark, d).select("doc_id", "page", "page_text"), numbered)
     return out.select("doc_id", "page", F.col("page_text").alias("text"), F.size("dropped").cast("long").alias("n_dropped"))
 
