@@ -141,9 +141,9 @@ def assign_lines(words: DataFrame, y_tol: float = 3, keys=PAGE_KEYS) -> DataFram
 
 def page_lines(words: DataFrame, y_tol: float = 3, keys=PAGE_KEYS, by=None) -> DataFrame:
     """E5: text lines — words of a line ordered by x0, joined with ' '.  ``by`` (some of ``keys``): what the words are
-    partitioned by, for callers that go on with coarser groups."""
+    partitioned by, for callers that go on with coarser groups; words that come partitioned by some of ``keys`` stay where they are."""
     k = list(keys)
-    lw = assign_lines(words.repartition(*(by or k)), y_tol, keys)
+    lw = assign_lines(words.repartition(*by) if by else words, y_tol, keys)
     g = lw.groupBy(*k, "line_no").agg(F.sort_array(F.collect_list(F.struct("x0", "word_no", "word"))).alias("_ws"))
     return g.select(*k, "line_no", F.array_join(F.transform("_ws", lambda x: x["word"]), " ").alias("line"))
 
@@ -241,7 +241,9 @@ def _clusters(df: DataFrame, part_cols: list[str], value: str, tol: float) -> Da
 def edges_from_words(words: DataFrame, x_tol: float = 3, y_tol: float = 3, min_words_vertical: int = 3, min_words_horizontal: int = 1, keys=PAGE_KEYS) -> DataFrame:
     """H7 ('text' strategy): vertical rules where at least ``min_words_vertical`` words
     align on x0, x1 or their centre; horizontal rules on the tops shared by at
-    least ``min_words_horizontal`` words."""
+    least ``min_words_horizontal`` words.
+
+    Words of one place are counted before the places are sorted."""
     k = list(keys)
     anchors = F.explode(
         F.array(
@@ -251,17 +253,19 @@ def edges_from_words(words: DataFrame, x_tol: float = 3, y_tol: float = 3, min_w
         )
     )
     a = words.select(*k, "top", "bottom", anchors.alias("_a")).select(*k, "top", "bottom", "_a.anchor", "_a.v")
-    vc = _clusters(a.repartition(*k), [*k, "anchor"], "v", x_tol)
+    a = a.groupBy(*k, "anchor", "v").agg(F.count(F.lit(1)).alias("n"), F.min("top").alias("lo"), F.max("bottom").alias("hi"))
+    vc = _clusters(a, [*k, "anchor"], "v", x_tol)
     vert = (
         vc.groupBy(*k, "anchor", "cluster")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pos"), F.min("top").alias("lo"), F.max("bottom").alias("hi"))
+        .agg(F.sum("n").alias("n"), F.min("v").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .where(F.col("n") >= min_words_vertical)
         .select(*k, F.lit("v").alias("orient"), "anchor", "pos", "lo", "hi")
     )
-    hc = _clusters(words.select(*k, "top", "x0", "x1"), k, "top", y_tol)
+    tops = words.groupBy(*k, "top").agg(F.count(F.lit(1)).alias("n"), F.min("x0").alias("lo"), F.max("x1").alias("hi"))
+    hc = _clusters(tops, k, "top", y_tol)
     hor = (
         hc.groupBy(*k, "cluster")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("top").alias("pos"), F.min("x0").alias("lo"), F.max("x1").alias("hi"))
+        .agg(F.sum("n").alias("n"), F.min("top").alias("pos"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .where(F.col("n") >= min_words_horizontal)
         .select(*k, F.lit("h").alias("orient"), F.lit("top").alias("anchor"), "pos", "lo", "hi")
     )
