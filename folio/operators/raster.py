@@ -12,7 +12,8 @@ over blocks, so its work does not grow with the radius.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -175,6 +176,7 @@ def adaptive_threshold(pixels: DataFrame, block: int = 11, c: int = 30, maxval:
 
 
 LEAST = -(1 << 62)  # below every value: what lies outside an image
+HELD_CELLS = 1 << 22  # pixels of blocks that are worked on together, one block at least
 
 
 def moving_max(m: np.ndarray, r: int) -> np.ndarray:
@@ -189,25 +191,46 @@ def moving_max(m: np.ndarray, r: int) -> np.ndarray:
     return np.maximum(behind[..., :n], ahead[..., 2 * r : 2 * r + n])
 
 
+def _block_maxima(batches, r: int):
+    """The lines of blocks (image, block, _h, lines: list of (y, line)) -> their running maxima, as (image, y, part).
+
+    Blocks of one width are worked on together, as [block, line, x]."""
+    k = 2 * r + 1
+    for b in batches:
+        lists = b.column("lines")
+        group = np.repeat(np.arange(b.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        y, line = pc.struct_field(lists.flatten(), "y").to_numpy(), pc.struct_field(lists.flatten(), "line")
+        width = pc.list_value_length(line).to_numpy(zero_copy_only=False)
+        flat, ends = line.flatten().to_numpy(zero_copy_only=True), np.cumsum(width)
+        wide = np.zeros(b.num_rows, np.int64)
+        wide[group] = width
+        if (wide[group] != width).any():
+            raise ValueError("the lines of an image differ in length")
+        at, height = b.column("_block").to_numpy() * k, b.column("_h").to_numpy()
+        for w in np.unique(wide):
+            alike = np.flatnonzero(wide == w)
+            step = max(1, HELD_CELLS // (k * max(1, int(w))))
+            for some in (alike[i : i + step] for i in range(0, len(alike), step)):
+                mine = np.flatnonzero((group >= some[0]) & (group <= some[-1]) & (wide[group] == w))
+                place = np.searchsorted(some, group[mine])
+                m = np.full((len(some), k, w), LEAST, np.int64)
+                m[place, y[mine] - at[group[mine]]] = moving_max(flat[(ends[mine] - w)[:, None] + np.arange(w)], r)
+                ahead, behind = np.maximum.accumulate(m, 1), np.maximum.accumulate(m[:, ::-1], 1)[:, ::-1]
+                target = at[some][:, None] + np.concatenate([np.arange(k) - r, np.arange(k) + r])
+                inside = (target >= 0) & (target < height[some][:, None])
+                out = np.concatenate([ahead, behind], 1)[inside]
+                part = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * np.int32(w)), pa.array(out.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column(IMG).take(pa.array(some[np.nonzero(inside)[0]])), pa.array(target[inside]), part], names=[IMG, "y", "part"])
+
+
 def _dilated(lines: DataFrame, size: int, iterations: int) -> DataFrame:
     """Moving maximum of scan lines, along the line and then over lines, whose work does not grow with the radius: a line goes
     once to its block of 2r + 1 lines, and from there as two running maxima to the two lines that end a span with it."""
     r = (size // 2) * iterations
-    k = 2 * r + 1
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        image, height, at = pdf[IMG].iloc[0], int(pdf["_h"].iloc[0]), int(pdf["_block"].iloc[0]) * k
-        wide = moving_max(np.stack([np.asarray(v, np.int64) for v in pdf["line"]]), r)
-        m = np.full((k, wide.shape[1]), LEAST, np.int64)
-        m[pdf["y"].to_numpy() - at] = wide
-        ahead, behind = np.maximum.accumulate(m, 0), np.maximum.accumulate(m[::-1], 0)[::-1]
-        out = [(at + j - r, ahead[j]) for j in range(k)] + [(at + j + r, behind[j]) for j in range(k)]
-        out = [(y, v) for y, v in out if 0 <= y < height]
-        return pd.DataFrame({IMG: image, "y": [y for y, _ in out], "part": [v for _, v in out]})
-
     kind = lines.schema[IMG].dataType.simpleString()
-    blocks = lines.select(IMG, F.col("y").cast("long").alias("y"), "line", "_h", F.floor(F.col("y") / k).alias("_block"))
-    parts = blocks.groupBy(IMG, "_block").applyInPandas(block, f"{IMG} {kind}, y long, part array<bigint>")
+    one = F.struct(F.col("y").cast("long").alias("y"), "line")
+    blocks = lines.groupBy(IMG, F.floor(F.col("y") / (2 * r + 1)).alias("_block")).agg(F.max(F.col("_h").cast("long")).alias("_h"), F.collect_list(one).alias("lines"))
+    parts = blocks.mapInArrow(lambda batches: _block_maxima(batches, r), f"{IMG} {kind}, y long, part array<bigint>")
     both = parts.groupBy(IMG, "y").agg(F.collect_list("part").alias("p"))  # two, at the image's ends one
     line = F.when(F.size("p") == 1, F.col("p")[0]).otherwise(F.zip_with(F.col("p")[0], F.col("p")[1], lambda a, b: F.greatest(a, b)))
     return both.select(IMG, F.col("y").cast("int").alias("y"), line.alias("line"))
