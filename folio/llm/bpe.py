@@ -71,7 +71,8 @@ class PairIndexBpe:
         bare = {**spec, "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}}
         self.library_norm = tokenizers.Tokenizer.from_str(json.dumps(bare)).normalizer.normalize_str
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split
-        self.memory: dict[str, tuple[int, str, str]] = {}
+        self.written = {str(i): t for i, t in self.tokens.items()}.__getitem__
+        self.memory: dict[str, str] = {}  # word -> its ids as text, and no more: an executor holds several workers' memories
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, all words together through the pair occurrence index."""
@@ -165,15 +166,15 @@ class PairIndexBpe:
             new = list(words)
         plain = [w for w in new if w not in self.special]
         for w, ids in zip(plain, self.encode_words(plain), strict=True):
-            self.memory[w] = (len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]))
+            self.memory[w] = " ".join(map(str, ids))
         for w in new:
             if w in self.special:
-                self.memory[w] = (1, str(self.special[w]), w)
+                self.memory[w] = str(self.special[w])
 
     def encode(self, text: str | None) -> list[int]:
         words = self.pre_tokens(text)
         self.learn(set(words))
-        return [int(i) for w in words for i in self.memory[w][1].split(" ")]
+        return [int(i) for w in words for i in self.memory[w].split(" ")]
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder: tokens joined by one space, ids outside the vocabulary left out."""
@@ -185,11 +186,11 @@ def _digests(bpe: PairIndexBpe, texts: list[str | None]):
         split = [bpe.pre_tokens(t) for t in texts[at : at + 64]]
         bpe.learn(set().union(*split))
         for words in split:
-            found = [bpe.memory[w] for w in words]
-            ids = " ".join([f[1] for f in found])
-            decoded = " ".join([f[2] for f in found])
+            ids = " ".join([bpe.memory[w] for w in words])
+            each = ids.split(" ") if ids else []
+            decoded = " ".join(map(bpe.written, each))
             yield (
-                sum([f[0] for f in found]),
+                len(each),
                 hashlib.sha256(ids.encode()).hexdigest(),
                 hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(),
             )
