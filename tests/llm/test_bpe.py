@@ -86,3 +86,10 @@ def test_worker_holds_one_vocabulary(monkeypatch):
     monkeypatch.setattr(common, "_give_back", lambda: freed.append(dict(common._resident)))
     assert common.resident("b", lambda: 2) == 2 and common.resident("b", lambda: 3) == 2
     assert freed == [{}]
+
+
+def test_a_word_is_remembered_as_its_ids_alone(library, small_docs):
+    own = bpe.PairIndexBpe(json.load(open(bpe.tokenizer_path(), encoding="utf-8")))
+    texts = ["Hello, World's <|endoftext|> hello", None, ""] + [d["text"] for d in small_docs[:5]]
+    assert list(bpe._digests(own, texts)) == [digests(library, t) for t in texts]
+    assert own.memory and all(type(ids) is str for ids in own.memory.values())
