@@ -290,7 +290,7 @@ group by doc_id, page, table_no"""
 
 @query("markdown_tables", ("cells",), "select * from md_tables", [("md_rows", ROWS_SQL), ("md_tables", TABLES_SQL)])
 def q_markdown_tables(spark, d):
-    return M.markdown_tables(fx.cells(spark, d))
+    return M.markdown_tables(fx.cells(spark, d), together=True)
 
 
 @query(
@@ -300,7 +300,7 @@ def q_markdown_tables(spark, d):
     [("md_rows", ROWS_SQL), ("md_tables", TABLES_SQL)],
 )
 def q_last_table(spark, d):
-    return M.markdown_tables(fx.cells(spark, d), keep="last")
+    return M.markdown_tables(fx.cells(spark, d), keep="last", together=True)
 
 
 HEADER_SQL = "select doc_id, page, table_no, arg_min(md_row, row_no) as header from md_rows group by doc_id, page, table_no"
@@ -314,7 +314,7 @@ HEADER_SQL = "select doc_id, page, table_no, arg_min(md_row, row_no) as header f
     [("md_rows", ROWS_SQL), ("hdr", HEADER_SQL)],
 )
 def q_header_separator(spark, d):
-    h = M.header_rows(fx.cells(spark, d))
+    h = M.header_rows(fx.cells(spark, d), together=True)
     return h.select("doc_id", "page", "table_no", "header", T.header_separator("header").alias("separator"))
 
 
@@ -325,7 +325,7 @@ def q_header_separator(spark, d):
     [("md_rows", ROWS_SQL), ("hdr", HEADER_SQL)],
 )
 def q_header_separator_v1(spark, d):
-    h = M.header_rows(fx.cells(spark, d))
+    h = M.header_rows(fx.cells(spark, d), together=True)
     return h.select("doc_id", "page", "table_no", "header", T.header_separator("header", repair=False).alias("separator"))
 
 
@@ -371,7 +371,7 @@ ASSEMBLE_CTES = [
 def _assemble(spark, d, style: str, text_col):
     files = fx.files(spark, d).join(fx.doc_lang(spark, d), "doc_id").select("doc_id", "path", "lang")
     texts = fx.pages(spark, d).select("doc_id", "page", text_col.alias("text"))
-    tables = M.markdown_tables(fx.cells(spark, d), keep="last")
+    tables = M.markdown_tables(fx.cells(spark, d), keep="last", together=True)
     out = A.assemble_pages(files, texts, tables, lang=F.col("lang"), style=style)
     return out.drop("lang")
 

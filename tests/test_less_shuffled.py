@@ -6,10 +6,13 @@ import pyarrow as pa
 import pytest
 
 from folio.operators import layout as L
+from folio.operators import markdown as M
 from folio.operators import ocr as O
 from folio.operators import raster as K
 from folio.operators import sentences as S
 from folio.operators import trigram_index as X
+from folio.plans.catalog import REGISTRY
+from folio.plans.stream_queries import decoded_drops
 from folio.sources import fixtures as fx
 from folio.sources import ranges as R
 
@@ -88,3 +91,20 @@ def test_blocks_of_many_images_are_dilated_together(spark, monkeypatch, cells):
     assert "FlatMapGroupsInPandas" not in plan(out)  # no Python call for a block
     near = lambda m, y, x: max(v for r in m[max(0, y - 1) : y + 2] for v in r[max(0, x - 1) : x + 2])
     assert {(r.image_id, r.y, r.x): r.v for r in out.collect()} == {(i, y, x): near(m, y, x) for i, m in images.items() for y, r in enumerate(m) for x in range(len(r))}
+
+
+def test_cells_lie_where_their_page_is(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fx, "LINES_A_PART", 5)
+    d = str(tmp_path)
+    spark.createDataFrame([(i, "text", "en", "web", 4) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
+    lines = [(o, n, o, n, 1.0 * n, "A", "F", 2.0) for o in range(20) for n in range(1, 1 + o % 4)]
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_linestatus string, l_quantity double"
+    spark.createDataFrame(lines, columns).write.parquet(f"{d}/lineitem.parquet")
+    for key in ("markdown_tables", "last_table", "header_separator"):
+        assert exchanges(REGISTRY[key].build(spark, d)) == 2  # the line items by order, the tables by document
+    assert not re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*Generate explode[^\n]*col_no", plan(decoded_drops(spark, d)))
+    cells = fx.cells(spark, d)
+    for keep in ("all", "last", "joined"):
+        lying, dealt = (sorted(map(str, M.markdown_tables(c, keep=keep, together=t).collect())) for c, t in ((cells, True), (cells.repartition(3), False)))
+        assert lying == dealt
+        assert sorted(map(str, M.markdown_tables(cells.repartition(3), keep=keep, together=True).collect())) == dealt  # right also where it is not so
