@@ -23,6 +23,7 @@ from folio.llm.common import map_rows, table
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 256
+SHARDS_A_GROUP = 8  # shards that share one copy of the queries, where there are enough groups for every task
 LEAF = 64
 FACTOR = 1.5
 K = 5
@@ -131,6 +132,12 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).filter(finite & F.exists(v, lambda x: x != 0)).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
+def _compact(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """``usable`` rows with their vectors as single floats, where the table ``of`` holds them so: half as much to shuffle."""
+    single = of.schema["embedding"].dataType.simpleString() == "array<float>"
+    return rows.withColumn("v", F.col("v").cast("array<float>")) if single else rows
+
+
 def _packed(ids: np.ndarray, m: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.savez(out, ids=ids, m=m)
@@ -157,20 +164,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     query's are no candidates.  Ties go to the smaller vec_id.  A repeated vec_id on the candidates' side counts
     once for each row of it; of a repeated query id the least vector is asked.
     With no vectors or no queries there are no rows."""
-    rows = usable(vectors).withColumn("dim", F.size("v"))
+    rows = _compact(usable(vectors), vectors).withColumn("dim", F.size("v"))
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
+    groups = min(shards, max(2 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_A_GROUP)))
     # by row, not by id: an id or a vector may be repeated any number of times
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(SEED)), F.lit(shards))
-    packed = _blocks(rows.withColumn("shard", dealt), "shard")
-    asked = usable(queries).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    packed = _blocks(rows.withColumn("shard", dealt), "shard").withColumn("group", F.col("shard") % groups)
+    asked = _compact(usable(queries), queries).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     query_blocks = (
         _blocks(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(SEED + 1)), F.lit(blocks))), "block")
         .withColumnRenamed("data", "asked")
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+        .withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     )
-    met = query_blocks.join(packed, ["shard", "dim"])
+    met = packed.join(query_blocks.hint("merge"), ["group", "dim"])  # shard by shard: its blocks come one after another
 
     def run(slices):
         tree, of = None, None
@@ -179,9 +187,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
             for shard, dim, data, asked_ in zip(c["shard"], c["dim"], c["data"], c["asked"], strict=True):
                 if of != (shard, dim):
                     z = np.load(io.BytesIO(data))
-                    tree, of = VantagePointTree(z["ids"], z["m"]), (shard, dim)
+                    tree, of = VantagePointTree(z["ids"], z["m"].astype(np.float64)), (shard, dim)
                 z = np.load(io.BytesIO(asked_))
-                ids, scores = tree.search(z["ids"], z["m"], k, factor)
+                ids, scores = tree.search(z["ids"], z["m"].astype(np.float64), k, factor)
                 hit = ids >= 0 if (z["ids"] >= 0).all() else np.isfinite(scores)
                 out["query_id"] += np.broadcast_to(z["ids"][:, None], ids.shape)[hit].tolist()
                 out["vec_id"] += ids[hit].tolist()

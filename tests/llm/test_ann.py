@@ -50,6 +50,25 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert got[0][0] == (1, got[0][0][1]) and [i for i, _ in got[50]] == [0, 1, 2, 3, 4]
 
 
+def test_the_copies_of_the_queries_are_not_broadcast(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = ann.nearest(df, df.filter("vec_id % 50 = 0"), factor=1.0, shard_rows=20)
+    got = rows_of(out)
+    want = brute([r[0] for r in rows], [[float(np.float32(x)) for x in r[1]] for r in rows], range(0, 600, 50))
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_doubles_keep_their_precision(spark):
+    rows = [(0, [1.0, 1e-9]), (1, [1.0, 2e-9]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = rows_of(ann.nearest(df, df.filter("vec_id = 2"), factor=1.0))
+    assert [i for i, _ in got[2]] == [1, 0]
+
+
 def test_few_or_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     twice = spark.createDataFrame([(0, [0.0, 2.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0])], schema)
