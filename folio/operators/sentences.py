@@ -5,7 +5,8 @@ they are a table: the first words of each (WINDOW of them, or all of a shorter
 one) are its fingerprint, the pages give one for each window of words at
 each position, and the two are equi-joined.  Where the table is too large for a
 broadcast, its bare fingerprints are broadcast first, so that only windows that meet one are
-shuffled.  Candidates are verified word by word;
+shuffled.  What meets the pages is numbers: a sentence's words stay where they are, and a candidate is
+verified on its page by the SHA-256 of as many words;
 of overlapping hits the leftmost stays, and of those at one word the sentence first in the
 table, as an alternation of patterns would do.  All of it is built-in functions.
 
@@ -51,11 +52,17 @@ def _identified(pages: DataFrame, keys, text: str) -> DataFrame:
     return pages.withColumn("_page", F.struct(*[F.col(k) for k in keys], F.xxhash64(text).alias("_hash")))
 
 
+def _digest(w: Column) -> Column:
+    """Of words, which hold no blanks: different words, different digests."""
+    return F.unhex(F.sha2(F.array_join(w, " "), 256))
+
+
 def _candidates(pages: DataFrame, sentences: DataFrame, text: str) -> DataFrame:
     """_page, hits: the positions where a sentence's fingerprint is met, sorted by position and sentence."""
     s = sentences.where(F.col("sentence").isNotNull()).select("sentence_no", words(F.col("sentence")).alias("_words")).where(F.size("_words") > 0)
     s = s.withColumn("_width", F.least(F.size("_words"), F.lit(WINDOW)))
-    s = stored(s.withColumn("_mark", F.xxhash64(F.array_join(F.slice("_words", 1, F.col("_width")), " "))), "sentences")
+    mark = F.xxhash64(F.array_join(F.slice("_words", 1, F.col("_width")), " "))
+    s = stored(s.select("sentence_no", "_width", mark.alias("_mark"), F.size("_words").alias("_n"), _digest(F.col("_words")).alias("_digest")), "sentences")
     counted = {r[0]: r[1] for r in s.groupBy("_width").count().collect()}  # WINDOW rows at most
     none = F.array().cast("array<struct<pos:int,_width:int,_mark:bigint>>")
     marks = F.flatten(F.array(none, *[_marks(F.col("_w"), k) for k in sorted(counted)]))
@@ -70,16 +77,16 @@ def _candidates(pages: DataFrame, sentences: DataFrame, text: str) -> DataFrame:
             met = met.join(F.broadcast(s.select("_mark").distinct()), "_mark", "left_semi")
         hits = met.withColumn("_salt", F.pmod(F.xxhash64("_page", "pos"), F.lit(SALTS)).cast("int")).join(salted, ["_width", "_mark", "_salt"])
     # what one page holds: at most its words times the sentences of one fingerprint
-    return hits.groupBy("_page").agg(F.sort_array(F.collect_set(F.struct("pos", "sentence_no", "_words"))).alias("_hits"))
+    return hits.groupBy("_page").agg(F.sort_array(F.collect_set(F.struct("pos", "sentence_no", "_n", "_digest"))).alias("_hits"))
 
 
 def _resolved(w: Column, hits: Column) -> Column:
     """Verified hits that don't overlap, left to right: array of (pos, sentence_no, n_words)."""
-    true = F.filter(hits, lambda h: F.slice(w, h["pos"] + 1, F.size(h["_words"])) == h["_words"])
-    span = lambda h: F.struct(h["pos"].alias("pos"), h["sentence_no"].cast("long").alias("sentence_no"), F.size(h["_words"]).alias("n_words"))
+    true = F.filter(hits, lambda h: _digest(F.slice(w, h["pos"] + 1, h["_n"])) == h["_digest"])
+    span = lambda h: F.struct(h["pos"].alias("pos"), h["sentence_no"].cast("long").alias("sentence_no"), h["_n"].alias("n_words"))
     none = F.array().cast("array<struct<pos:int,sentence_no:bigint,n_words:int>>")
     start = F.struct(F.lit(0).alias("end"), none.alias("spans"))
-    take = lambda a, h: F.struct((h["pos"] + F.size(h["_words"])).alias("end"), F.concat(a["spans"], F.array(span(h))).alias("spans"))
+    take = lambda a, h: F.struct((h["pos"] + h["_n"]).alias("end"), F.concat(a["spans"], F.array(span(h))).alias("spans"))
     return F.aggregate(true, start, lambda a, h: F.when(h["pos"] >= a["end"], take(a, h)).otherwise(a), lambda a: a["spans"])
 
 

@@ -136,8 +136,14 @@ left join (select doc_id, page, count(*) as n from taken group by doc_id, page)
 def q_drop_sentences(spark, d):
     """T4 for a table of sentences: the lines that two documents or more share, of at least two words."""
     lines = fx.table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("txt"))
-    shared = lines.groupBy(F.array_join(S.words(F.col("txt")), " ").alias("sentence")).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    shared = shared.where((F.col("a") < F.col("b")) & F.contains("sentence", F.lit(" "))).select("sentence")
+    lines = lines.select("doc_id", F.array_join(S.words(F.col("txt")), " ").alias("sentence")).where(F.contains("sentence", F.lit(" ")))
+    lines = lines.withColumn("_mark", F.xxhash64("sentence"))
+    two = F.col("a") < F.col("b")
+    both = lambda by: lines.groupBy(by).agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where(two)
+    # numbers first: of the text, only lines that can be shared are shuffled
+    marks = stored(both("_mark").select("_mark"), "shared-marks")
+    lines = lines.join(F.broadcast(marks) if marks.count() <= S.BROADCAST_MARKS else marks, "_mark", "left_semi")
+    shared = both("sentence").select("sentence")
     numbered = ordinal(stored(shared, "shared-lines"), [], ["sentence"], name="sentence_no", base=1)
     out = S.drop_sentences(fx.pages(spark, d).select("doc_id", "page", "page_text"), numbered)
     return out.select("doc_id", "page", F.col("page_text").alias("text"), F.size("dropped").cast("long").alias("n_dropped"))
