@@ -26,7 +26,8 @@ def _corpus_ctes(ctes: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 def _corpus(spark, d, crop: bool):
-    return A.build_corpus_from_layout(fx.files(spark, d), fx.pages(spark, d), _all_words(spark, d), fx.edges(spark, d), fx.ocr_lines(spark, d), crop=crop)
+    n = fx.parts(spark, d)
+    return A.build_corpus_from_layout(fx.files(spark, d), fx.pages(spark, d), _all_words(spark, d, n), fx.edges(spark, d, n), fx.ocr_lines(spark, d), crop=crop)
 
 
 @query("build_corpus_from_layout", FIXTURES, "select * from corpus", _corpus_ctes(EXTRACT_CTES), recursive=True)
@@ -68,7 +69,8 @@ union all select * from ({whole}) y where doc_id not in (select doc_id from fits
 @query("layout_pages", ("files", "pages", "words", "grid_words", "edges"), LAYOUT_SQL, _layout_ctes(), recursive=True)
 def q_layout_pages(spark, d):
     """The older converter: words and tables cropped, documents that the box does not fit uncropped."""
-    return A.layout_pages(fx.files(spark, d), fx.pages(spark, d), _all_words(spark, d), fx.edges(spark, d))
+    n = fx.parts(spark, d)
+    return A.layout_pages(fx.files(spark, d), fx.pages(spark, d), _all_words(spark, d, n), fx.edges(spark, d, n))
 
 
 @query("read_docs", ("files", "pages", "ocr_lines", "cells"), "select * from corpus", CORPUS_CTES)

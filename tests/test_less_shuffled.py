@@ -108,3 +108,45 @@ def test_cells_lie_where_their_page_is(spark, tmp_path, monkeypatch):
         lying, dealt = (sorted(map(str, M.markdown_tables(c, keep=keep, together=t).collect())) for c, t in ((cells, True), (cells.repartition(3), False)))
         assert lying == dealt
         assert sorted(map(str, M.markdown_tables(cells.repartition(3), keep=keep, together=True).collect())) == dealt  # right also where it is not so
+
+
+def test_the_words_of_a_sentence_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(S, "BROADCAST_SENTENCES", 0)
+    pages = spark.createDataFrame([(1, 0, "a b c d e f"), (1, 1, "a b c d e g"), (2, 0, None)], "doc_id long, page int, page_text string")
+    out = S.drop_sentences(pages, spark.createDataFrame([(1, "a b  c d e f"), (2, "b c"), (3, None)], "sentence_no long, sentence string"))
+    assert not re.search(r"(?<!n)_words#", plan(out))
+    got = {(r.doc_id, r.page): (r.page_text, [tuple(x) for x in r.dropped]) for r in out.collect()}
+    assert got == {(1, 0): ("", [(0, 1, 6)]), (1, 1): ("a  d e g", [(1, 2, 2)]), (2, 0): (None, [])}
+
+
+def test_lines_are_shuffled_as_numbers_first(spark, tables):
+    from folio.plans import corpus_queries as Q
+
+    seen = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(Q, "stored", lambda df, name: seen.append((name, plan(df))) or df)
+        REGISTRY["drop_sentences"].build(spark, tables)
+    first = dict(seen)["shared-marks"]
+    assert not re.search(r"hashpartitioning\(sentence", first) and "hashpartitioning(_mark" in first
+
+
+def test_words_meet_rules_where_they_lie(spark, tables):
+    li = spark.createDataFrame([(i, 1, 2, 3, 4.0, "A", "F", 5.0) for i in range(20)], LINE_ITEMS)
+    li.write.mode("overwrite").parquet(f"{tables}/lineitem.parquet")
+    # the text, and the line items for the rules and for the words in their cells
+    for key in ("words_in_cells", "extract_tables", "extract_tables_cropped"):
+        assert exchanges(REGISTRY[key].build(spark, tables)) == 3, key
+    assert exchanges(REGISTRY["extract_tables_text"].build(spark, tables)) <= 4
+
+
+LINE_ITEMS = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_returnflag string, l_linestatus string, l_quantity double"
+
+
+def test_text_beside_tables_is_not_joined_to_them_again(spark, tables):
+    at = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(at)
+    spark.conf.set(at, "-1")  # as for tables of some size
+    for key in ("text_around_tables", "text_between_tables"):
+        p = plan(REGISTRY[key].build(spark, tables))
+        assert not re.search(r"hashpartitioning\([^)]*(table_no|band|part|_b#)", p), key
+    spark.conf.set(at, before)
