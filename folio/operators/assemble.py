@@ -20,7 +20,7 @@ from folio.operators.markdown import markdown_tables
 from folio.operators.numbering import ordinal
 from folio.operators.ocr import page_texts
 from folio.operators.pages import empty_pages
-from folio.operators.ruling import GridSettings, crop_edges, extract_tables
+from folio.operators.ruling import GridSettings, crop_edges, table_rows
 from folio.session import checkpoint_dir
 
 PAGE_KEYS = ["doc_id", "page"]
@@ -50,10 +50,13 @@ def assemble_pages(
     * ``v2``: ``title \\n\\n text [\\n\\n table]`` (title without the period)
     * ``levels``: ``text [\\n\\n table]`` with the older metadata names
     """
-    f = with_levels(files, sep)
-    j = texts.join(tables_md.select(*PAGE_KEYS, "md"), PAGE_KEYS, "left").join(f, "doc_id")
+    j = texts.join(tables_md.select(*PAGE_KEYS, "md"), PAGE_KEYS, "left").join(with_levels(files, sep), "doc_id")
+    return _page_documents(j, [c for c in files.columns if c not in ("doc_id", "path")], lang, style)
+
+
+def _page_documents(j: DataFrame, keep: list[str], lang: str | Column, style: str) -> DataFrame:
+    """The documents of pages with their ``text``, ``md`` and the levels of their file."""
     tail = _table_suffix(F.col("md"))
-    keep = [c for c in files.columns if c not in ("doc_id", "path")]
     if style == "levels":
         content = F.concat(F.col("text"), tail)
         return j.select(
@@ -141,8 +144,8 @@ def build_corpus_from_layout(
     f = files.where(has_suffix("path", suffix)).select("doc_id", "path", "listing_no")
     win = _stored(winning_files(f, pages, sep).select("doc_id"))
     keep = lambda df: df.join(win, "doc_id", "left_semi")
-    cells = extract_tables(keep(words), keep(edges), keep(pages), s, crop_box=CROP_BOX if crop else None)
-    tables = markdown_tables(cells, keep="last" if tables_kept == "last" else "joined")
+    rows = table_rows(keep(words), keep(edges), keep(pages), s, crop_box=CROP_BOX if crop else None)
+    tables = markdown_tables(rows, keep="last" if tables_kept == "last" else "joined")
     return _corpus(f, win, pages, ocr_lines, tables, lang, sep)
 
 
@@ -164,9 +167,11 @@ def layout_pages(
     p = pages.join(fits, "doc_id", "left_semi")
     w = crop_words(words.join(fits, "doc_id"), CROP_BOX, flag).drop("_crop")
     e = crop_edges(edges.join(fits, "doc_id"), CROP_BOX, flag).drop("_crop")
-    tables = markdown_tables(extract_tables(w, e, p), keep="last")
-    texts = p.select(*PAGE_KEYS).join(page_text(w), PAGE_KEYS, "left").select(*PAGE_KEYS, F.coalesce("text", F.lit("")).alias("text"))
-    return assemble_pages(f, texts, tables, style="levels", sep=sep)
+    tables = markdown_tables(table_rows(w, e, p), keep="last")
+    # a page gets its file before its text, which is then shuffled by page only
+    of_file = p.select(*PAGE_KEYS).join(with_levels(f, sep), "doc_id")
+    texts = of_file.join(page_text(w), PAGE_KEYS, "left").withColumn("text", F.coalesce("text", F.lit("")))
+    return _page_documents(texts.join(tables.select(*PAGE_KEYS, "md"), PAGE_KEYS, "left"), [], "en", "levels")
 
 
 def collect_docs(corpus: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ Input ``cells(<page keys>, table_no, row_no, col_no, txt)``; ``txt`` null means
 twice (cells -> row text, rows -> table text); both aggregations run on one
 hash partitioning by page, so the plan has a single shuffle.  Cells that are made
 where their page lies (``together``: partitioned by some of the page keys) are not shuffled.
+Rows of tables, ``(<page keys>, table_no, row_no, txts)`` as ``ruling.table_rows`` finds them, are taken as well.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ PAGE_KEYS = ("doc_id", "page")
 
 def markdown_rows(cells: DataFrame, keys=PAGE_KEYS, escape: bool = False, together: bool = False) -> DataFrame:
     k = list(keys)
-    rows = (cells if together else cells.repartition(*k)).groupBy(*k, "table_no", "row_no").agg(
+    cells = cells if together else cells.repartition(*k)
+    if "txts" in cells.columns:
+        return cells.select(*k, "table_no", "row_no", row_markdown(F.transform("txts", clean_cell), escape).alias("md_row"))
+    rows = cells.groupBy(*k, "table_no", "row_no").agg(
         F.sort_array(F.collect_list(F.struct("col_no", clean_cell("txt").alias("t")))).alias("_cs")
     )
     return rows.select(*k, "table_no", "row_no", row_markdown(F.transform("_cs", lambda s: s["t"]), escape).alias("md_row"))
