@@ -6,6 +6,8 @@ downwards.  Everything is keyed by page; no join or window crosses pages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,19 +185,24 @@ def text_around_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, key
     """
     k = list(keys)
     boxes = stored(boxes.select(*k, "table_no", "top", "bottom"), "table-boxes")
-    b = boxes.select(*k, "table_no", F.col("top").alias("_bt"), F.col("bottom").alias("_bb")).join(pages.select(*k, "width", "height"), k)
-    j = words.join(b, k)
+    b = boxes.select(*k, "table_no", F.col("top").alias("_bt"), F.col("bottom").alias("_bb")).join(pages.select(*k, "width", "height"), k, "left")
     above = inside((F.lit(0.0), F.lit(0.0), F.col("width"), F.col("_bt")))
     below = inside((F.lit(0.0), F.col("_bb"), F.col("width"), F.col("height")))
-    parts = j.withColumn("part", F.when(above, F.lit("above")).when(below, F.lit("below"))).where(F.col("part").isNotNull())
-    t = page_text(parts.select(*k, "table_no", "part", "word_no", "word", "x0", "x1", "top", "bottom"), keys=(*k, "table_no", "part"))
+    # a table without such words keeps a row without a word, so its text need not be joined to it
+    j = _joined(b, words, k, above | below).withColumn("part", F.when(above, F.lit("above")).when(below, F.lit("below")))
+    t = page_text(j.select(*k, "table_no", "part", "word_no", "word", "x0", "x1", "top", "bottom"), keys=(*k, "table_no", "part"))
     agg = t.groupBy(*k, "table_no").agg(
         F.max(F.when(F.col("part") == "above", F.col("text"))).alias("above"),
         F.max(F.when(F.col("part") == "below", F.col("text"))).alias("below"),
     )
-    return boxes.select(*k, "table_no").join(agg, [*k, "table_no"], "left").select(
-        *k, "table_no", F.coalesce("above", F.lit("")).alias("above"), F.coalesce("below", F.lit("")).alias("below")
-    )
+    return agg.select(*k, "table_no", F.coalesce("above", F.lit("")).alias("above"), F.coalesce("below", F.lit("")).alias("below"))
+
+
+def _joined(areas: DataFrame, words: DataFrame, k: list[str], where: Column) -> DataFrame:
+    """The areas of a page with their words, an area without any once.  Joined by page alone: words that lie by page stay."""
+    same = [F.col(f"a.{c}") == F.col(f"w.{c}") for c in k]
+    both = areas.alias("a").join(words.alias("w"), reduce(lambda a, b: a & b, [*same, where]), "left")
+    return both.select("a.*", *[F.col(f"w.{c}") for c in words.columns if c not in k])
 
 
 def text_between_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, keys=PAGE_KEYS) -> DataFrame:
@@ -216,15 +223,10 @@ def text_between_tables(words: DataFrame, boxes: DataFrame, pages: DataFrame, ke
         *k, F.col("_n").alias("band"), F.col("_end").alias("lo"), F.col("height").alias("hi"), "width"
     )
     bands = stored(above.unionByName(last), "bands")
-    # a word lies in at most one band: key the join by (page, 64-point bucket of y) so each
-    # word meets only the bands around it, not every band of its page
-    bucket = lambda c: F.floor(c / F.lit(64.0)).cast("long")
-    bk = bands.select(*k, "band", "lo", "hi", "width").withColumn("_b", F.explode(F.sequence(bucket(F.col("lo")), bucket(F.col("hi")))))
-    wk = words.withColumn("_b", bucket(F.col("top")))
-    j = wk.join(bk, [*k, "_b"]).where(inside((F.lit(0.0), F.col("lo"), F.col("width"), F.col("hi"))))
+    here = inside((F.lit(0.0), F.col("lo"), F.col("width"), F.col("hi")))
+    j = _joined(bands, words, k, here)
     t = page_text(j.select(*k, "band", "word_no", "word", "x0", "x1", "top", "bottom"), keys=(*k, "band"))
-    all_bands = bands.select(*k, "band").join(t, [*k, "band"], "left").withColumn("text", F.coalesce("text", F.lit("")))
-    g = all_bands.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("band", "text"))).alias("_bs"))
+    g = t.groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("band", "text"))).alias("_bs"))
     return g.select(*k, F.array_join(F.transform("_bs", lambda x: x["text"]), "\n").alias("full_text"))
 
 
